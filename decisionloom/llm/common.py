@@ -54,3 +54,25 @@ def ascii_lower(col):
 def parts_for(rows: int, per_part: int, least: int = 8) -> int:
     """How many parts keep each at about per_part rows."""
     return max(least, -(-rows // per_part))
+
+
+def held_out(doc_id, folds: int, fold: int):
+    """Whether a document is kept from training: crc32 of its id as text, modulo folds, is fold; a null id is not held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: dict[int, int], columns: tuple[str, ...] = ()) -> list:
+    """At most per_class labelled documents outside the held-out fold, in a hashed order: rows (label, text, *columns) on the driver.
+
+    A document that is labelled twice counts with its larger label; null ids, labels and texts are left out.
+    """
+    own = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).filter(F.col("_id").isNotNull() & F.col("_y").isin(*per_class))
+    own = own.filter(~held_out(F.col("_id"), folds, fold)).groupBy("_id").agg(F.max("_y").alias("_y"))
+    kept = None
+    for y, n in sorted(per_class.items()):
+        one = own.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
+        kept = one if kept is None else kept.unionByName(one)
+    kept = stash(kept)  # a bounded number of ids
+    joined = docs.join(F.broadcast(kept), docs["doc_id"] == kept["_id"]).filter(F.col("text").isNotNull())
+    rows = joined.select("_id", "_y", docs["text"], *[docs[c] for c in columns]).collect()
+    return [tuple(r)[1:] for r in sorted(rows, key=lambda r: (r["_id"], r["text"]))]

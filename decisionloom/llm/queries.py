@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from decisionloom.llm import mixing, packing
+from decisionloom.llm import mixing, packing, quality, toxicity
 
 QUERIES = {
     "op4_packing": packing.op4_packing,
+    "op6_quality_classifier": quality.op6_quality_classifier,
     "op9_mixing": mixing.op9_mixing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
