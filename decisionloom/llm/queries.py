@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from decisionloom.llm import mixing, packing, quality, toxicity
+from decisionloom.llm import minhash, mixing, packing, quality, toxicity
 
 QUERIES = {
     "op4_packing": packing.op4_packing,
     "op6_quality_classifier": quality.op6_quality_classifier,
+    "op8_minhash_neardup": minhash.op8_minhash_neardup,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
 }
