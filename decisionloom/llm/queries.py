@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from decisionloom.llm import minhash, mixing, packing, quality, toxicity
+from decisionloom.llm import minhash, mixing, packing, quality, substrings, toxicity
 
 QUERIES = {
+    "op2_substring_dedup": substrings.op2_substring_dedup,
     "op4_packing": packing.op4_packing,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op8_minhash_neardup": minhash.op8_minhash_neardup,
