@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from decisionloom.llm import licences, minhash, mixing, packing, quality, substrings, toxicity
+from decisionloom.llm import hnsw, licences, minhash, mixing, packing, quality, substrings, toxicity
 
 QUERIES = {
     "op2_substring_dedup": substrings.op2_substring_dedup,
     "op4_packing": packing.op4_packing,
     "op5_licence_scan": licences.op5_licence_scan,
     "op6_quality_classifier": quality.op6_quality_classifier,
+    "op7_hnsw_neighbours": hnsw.op7_hnsw_neighbours,
     "op8_minhash_neardup": minhash.op8_minhash_neardup,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
