@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from decisionloom.llm import hnsw, licences, minhash, mixing, packing, quality, substrings, toxicity
+from decisionloom.llm import hnsw, licences, minhash, mixing, nndescent, packing, quality, substrings, toxicity
 
 QUERIES = {
+    "op1_nn_descent": nndescent.op1_nn_descent,
     "op2_substring_dedup": substrings.op2_substring_dedup,
     "op4_packing": packing.op4_packing,
     "op5_licence_scan": licences.op5_licence_scan,
