@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from decisionloom.plans import lexical
+from decisionloom.plans import lexical, vector
 
-MODULES = [lexical]
+MODULES = [lexical, vector]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
