@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from decisionloom.plans import lexical, vector
+from decisionloom.plans import chunking, lexical, records, vector
 
-MODULES = [lexical, vector]
+MODULES = [lexical, vector, chunking, records]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
