@@ -33,7 +33,7 @@ def filled_years(esas: Column, karar: Column) -> tuple[Column, Column, Column]:
 
 def merge_new(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Existing rows, then incoming ones whose key is new; the first of a repeated key."""
-    order = Window.partitionBy(key).orderBy(*[F.col(c) for c in incoming.columns if c != key])
+    order = Window.partitionBy(key).orderBy(*incoming.columns)
     first = incoming.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
     return existing.unionByName(first.join(existing.select(key), key, "left_anti"))
 

@@ -18,13 +18,12 @@ def flush(batch: DataFrame, path: str, key: str = "doc_id", partition: str = "so
     try:
         if batch.isEmpty():
             return
-        try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
             stored = spark.read.schema(batch.schema).parquet(path)
             stored = stored.join(batch.select(partition).distinct(), partition, "left_semi").select(*batch.columns)
             merged = merge_targeted(stored, batch, batch, key)
-        except Exception as e:  # nothing is stored yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        else:
             merged = batch
         aside = f"{path}_flush_{uuid.uuid4().hex}"
         merged.write.parquet(aside)  # a table can't be overwritten while it is read
