@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from decisionloom.llm import hnsw, licences, minhash, mixing, nndescent, packing, quality, substrings, toxicity
+from decisionloom.llm import hnsw, licences, minhash, mixing, nndescent, packing, quality, substrings, token_counts, toxicity
 
 QUERIES = {
     "op1_nn_descent": nndescent.op1_nn_descent,
     "op2_substring_dedup": substrings.op2_substring_dedup,
+    "op3_token_counts": token_counts.op3_token_counts,
     "op4_packing": packing.op4_packing,
     "op5_licence_scan": licences.op5_licence_scan,
     "op6_quality_classifier": quality.op6_quality_classifier,
