@@ -7,10 +7,9 @@ similarity reaches the threshold falls below the chosen miss probability.  Survi
 confirmed on their full shingle sets.
 
 A bucket of m nodes is never expanded into its m * m pairs.  First all its nodes are compared
-with its least one; where a bucket's nodes then lie in several components, each node is compared
-with nodes of other components in blocks inside a task, at first for the best partner alone and
-then for every partner that survives; so a bucket needs no cap, and no link that would join two
-components is lost.
+with its least one.  Where a bucket's nodes then lie in several components, its nodes are compared
+across them in blocks inside tasks, and a pair that a task's links have joined already is skipped;
+so a bucket needs no cap, and no link that would join two components is lost.
 
 Cases: null texts and texts without words have no shingles and link with nothing; a null id is a
 node like others, its component is the least id in it (null if there is none); repeated rows share
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, stash, table
+from decisionloom.llm.common import by_value, few, release, stash, table
 from decisionloom.llm.graph import components
 
 by_value(__name__)
@@ -36,7 +35,7 @@ SHINGLE, PERCENT = 5, 85
 BANDS, ROWS, HASHES, BATCH, MISS = 24, 5, 128, 32, 1e-5
 CACHE = 300_000
 #: Nodes of a bucket that one task compares with as many others.
-BLOCK = 512
+BLOCK = 256
 #: Partners of a node that one task confirms.
 GROUP = 1000
 
@@ -123,6 +122,16 @@ def survive(x: np.ndarray, y: np.ndarray, least: list[int], batch: int = BATCH)
     return alive, matches[alive]
 
 
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) -> doc_id, node (digest of the words, null without any), n_shingles, signature."""
 
@@ -151,7 +160,7 @@ def _banded(nodes: DataFrame) -> DataFrame:
 def _posterior(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) that the sequential comparison of their signatures leaves."""
     sigs = nodes.select("node", "signature")
-    rows = pairs.join(sigs.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b").join(sigs.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a").select("a", "b", "x", "y")
+    rows = few(pairs).join(sigs.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b").join(sigs.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a").select("a", "b", "x", "y")
     least = least_matches()
 
     def run(batches):
@@ -191,7 +200,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Dat
     counts = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("groups", F.ceil(F.col("n") / GROUP).cast("int"))
     heads = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("a", "salt", F.col("a").alias("node"))
     tails = pairs.join(counts.select("a", "groups"), "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("salt"), F.col("b").alias("node"))
-    rows = heads.withColumn("tail", F.lit(0)).unionByName(tails.withColumn("tail", F.lit(1))).join(sets, "node")
+    rows = few(stash(heads.withColumn("tail", F.lit(0)).unionByName(tails.withColumn("tail", F.lit(1))))).join(sets, "node")
     rows = rows.select("a", "salt", "tail", "node", "hashes").repartition("a", "salt").sortWithinPartitions("a", "salt", "tail")
 
     def run(batches):
@@ -204,55 +213,50 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Dat
                 if not tail.as_py():
                     head, own = key, h
                 elif key == head:
-                    small, large = sorted((own, h), key=len)
-                    if 100 * len(small) >= percent * len(large):
-                        at = np.searchsorted(large, small)
-                        both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                        if 100 * both >= percent * (len(own) + len(h) - both):
-                            out.append((key[0], node.as_py()))
+                    if alike(own, h, percent):
+                        out.append((key[0], node.as_py()))
             cols = list(zip(*out, strict=True)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in cols], names=["a", "b"])
 
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def _across(members: DataFrame, best_only: bool) -> DataFrame:
-    """members(band, node, component, signature) -> surviving pairs (a, b) of a band and of different components.
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """members(band, node, component, signature, hashes) -> links (a, b) between components that share a band.
 
-    A band's nodes are cut into blocks by hash; a task compares two blocks.
+    A band's nodes are cut into blocks by hash; a task compares two blocks, and skips pairs that
+    its own links have joined already, so it returns fewer links than it has nodes.
     """
     sizes = members.groupBy("band").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     placed = members.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
-    rows = placed.withColumn("pair", F.explode(both)).select("band", "pair.i", "pair.j", "block", "node", "component", "signature").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    rows = placed.withColumn("pair", F.explode(both)).select("band", "pair.i", "pair.j", "block", "node", "component", "signature", "hashes").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     least = least_matches()
 
-    def compare(group):
-        (band, i, j), block, node, comp, sig = group[0], *(np.array(x, dtype=object) for x in zip(*group[1], strict=True))
+    def compare(i, j, rows):
+        block, node, comp, sig, hashes = zip(*rows, strict=True)
         x = np.frombuffer(b"".join(sig), np.uint32).reshape(-1, HASHES)
-        _, comp = np.unique(np.array([c.hex() for c in comp]), return_inverse=True)
+        sets = [np.frombuffer(h, np.uint64) for h in hashes]
+        codes: dict = {}
+        label = np.array([codes.setdefault(c, len(codes)) for c in comp])
+        block = np.array(block)
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        best: dict = {}
         for u in left:
-            v = right[(comp[right] != comp[u]) & ((right > u) if i == j else True)]
-            if len(v):
-                alive, matches = survive(np.broadcast_to(x[u], (len(v), HASHES)), x[v], least)
-                for w, m in zip(v[alive], matches, strict=True):
-                    if best_only:
-                        for at, to in ((u, w), (w, u)):
-                            if (m, to) > best.get(at, (-1, -1)):
-                                best[at] = (m, to)
-                    else:
-                        yield min(node[u], node[w]), max(node[u], node[w])
-        for at, (_, to) in best.items():
-            yield min(node[at], node[to]), max(node[at], node[to])
+            v = right[label[right] != label[u]]
+            v = v[v > u] if i == j else v
+            if not len(v):
+                continue
+            alive, matches = survive(np.broadcast_to(x[u], (len(v), HASHES)), x[v], least)
+            for w in v[alive[np.argsort(-matches, kind="stable")]]:
+                if label[w] != label[u] and alike(sets[u], sets[w], percent):
+                    label[label == label[w]] = label[u]
+                    yield min(node[u], node[w]), max(node[u], node[w])
 
     def run(batches):
         key, rows = None, []
 
         def done():
-            out = list(dict.fromkeys(compare((key, rows)))) if len(rows) > 1 else []
-            cols = list(zip(*out, strict=True)) or [[], []]
+            cols = list(zip(*compare(key[1], key[2], rows), strict=True)) or [[], []]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in cols], names=["a", "b"])
 
         for batch in batches:
@@ -273,28 +277,31 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = stash(signed(docs))
     none = F.lit(-(1 << 62))
     nodes = stash(rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.coalesce("doc_id", none)).alias("_id"), F.min("doc_id").alias("first"), F.first("signature").alias("signature")))
+    narrow = stash(rows.select("doc_id", "node", "n_shingles"))
+    release(rows)
     bands = _banded(nodes)
-    hubs = stash(bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub"))
+    hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub")
     members = stash(bands.join(hubs, "band").select("band", "node", "hub"))
     involved = members.select("node").distinct().join(nodes.select("node", "_id"), "node")
     sets = _sets(docs, involved)
-    pairs = stash(_posterior(members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), nodes))
+    first = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = stash(_posterior(stash(first), nodes))
     links = stash(_confirmed(pairs, sets, percent))
-    tried = pairs
-    for best_only in (True, False):
-        found = stash(components(links))
-        placed = members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-        open_ = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
-        pairs = stash(_across(placed.join(open_, "band").join(nodes.select("node", "signature"), "node"), best_only).join(tried, ["a", "b"], "left_anti"))
-        links = stash(links.unionByName(_confirmed(pairs, sets, percent)))
-        tried = stash(tried.unionByName(pairs))
-    found = components(links)
-    labelled = nodes.select("node", "first").join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
+    found = stash(components(links))
+    placed = members.join(few(found), "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+    open_ = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
+    unresolved = stash(placed.join(few(stash(open_)), "band"))
+    contents = few(stash(unresolved.select("node").distinct())).join(nodes.select("node", "signature"), "node").join(sets, "node")
+    links = stash(links.unionByName(_across(unresolved.join(contents, "node"), percent)))
+    whole = components(links)
+    labelled = nodes.select("node", "first").join(few(whole), "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = stash(labelled.join(least, "component").select("node", "component_id"))
-    out = rows.select("doc_id", "node", "n_shingles").join(ids, "node", "left")
+    ids = labelled.join(least, "component").select("node", "component_id")
+    out = narrow.join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "node", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    out = stash(out.select("doc_id", "node", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")))
+    release(nodes, narrow, members, sets, pairs, found, unresolved, links)
+    return out
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
