@@ -4,7 +4,7 @@ Words covered by a window (20 words) that also stands earlier are removed.  Suff
 are the windows' starts; two of them meet in a node of depth 20 of the corpus's suffix tree if
 their windows are equal.  The tree is never built whole:
 
-* A window is filed under the least hash among its four-word grams (its anchor).  Equal windows
+* A window is filed under the least hash among its seven-word grams (its anchor).  Equal windows
   have equal anchors at equal places, so suffixes that can share a deep node share that prefix.
   Suffixes whose prefix stands once in the corpus are leaves of shallow nodes and go no further.
 * The suffixes of each other prefix make a subtree, built in memory: its nodes of depth 20 with
@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, stash, table
+from decisionloom.llm.common import by_value, few, release, stash, table
 
 by_value(__name__)
 
-WINDOW, GRAM = 20, 4
+WINDOW, GRAM = 20, 7
 #: Suffixes (by anchor) of a prefix that one task holds.
 MEMORY = 20_000
 CACHE = 300_000
@@ -101,7 +101,7 @@ class Suffixes:
 
 
 def measured(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id, did (null last), n_words, digest and sha of the words, grams of the anchors."""
+    """doc_id, did (null last), raw (digest of the text), n_words, digest and sha of the words, grams of the anchors."""
 
     def run(batches):
         s = Suffixes(window)
@@ -115,9 +115,10 @@ def measured(docs: DataFrame, window: int) -> DataFrame:
             cols = list(zip(*out, strict=True)) or [[]] * 4
             offsets = np.cumsum([0, *map(len, cols[3])])
             flat = pa.array(np.concatenate(cols[3]) if len(cols[3]) else np.zeros(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)], names=["doc_id", "n_words", "digest", "sha", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)], names=["doc_id", "raw", "n_words", "digest", "sha", "grams"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, n_words long, digest binary, sha string, grams array<long>")
+    raw = F.md5(F.col("text").cast("binary"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), raw.alias("raw")).mapInArrow(run, "doc_id long, raw string, n_words long, digest binary, sha string, grams array<long>")
     return rows.withColumn("did", F.coalesce("doc_id", F.lit(LAST)))
 
 
@@ -229,43 +230,39 @@ def _cut(rows: DataFrame) -> DataFrame:
     return rows.select("digest", "text", "ranges").mapInArrow(run, "digest binary, n_removed long, kept_sha string, kept string")
 
 
-def _found(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+def _found(docs: DataFrame, window: int, texts_too: bool) -> tuple[DataFrame, DataFrame]:
     """What was measured of each document, and (digest, n_removed, kept_sha, kept) of each first document that loses something."""
     rows = stash(measured(docs, window))
-    firsts = rows.groupBy("digest").agg(F.min("did").alias("did"))
-    grams = rows.filter(F.size("grams") > 0).join(firsts, ["digest", "did"]).dropDuplicates(["digest"]).select("digest", "did", F.explode("grams").alias("gram"))
-    twice = grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
-    hot = grams.join(twice, "gram").groupBy("digest", "did").agg(F.collect_set("gram").alias("grams"))  # within one document
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("did"), F.col("text").cast("binary").alias("text"))
-    hot = stash(_same_words(texts.join(hot, "did")).dropDuplicates(["digest"]))
+    firsts = rows.groupBy("digest").agg(F.min(F.struct("did", "raw")).alias("first"))
+    own = rows.filter(F.size("grams") > 0).join(firsts, "digest").filter(F.struct("did", "raw") == F.col("first"))
+    grams = own.dropDuplicates(["digest"]).select("digest", "did", "raw", F.explode("grams").alias("gram"))
+    grams = stash(grams)
+    twice = grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    repeated = stash(grams.join(twice, "gram").groupBy("digest", "did", "raw").agg(F.collect_set("gram").alias("grams")))  # within one document
+    release(grams)
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("did"), F.col("text").cast("binary").alias("text")).withColumn("raw", F.md5("text"))
+    hot = stash(texts.join(repeated, ["did", "raw"]).dropDuplicates(["did", "raw"]))
+    release(repeated)
     suffixes = stash(_suffixes(hot, window))
-    counts = suffixes.groupBy("gram").agg(F.count("*").alias("n"))
-    many = F.col("n") > MEMORY
-    small = suffixes.join(counts.filter(many), "gram", "left_anti")
-    large = suffixes.join(counts.filter(many).select("gram"), "gram", "left_semi")
+    many = stash(suffixes.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > MEMORY).select("gram"))
+    small = suffixes.join(few(many), "gram", "left_anti")
+    large = suffixes.join(few(many), "gram", "left_semi")
     ranges = _subtrees(small, window).unionByName(_nodes(large, window)).groupBy("digest").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))  # within one document
-    return rows, stash(_cut(hot.join(ranges, "digest")))
-
-
-def _same_words(rows: DataFrame) -> DataFrame:
-    """rows(did, text, digest, grams) whose text has the words of the digest: ids may repeat with other texts."""
-
-    def run(batches):
-        for batch in batches:
-            keep = [hashlib.blake2b(b" ".join((t.as_py() or b"").split()), digest_size=16).digest() == d.as_py() for t, d in zip(batch.column(1), batch.column(2), strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return rows.select("did", "text", "digest", "grams").mapInArrow(run, "did long, text binary, digest binary, grams array<long>")
+    cut = _cut(hot.join(ranges, "digest"))
+    cut = stash(cut if texts_too else cut.withColumn("kept", F.lit(None).cast("string")))
+    narrow = stash(rows.drop("grams", "raw"))
+    release(rows, hot, suffixes, many)
+    return narrow, cut
 
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs(doc_id, text) -> a row per document: doc_id, digest, n_words, n_removed, kept_sha256, kept (null: the words as they are)."""
-    rows, cut = _found(docs, window)
+def repeated_windows(docs: DataFrame, window: int = WINDOW, texts_too: bool = True) -> DataFrame:
+    """docs(doc_id, text) -> a row per document: doc_id, digest, n_words, n_removed, kept_sha256, kept (null: the words as they are, or texts aren't asked for)."""
+    rows, cut = _found(docs, window, texts_too)
     firsts = rows.groupBy("digest").agg(F.min("did").alias("_first"))
-    out = rows.drop("grams").join(firsts, "digest").join(cut, "digest", "left")
+    out = rows.join(firsts, "digest").join(cut, "digest", "left")
     later = (F.col("did") > F.col("_first")) & (F.col("n_words") >= window)
     return out.select("doc_id", "digest", "n_words", F.when(later, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"), F.when(later, F.lit(EMPTY)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"), F.when(later, F.lit("")).otherwise(F.col("kept")).alias("kept"))
 
@@ -288,4 +285,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    return repeated_windows(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return repeated_windows(table(spark, sf_dir, "documents"), texts_too=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
