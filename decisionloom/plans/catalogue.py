@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from decisionloom.plans import assembly, chunking, lexical, records, vector
+from decisionloom.plans import assembly, chunking, lexical, records, reports, vector
 
-MODULES = [lexical, vector, chunking, records, assembly]
+MODULES = [lexical, vector, chunking, records, assembly, reports]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
