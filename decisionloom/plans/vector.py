@@ -89,9 +89,9 @@ def hydrate_fallback(spark, d):
 
 
 HYDRATE = f"""WITH {_STORE}, p AS (SELECT vec_id AS id, vec_id + 1000000 AS parent FROM embeddings),
-h AS (SELECT a.text AS own, coalesce(a.text, b.text) AS both FROM p LEFT JOIN st a ON p.id = a.id LEFT JOIN st b ON p.parent = b.id)
+h AS (SELECT a.text AS own, coalesce(a.text, b.text) AS found FROM p LEFT JOIN st a ON p.id = a.id LEFT JOIN st b ON p.parent = b.id)
 SELECT false AS parents, count(own) AS kept, count(*) - count(own) AS dropped, CAST(sum(length(own)) AS BIGINT) AS chars FROM h
-UNION ALL SELECT true, count(both), count(*) - count(both), CAST(sum(length(both)) AS BIGINT) FROM h"""
+UNION ALL SELECT true, count(found), count(*) - count(found), CAST(sum(length(found)) AS BIGINT) FROM h"""
 
 OPTIONS = V.SearchOptions(hydrate_parents=True, min_score=0.05, max_docs=5, filters={"role": [0, 1, 2, 3, 4, 5]})
 
