@@ -35,7 +35,7 @@ by_value(__name__)
 
 WINDOW, GRAM = 20, 7
 #: Suffixes (by anchor) of a prefix that one task holds.
-MEMORY = 20_000
+MEMORY = 2_000
 CACHE = 300_000
 BLOCK, PLACE = 1 << 20, np.uint64(24)
 LAST = (1 << 63) - 1
