@@ -38,12 +38,42 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stash(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors, and fixes the rows that later steps see."""
+    """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors, and fixes the rows that later steps see.
+
+    Shuffle files of the write go when it ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stash = path
+    return out
+
+
+def release(*stashed: DataFrame) -> None:
+    """Delete stashes that nothing reads any more."""
+    for df in stashed:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stash)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a few fixed-width columns (tens of bytes each) up to which one side of a join is broadcast; beyond it both are shuffled.
+FEW = 100_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it is counted to have few rows."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
 
 
 def ascii_lower(col):

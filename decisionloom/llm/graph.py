@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import stash
+from decisionloom.llm.common import release, stash
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -31,7 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stash(edges.filter("a <> b"))
     seen = None
     while True:
-        edges = stash(_small(_large(edges)))
+        old, edges = edges, stash(_small(_large(edges)))
+        release(old)
         now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if now["n"] == 0 or (now["n"], now["x"]) == seen:
             break
