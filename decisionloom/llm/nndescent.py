@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, stash, table
+from decisionloom.llm.common import by_value, release, stash, table
 from decisionloom.llm.graph import components
 from decisionloom.llm.vectors import usable
 
@@ -66,10 +66,35 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
     return one.select("node", "copies", "v").mapInArrow(run, "node long, copies long, dim int, x binary, y binary")
 
 
-def _top(nodes: list[int], x: np.ndarray, k: int, a: list, b: list, s: list) -> None:
+def spanning(sims: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) that join what all links of a square matrix of products join: trees of the sure links, and all unsure ones between trees."""
+    sure = sims >= cosine + SLACK
+    np.fill_diagonal(sure, False)
+    open_, tree = sure.any(1), np.arange(len(sims))
+    i, j = [], []
+    while open_.any():
+        root = int(open_.argmax())
+        open_[root], todo = False, [root]
+        while todo:
+            u = todo.pop()
+            new = np.flatnonzero(sure[u] & open_)
+            open_[new], tree[new] = False, root
+            i += [u] * len(new)
+            j += new.tolist()
+            todo += new.tolist()
+    p, q = np.nonzero(np.triu((sims >= cosine - SLACK) & ~sure, 1))
+    between = tree[p] != tree[q]
+    return np.array(i + p[between].tolist(), np.int64), np.array(j + q[between].tolist(), np.int64)
+
+
+def _top(nodes: list[int], x: np.ndarray, k: int, cosine: float, a: list, b: list, s: list) -> None:
     ids = np.array(nodes, dtype=np.int64)
     sims = x @ x.T
     np.fill_diagonal(sims, -2)
+    i, j = spanning(sims, cosine)
+    a.append(ids[i])
+    b.append(ids[j])
+    s.append(sims[i, j])
     k = min(k, len(ids) - 1)
     near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
     a.append(np.repeat(ids, k))
@@ -77,8 +102,8 @@ def _top(nodes: list[int], x: np.ndarray, k: int, a: list, b: list, s: list) ->
     s.append(np.take_along_axis(sims, near, 1).ravel())
 
 
-def forest(nodes: DataFrame, n: int, seed: int) -> DataFrame:
-    """Edges (a, b, s): the nearest nodes of each node within its leaf, for every tree.  Leaves are taken in chunks."""
+def forest(nodes: DataFrame, n: int, seed: int, cosine: float = COSINE) -> DataFrame:
+    """Edges (a, b, s): the nearest nodes of each node within its leaf, and links that join what the leaf's links join, for every tree.  Leaves are taken in chunks."""
     bits = max(0, ceil(log2(max(1, n / LEAF))))
 
     def leaves(batches):
@@ -108,7 +133,7 @@ def forest(nodes: DataFrame, n: int, seed: int) -> DataFrame:
 
         def flush():
             if len(ids) > 1:
-                _top(ids, np.frombuffer(b"".join(raw), np.float32).reshape(len(ids), -1), NEIGHBOURS, a, b, s)
+                _top(ids, np.frombuffer(b"".join(raw), np.float32).reshape(len(ids), -1), NEIGHBOURS, cosine, a, b, s)
 
         for batch in batches:
             for leaf, node, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -132,9 +157,10 @@ def _best(edges: DataFrame, lengths: DataFrame) -> DataFrame:
     return placed.join(lengths, placed["a"] == lengths["node"], "left").filter(F.col("r") <= F.coalesce("k", F.lit(NEIGHBOURS))).select("a", "b", "s")
 
 
-def _joined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges between neighbours of a node that better one end's list."""
-    worst = graph.groupBy("a").agg(F.min("s").alias("worst"))
+def _joined(graph: DataFrame, nodes: DataFrame, lengths: DataFrame, cosine: float) -> DataFrame:
+    """Edges between neighbours of a node that better one end's list or find room in it, and links that join what all links between the neighbours join."""
+    held = graph.groupBy("a").agg(F.min("s").alias("worst"), F.count("*").alias("n"))
+    worst = held.join(lengths, held["a"] == lengths["node"], "left").filter(F.col("n") >= F.coalesce("k", F.lit(NEIGHBOURS))).select("a", "worst")
     reverse = graph.select(F.col("b").alias("w"), F.col("a").alias("u"), "s").withColumn("r", F.row_number().over(Window.partitionBy("w").orderBy(F.desc("s"), "u"))).filter(F.col("r") <= MOST).drop("r", "s")
     around = graph.select(F.col("a").alias("w"), F.col("b").alias("u")).unionByName(reverse).distinct()
     rows = around.join(worst, around["u"] == worst["a"], "left").join(nodes.select(F.col("node").alias("u"), "x"), "u").select("w", "u", F.coalesce("worst", F.lit(-1.0)).cast("float").alias("worst"), "x")
@@ -148,8 +174,13 @@ def _joined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
             if len(ids) > 1:
                 x = np.frombuffer(b"".join(raw), np.float32).reshape(len(ids), -1)
                 i, j = np.triu_indices(len(ids), 1)
-                sims = (x @ x.T)[i, j]
+                whole = x @ x.T
+                sims = whole[i, j]
                 u, low = np.array(ids), np.array(worst)
+                p, q = spanning(whole, cosine)
+                a.append(u[p])
+                b.append(u[q])
+                s.append(whole[p, q])
                 for p, q in ((i, j), (j, i)):
                     good = sims > low[p]
                     a.append(u[p[good]])
@@ -173,16 +204,17 @@ def _joined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def descend(graph: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
-    """Refine the graph (a, b, s) until a round brings no new link; return all links seen, and keep lists of bounded length."""
+    """Refine the graph (a, b, s) until a round brings no new link; return links that join what all links seen join, and keep lists of bounded length."""
     empty = graph.sparkSession.createDataFrame([], "node long, k int")
-    graph = stash(_best(graph, empty))
     link = F.col("s") >= cosine - SLACK
-    links = graph.filter(link)
+    edges = stash(graph.groupBy("a", "b").agg(F.max("s").alias("s")))
+    graph, links = stash(_best(edges, empty)), stash(edges.filter(link))
+    release(edges)
     lengths, known = empty, None
     for _ in range(ROUNDS):
         full = graph.groupBy("a").agg(F.count("*").alias("n"), F.count_if(link).alias("m")).filter("m = n").select(F.col("a").alias("node"), F.least(F.col("n") * 2, F.lit(MOST)).cast("int").alias("k"))
         lengths = stash(full.unionByName(lengths).groupBy("node").agg(F.max("k").alias("k")))
-        found = stash(_joined(graph, nodes))
+        found = stash(_joined(graph, nodes, lengths, cosine))
         graph = stash(_best(graph.unionByName(found), lengths))
         links = stash(links.unionByName(found.filter(link)).unionByName(graph.filter(link)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s").dropDuplicates(["a", "b"]))
         n = links.count()
@@ -280,7 +312,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     n = nodes.count()
     links = found = None
     for seed in range(1, AUDITS + 1):
-        more = confirmed(descend(forest(nodes, n, seed), nodes, cosine), nodes, cosine)
+        more = confirmed(descend(forest(nodes, n, seed, cosine), nodes, cosine), nodes, cosine)
         links = stash(more if links is None else links.unionByName(more).distinct())
         found = stash(components(links))
         true = stash(sampled_links(nodes, cosine, seed).select("a", "b"))

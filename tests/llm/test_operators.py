@@ -282,6 +282,28 @@ def test_nn_descent_equals_brute_force(spark):
     assert nndescent.near_duplicates(df.filter("false")).count() == 0
 
 
+def two_groups(spark):
+    """Two dense groups of 20 vectors whose only link is one between vectors with full lists."""
+    rng = np.random.default_rng(4)
+    at = lambda deg: np.array([np.cos(np.radians(deg)), np.sin(np.radians(deg)), 0, 0, 0, 0, 0, 0])
+    x = np.array([at(-d) for d in np.linspace(0.3, 1, 19)] + [at(0.0)] + [at(18.0)] + [at(18.0 + d) for d in np.linspace(0.3, 1, 19)])
+    x[:, 3:] += 1e-3 * rng.standard_normal((40, 5))
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    links = np.argwhere(np.triu(unit @ unit.T >= 0.95, 1))
+    assert [(i, j) for i, j in links if (i < 20) != (j < 20)] == [(19, 20)]
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def test_nn_descent_keeps_links_that_full_lists_refuse(spark):
+    nodes = nndescent.unit_vectors(two_groups(spark)).cache()
+    links = nndescent.confirmed(nndescent.descend(nndescent.forest(nodes, 40, 1), nodes, 0.95), nodes, 0.95)
+    assert {r["component"] for r in components(links).collect()} == {0}
+    near = [(19, i, 0.9999) for i in range(10, 16)] + [(20, i, 0.9999) for i in range(21, 27)] + [(0, 19, 0.5), (0, 20, 0.5)]
+    graph = spark.createDataFrame(near, nndescent.EDGES)
+    joined = nndescent._joined(graph, nodes, spark.createDataFrame([], "node long, k int"), 0.95)
+    assert joined.filter("least(a, b) = 19 AND greatest(a, b) = 20").count() > 0
+
+
 def test_hnsw_recall_and_scores(spark):
     x, df = vectors(spark)
     out: dict = {}
