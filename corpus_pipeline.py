@@ -10,6 +10,10 @@ from decisionloom.llm import minhash, mixing, packing, substrings, toxicity
 from decisionloom.llm.common import shared_dir, table
 
 
+#: Similarity of word shingles in per cent from which documents are near copies.
+NEAR = 80
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity stays below the threshold of their language."""
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
@@ -17,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, NEAR)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

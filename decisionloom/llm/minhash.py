@@ -31,8 +31,8 @@ from decisionloom.llm.graph import components
 by_value(__name__)
 
 SHINGLE, PERCENT = 5, 85
-#: 24 bands of 5 find a pair at the threshold with a probability of 1 - 1e-6.
-BANDS, ROWS, HASHES, BATCH, MISS = 24, 5, 128, 32, 1e-5
+#: 24 bands of 5 find a pair at a threshold of 85 % with a probability of 1 - 1e-6; lower ones take more bands of fewer rows.
+BANDS, ROWS, HASHES, BATCH, MISS, UNBANDED = 24, 5, 128, 32, 1e-5, 1e-6
 CACHE = 300_000
 #: Nodes of a bucket that one task compares with as many others.
 BLOCK = 256
@@ -150,18 +150,28 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, node binary, n_shingles long, signature binary")
 
 
-def _banded(nodes: DataFrame) -> DataFrame:
+def bands_for(percent: int) -> tuple[int, int]:
+    """How many bands of how many rows share none at the threshold with a probability of UNBANDED at most."""
+    bands, rows = BANDS, ROWS
+    while rows > 1 and (1 - (percent / 100) ** rows) ** bands > UNBANDED:
+        rows -= 1
+        bands = HASHES // rows
+    return bands, rows
+
+
+def _banded(nodes: DataFrame, percent: int) -> DataFrame:
     """A row per node and band."""
-    width = 4 * ROWS
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * width + 1, F.lit(width))))
+    bands, rows = bands_for(percent)
+    width = 4 * rows
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * width + 1, F.lit(width))))
     return nodes.select("node", F.explode(keys).alias("band"))
 
 
-def _posterior(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _posterior(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that the sequential comparison of their signatures leaves."""
     sigs = nodes.select("node", "signature")
     rows = few(pairs).join(sigs.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b").join(sigs.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a").select("a", "b", "x", "y")
-    least = least_matches()
+    least = least_matches(percent)
 
     def run(batches):
         for batch in batches:
@@ -231,7 +241,7 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
     placed = members.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
     rows = placed.withColumn("pair", F.explode(both)).select("band", "pair.i", "pair.j", "block", "node", "component", "signature", "hashes").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    least = least_matches()
+    least = least_matches(percent)
 
     def compare(i, j, rows):
         block, node, comp, sig, hashes = zip(*rows, strict=True)
@@ -279,13 +289,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = stash(rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.coalesce("doc_id", none)).alias("_id"), F.min("doc_id").alias("first"), F.first("signature").alias("signature")))
     narrow = stash(rows.select("doc_id", "node", "n_shingles"))
     release(rows)
-    bands = _banded(nodes)
+    bands = _banded(nodes, percent)
     hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub")
     members = stash(bands.join(hubs, "band").select("band", "node", "hub"))
     involved = members.select("node").distinct().join(nodes.select("node", "_id"), "node")
     sets = _sets(docs, involved)
     first = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = stash(_posterior(stash(first), nodes))
+    pairs = stash(_posterior(stash(first), nodes, percent))
     links = stash(_confirmed(pairs, sets, percent))
     found = stash(components(links))
     placed = members.join(few(found), "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
@@ -304,9 +314,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with one document of each group: the least id, and of repeated rows of that id one."""
-    groups = near_duplicates(docs).filter("kept")
+    groups = near_duplicates(docs, percent).filter("kept")
     kept = stash(groups.filter(F.col("node").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct())
     keyed = signed_key(docs)
     same = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_key"] == kept["_node"])

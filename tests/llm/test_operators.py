@@ -110,6 +110,36 @@ def test_minhash_equals_brute_force(spark, docs, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_near_copies_of_the_pipeline_link_at_80(spark):
+    import corpus_pipeline
+
+    rng, rows = np.random.default_rng(12), []
+    for g in range(12):  # pairs of 0.77 to 1, many of them between 0.80 and 0.85
+        words = prose(50 + g, 100 + 5 * g).split()
+        for k in range(4):
+            w = list(words)
+            for at in rng.integers(0, len(w), k):
+                w[at] = f"new{k}_{at}"
+            rows.append((10 * g + k, " ".join(w)))
+    sets = [shingles(t) for _, t in rows]
+    least = list(range(len(rows)))
+    between = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            both, all_ = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            between += 80 * all_ <= 100 * both < 85 * all_
+            if 100 * both >= 80 * all_:
+                least = [min(least[i], least[j]) if x in (least[i], least[j]) else x for x in least]
+    assert between >= 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, df, DATA).collect())
+    assert got == [rows[i][0] for i in sorted(set(least))]
+    assert len(got) < minhash.keep_one(df).count()
+    bands, width = minhash.bands_for(80)
+    assert bands * width <= minhash.HASHES and (1 - 0.8**width) ** bands <= 1e-6
+    assert minhash.bands_for(85) == (24, 5)
+
+
 def test_blocks_lose_nothing(spark, monkeypatch):
     """Small blocks and groups give the same links."""
     rows = [(i, " ".join(BASE.split()[: 119 - i % 3] + [f"t{i}"])) for i in range(12)]
