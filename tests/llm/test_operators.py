@@ -289,6 +289,17 @@ def test_licences_equal_brute_force(spark, none):
     assert licences.scan(none).count() == 0
 
 
+def test_gate_lets_every_rule_through(spark):
+    """The least text of each name, version and identifier is scanned and gets a label."""
+    texts = [n for _, _, names, versions, _ in licences.FAMILIES.values() for n in names + [f"{n} version {v}" for n in names for v in versions]]
+    texts += [f"spdx license identifier {i}" for *_, ids in licences.FAMILIES.values() for i in ids]
+    texts = [t for t in texts if any(k in f" {t} " and re.search(p, f" {t} ") for k, p, *_ in licences.RULES)]
+    assert "mit no attribution license" in texts
+    assert [t for t in texts if not re.search(licences.GATE, f" {t} ")] == []
+    df = spark.createDataFrame([(0, "MIT No Attribution License")], "doc_id int, text string")
+    assert licences.scan(df).first()["labels"] == "mit-0"
+
+
 def vectors(spark, n=300, dim=16):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((n, dim))
