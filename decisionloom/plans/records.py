@@ -11,16 +11,24 @@ from decisionloom.plans.chunking import PARAS, paras
 from decisionloom.plans.tables import table
 
 
-def text_scalars(spark, d):
-    t = F.substring("text", 1, 1000)
+def _scalars(docs, t):
     c = F.col("head")
-    rows = table(spark, d, "documents").select("doc_id", "source", t.alias("head"))
+    rows = docs.select("doc_id", "source", t.alias("head"))
     return rows.select(
         "doc_id", F.md5(text.tr_upper(F.replace(c, F.lit("ß"), F.lit("ss")))).alias("upper"), F.md5(text.tr_lower(c)).alias("lower"), F.md5(text.norm_ws(c)).alias("ws"), F.md5(text.deaccent(c)).alias("plain"), text.title_shape(F.concat_ws(" ", "source", F.col("doc_id").cast("string"))).alias("shape"),
         F.md5(text.slug(c)).alias("slug"), F.format_string("%d/%d", F.length(c), F.lit(1000)).alias("part"), F.round(text.share_of(c, vocab.STOPWORDS["en"]), 6).alias("english"), ids.paragraph_range(F.col("doc_id"), F.col("doc_id") + F.col("doc_id") % 2).alias("range"),
     )
 
 
+def text_scalars(spark, d):
+    return _scalars(table(spark, d, "documents"), F.substring("text", 1, 1000))
+
+
+def text_scalars_whole(spark, d):
+    """text_scalars over whole texts."""
+    return _scalars(table(spark, d, "documents"), F.col("text"))
+
+
 _LOW = "lower(translate(h, 'İI', 'iı'))"
 TEXT = f"""WITH t AS (SELECT doc_id, source, text[1:1000] AS h FROM documents),
 w AS (SELECT *, regexp_extract_all(lower(h), '{vocab.TOKEN}') AS w FROM t)
@@ -30,6 +38,8 @@ SELECT doc_id, md5(upper(translate(replace(h, 'ß', 'ss'), 'iı', 'İI'))) AS up
   length(h)::VARCHAR || '/1000' AS part, round(len(list_filter(w, lambda x: x IN ({", ".join(f"'{x}'" for x in vocab.STOPWORDS["en"])}))) / greatest(len(w), 1), 6) AS english,
   CASE WHEN doc_id % 2 = 0 THEN 'p' || doc_id::VARCHAR ELSE 'p' || doc_id::VARCHAR || '_to_p' || (doc_id + 1)::VARCHAR END AS range FROM w"""
 
+WHOLE = TEXT.replace("text[1:1000] AS h", "text AS h")
+
 #: Invented records: title, dates, numbers, names as they come.
 RECORDS = [
     (1, "11. Hukuk Dairesi", "15.09.2021", "Geçici 3", "T.B.K.", 2024, None, ["p3", "p1", "p3", "p0", "p99", "zz"], "dissent", ["Örnek"]),
@@ -373,3 +383,4 @@ CITATIONS = "SELECT id, legislation_type, law_no, article_no FROM (VALUES (1, 's
 QUERIES = {f.__name__: f for f in (text_scalars, record_scalars, canonical_and_refs, procedural_penalty, new_penalty_by_unit, title_shape_profile, preflight_verdict, preflight_histogram, riskiest, truncation_loss, acceptance_report, contract_validate, contract_gap_rollup, value_audit, arms_anti_union, export_merge, targeted_merge, scorecard_compare, metadata_json, dissent_longest_prefix, array_any_match_probe, duplicate_and_consistency, attempt_selection, replay_diff, run_totals, verification_report, citation_extract)}
 ORACLE_SQL = dict(zip(QUERIES, (TEXT, RECORD, CANONICAL, PENALTY, NEW_PENALTY, SHAPES, PREFLIGHT, HISTOGRAM, RISKIEST, TRUNCATION, ACCEPTANCE, CONTRACT, ROLLUP, AUDIT, ARMS, EXPORT, TARGETED, SCORECARD, METADATA, PREFIX, PROBE, DUPLICATES, ATTEMPT, REPLAY, TOTALS, VERIFY, CITATIONS), strict=True))
 QUERIES["stratified_pick"] = stratified_pick
+QUERIES["text_scalars_whole"], ORACLE_SQL["text_scalars_whole"] = text_scalars_whole, WHOLE

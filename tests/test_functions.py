@@ -128,3 +128,12 @@ def test_contract_finds_planted_faults(spark):
     got = {r["filename"]: r["p"] for r in records.index_records(docs).withColumn("p", records.contract_problems()).collect()}
     assert got == {"__1.txt": [], "__2.txt": ["empty_text", "no_year"]}
     assert len(records.index_records(docs).columns) == 28
+
+
+def test_text_scalars_whole_sees_the_end(spark, tmp_path):
+    from decisionloom.plans import catalogue
+
+    head = "word " * 300
+    spark.createDataFrame([(1, "s", head + "Ğ the"), (2, "s", head + "x")], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    one, two = sorted(catalogue.QUERIES["text_scalars_whole"](spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])
+    assert all(one[c] != two[c] for c in ("upper", "lower", "ws", "plain", "slug", "part", "english"))
