@@ -2,10 +2,11 @@
 
 A neighbour graph starts from leaves of random hyperplane trees and is refined by joining each
 node's neighbours (its own and those that point to it) with one another; a node whose list is full
-of links keeps a longer one next time.  Rounds end when one brings no new link.  A sample of nodes
-is then compared with all vectors; while too few of its links are joined, more trees and rounds
-follow, and links of the sample count as found.  Edges at the threshold are confirmed in double
-precision and give the components.
+of links keeps a longer one next time.  Rounds end when one brings no new link.  Two samples, one
+node of each of many components and nodes without a link, are then compared with all vectors; while
+a node of them has a link that isn't joined, more trees and rounds follow.  If the last audit finds
+one too, or no sampled node has a link, all vectors are compared in blocks.  Edges at the threshold
+are confirmed in double precision and give the components.
 
 Links are counted inside components, in pairs of blocks of bounded size, so neither a list's bound
 nor a group of thousands costs a link or makes a row per pair.  Equal vectors are one node with a
@@ -19,7 +20,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from math import ceil, log2
+from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,14 @@ from decisionloom.llm.vectors import usable
 by_value(__name__)
 
 COSINE = 0.95
-TREES, LEAF, CHUNK = 10, 48, 512
+#: Trees of one pass at least and at a time, and the chance that the pair at the threshold shares no leaf of a pass.
+TREES, LEAF, CHUNK, APART = 10, 48, 512, 1e-3
 #: Length of a neighbour list at first and at most, and rounds at most; longer lists are made up for by the count inside components.
 NEIGHBOURS, MOST, ROUNDS = 6, 24, 6
-AUDIT, RECALL, AUDITS = 256, 0.99, 3
-BLOCK = 1024
+#: Nodes of each of an audit's two samples, and audits at most before all is compared.
+AUDIT, AUDITS = 1024, 3
+#: Nodes of a block that links are counted in, nodes of a block where all is compared, and rows compared at a time.
+BLOCK, WHOLE, STRIP = 1024, 8192, 512
 #: Single-precision products this far below the threshold are still confirmed.
 SLACK = 1e-4
 
@@ -102,6 +106,22 @@ def _top(nodes: list[int], x: np.ndarray, k: int, cosine: float, a: list, b: lis
     s.append(np.take_along_axis(sims, near, 1).ravel())
 
 
+def trees_for(n: int, cosine: float) -> int:
+    """How many trees leave a pair at the threshold apart with a probability of APART at most."""
+    bits = max(0, ceil(log2(max(1, n / LEAF))))
+    together = (1 - acos(cosine) / pi) ** bits
+    return TREES if together >= 1 else max(TREES, ceil(log(APART) / log(1 - together)))
+
+
+def planted(nodes: DataFrame, n: int, seed: int, cosine: float) -> DataFrame:
+    """The edges of as many forests as n nodes need, one written after the other."""
+    out = None
+    for k in range(ceil(trees_for(n, cosine) / TREES)):
+        edges = stash(forest(nodes, n, seed * 100 + k, cosine))
+        out = edges if out is None else out.unionByName(edges)
+    return out
+
+
 def forest(nodes: DataFrame, n: int, seed: int, cosine: float = COSINE) -> DataFrame:
     """Edges (a, b, s): the nearest nodes of each node within its leaf, and links that join what the leaf's links join, for every tree.  Leaves are taken in chunks."""
     bits = max(0, ceil(log2(max(1, n / LEAF))))
@@ -237,31 +257,85 @@ def confirmed(links: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def sampled_links(nodes: DataFrame, cosine: float, seed: int) -> DataFrame:
-    """All links (a, b) of a sample of at most AUDIT nodes, by comparing it with every node."""
-    sample = [(r["node"], r["y"]) for r in nodes.select("node", "y").orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(AUDIT).collect()]
-    shared = nodes.sparkSession.sparkContext.broadcast(sample)  # at most AUDIT vectors
+def audited(nodes: DataFrame, found: DataFrame, cosine: float, seed: int) -> tuple[int, int]:
+    """Of two samples of at most AUDIT nodes, one of each component and nodes without a link: how many have links, and how many of these have one that isn't joined."""
+    placed = nodes.select("node", "y").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    order = F.xxhash64("node", F.lit(seed))
+    linked = found.groupBy("component").agg(F.min_by("node", order).alias("node")).orderBy(order).limit(AUDIT)
+    alone = nodes.join(found, "node", "left_anti").select("node").orderBy(order).limit(AUDIT)
+    sample = [tuple(r) for r in placed.join(F.broadcast(stash(linked.select("node").unionByName(alone))), "node").select("node", "component", "y").collect()]
+    shared = nodes.sparkSession.sparkContext.broadcast(sample)  # at most twice AUDIT vectors
 
     def run(batches):
         by: dict[int, list] = {}
-        for node, y in shared.value:
-            by.setdefault(len(y), []).append((node, np.frombuffer(y, np.float64)))
-        ready = {k: (np.array([n for n, _ in v]), np.stack([y for _, y in v])) for k, v in by.items()}
+        for node, comp, y in shared.value:
+            by.setdefault(len(y), []).append((node, comp, np.frombuffer(y, np.float64)))
+        ready = {k: (np.array([n for n, _, _ in v]), np.array([c for _, c, _ in v]), np.stack([y for *_, y in v])) for k, v in by.items()}
         for batch in batches:
-            a, b, s = [], [], []
-            raw = batch.column(1).to_pylist()
+            out = []
+            raw, own, comp = batch.column(1).to_pylist(), np.asarray(batch.column(0)), np.asarray(batch.column(2))
             for size in set(map(len, raw)) & set(ready):
-                at = [i for i, y in enumerate(raw) if len(y) == size]
-                ids, q = ready[size]
-                sims = np.frombuffer(b"".join([raw[i] for i in at]), np.float64).reshape(len(at), -1) @ q.T
-                own = np.asarray(batch.column(0))[at]
-                i, j = np.nonzero((sims >= cosine) & (own[:, None] != ids[None, :]))
-                a.append(ids[j])
-                b.append(own[i])
-                s.append(sims[i, j])
-            yield _edges(a, b, s)
+                all_ = [i for i, y in enumerate(raw) if len(y) == size]
+                ids, comps, q = ready[size]
+                for lo in range(0, len(all_), STRIP):
+                    at = all_[lo : lo + STRIP]
+                    sims = np.frombuffer(b"".join([raw[i] for i in at]), np.float64).reshape(len(at), -1) @ q.T
+                    near = (sims >= cosine) & (own[at][:, None] != ids[None, :])
+                    apart = (near & (comp[at][:, None] != comps[None, :])).any(0)
+                    out += [(int(ids[i]), bool(apart[i])) for i in np.flatnonzero(near.any(0))]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([m for _, m in out], pa.bool_())], names=["node", "missed"])
+
+    seen = placed.select("node", "y", "component").mapInArrow(run, "node long, missed boolean").groupBy("node").agg(F.max("missed").alias("missed"))
+    got = seen.agg(F.count("*").alias("n"), F.count_if("missed").alias("missed")).first()
+    return got["n"], got["missed"]
+
+
+def everywhere(nodes: DataFrame, found: DataFrame, cosine: float) -> DataFrame:
+    """Links (a, b) that join what all links between different components join: every two vectors compared, in blocks."""
+    placed = nodes.select("node", "dim", "x").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = nodes.groupBy("dim").agg(F.ceil(F.count("*") / WHOLE).cast("int").alias("blocks"))
+    placed = placed.join(F.broadcast(sizes), "dim").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
+    rows = placed.withColumn("pair", F.explode(both)).select("dim", "pair.i", "pair.j", "block", "node", "component", "x").repartition("dim", "i", "j").sortWithinPartitions("dim", "i", "j")
+
+    def compare(i, j, members):
+        block, ids, comp, x = (list(c) for c in zip(*members, strict=True))
+        block, ids, comp = np.array(block), np.array(ids), np.array(comp)
+        x = np.frombuffer(b"".join(x), np.float32).reshape(len(ids), -1)
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        a, b = [], []
+        for lo in range(0, len(left), STRIP):
+            at = left[lo : lo + STRIP]
+            sims = x[at] @ x[right].T
+            p, q = np.nonzero(sims >= cosine - SLACK)
+            sure, p, q = sims[p, q] >= cosine + SLACK, at[p], right[q]
+            while True:
+                apart = comp[p] != comp[q]
+                sure, p, q = sure[apart], p[apart], q[apart]
+                if not sure.any():
+                    break
+                k = int(sure.argmax())
+                a.append(ids[p[k]])
+                b.append(ids[q[k]])
+                comp[comp == comp[q[k]]] = comp[p[k]]
+            a += ids[p].tolist()
+            b += ids[q].tolist()
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        key, members = None, []
+        for batch in batches:
+            for dim, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (dim, i, j) != key:
+                    if members:
+                        yield compare(*key[1:], members)
+                    key, members = (dim, i, j), []
+                members.append(tuple(rest))
+        if members:
+            yield compare(*key[1:], members)
 
-    return nodes.select("node", "y").mapInArrow(run, EDGES).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s").dropDuplicates(["a", "b"])
+    links = rows.mapInArrow(run, "a long, b long").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return confirmed(links, nodes, cosine)
 
 
 def counted(found: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
@@ -312,17 +386,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     n = nodes.count()
     links = found = None
     for seed in range(1, AUDITS + 1):
-        more = confirmed(descend(forest(nodes, n, seed, cosine), nodes, cosine), nodes, cosine)
+        more = confirmed(descend(planted(nodes, n, seed, cosine), nodes, cosine), nodes, cosine)
         links = stash(more if links is None else links.unionByName(more).distinct())
         found = stash(components(links))
-        true = stash(sampled_links(nodes, cosine, seed).select("a", "b"))
-        place = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-        audit = true.join(place("a"), "a", "left").join(place("b"), "b", "left").agg(F.count("*").alias("n"), F.count_if(F.col("of_a") == F.col("of_b")).alias("hit")).first()
-        if audit["hit"] < audit["n"]:
-            links = stash(links.unionByName(true).distinct())
-            found = stash(components(links))
-        if audit["hit"] >= RECALL * audit["n"]:
+        tested, missed = audited(nodes, found, cosine, seed)
+        if not missed:
             break
+    if missed or not tested:
+        found = stash(components(links.unionByName(everywhere(nodes, found, cosine))))
     counts = counted(found, nodes, cosine)
     ids = stash(nodes.select("node", "copies").join(found, "node", "left").join(counts, "node", "left").select("node", F.coalesce("component", "node").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     own = usable(vectors).filter(F.col("vec_id").isNotNull()).select("vec_id", F.col("embedding").cast("array<double>").alias("v"))

@@ -345,6 +345,23 @@ def test_nn_descent_keeps_links_that_full_lists_refuse(spark):
     assert joined.filter("least(a, b) = 19 AND greatest(a, b) = 20").count() > 0
 
 
+def test_nn_descent_makes_up_for_a_search_that_finds_little(spark, monkeypatch):
+    """One group of a third of the rows and lone pairs; the search finds the group alone, so the audits fail and all is compared."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((300, 16))
+    x[:100] = x[0] + 0.02 * rng.standard_normal((100, 16))
+    x[200:] = x[100:200] + 0.05 * rng.standard_normal((100, 16))
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    near = unit @ unit.T >= 0.95
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(nndescent, "descend", lambda graph, nodes, cosine: graph.filter("a < 100 AND b < 100"))
+    monkeypatch.setattr(nndescent, "AUDIT", 20)
+    monkeypatch.setattr(nndescent, "WHOLE", 64)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_duplicates(df).collect()}
+    assert got == {i: (near[i].sum() - 1, np.flatnonzero(near[i]).min()) for i in range(300)}
+    assert nndescent.trees_for(1_000_000, 0.95) > nndescent.trees_for(20_000, 0.95) > nndescent.TREES
+
+
 def test_hnsw_recall_and_scores(spark):
     x, df = vectors(spark)
     out: dict = {}
