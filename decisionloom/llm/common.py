@@ -27,33 +27,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests, local mode)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="decisionloom-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a folder in the warehouse, or in local mode (tests) a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found is None:
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        found = tempfile.mkdtemp(prefix="decisionloom-") if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/decisionloom-work"
+        spark.sparkContext.setCheckpointDir(found)
+    return found
 
 
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a stash is written: its shuffle files go when it ends, and texts reach Python in batches of bounded size.
+WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 def stash(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors, and fixes the rows that later steps see.
-
-    Shuffle files of the write go when it ends.
-    """
+    """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors, and fixes the rows that later steps see."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_UP)
-    spark.conf.set(CLEAN_UP, "true")
+    before = {k: spark.conf.get(k) for k in WHILE_WRITING}
+    for k, v in WHILE_WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(CLEAN_UP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out._stash = path
     return out
@@ -67,6 +69,24 @@ def release(*stashed: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def row_key(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> list:
+    """Columns did (the id, the largest number for null) and raw (a 64-bit hash of the text): rows that agree in both hold one document."""
+    return [F.coalesce(docs[id_column].cast("long"), F.lit(LAST)).alias("did"), F.xxhash64(docs[text_column].cast("binary")).alias("raw")]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc (a struct of all columns of docs, so that none clashes with ours), did and raw."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), *row_key(docs))
+
+
+def without(rows: DataFrame, keys: DataFrame, *more: str) -> DataFrame:
+    """Rows of keyed() whose key (did, raw and more) is not among the keys."""
+    return rows.join(few(keys), ["did", "raw", *more], "left_anti")
+
+
+#: Stands for a null id in keys; after all others.
+LAST = (1 << 63) - 1
+
 #: Rows of a few fixed-width columns (tens of bytes each) up to which one side of a join is broadcast; beyond it both are shuffled.
 FEW = 100_000
 
@@ -91,18 +111,30 @@ def held_out(doc_id, folds: int, fold: int):
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: dict[int, int], columns: tuple[str, ...] = ()) -> list:
-    """At most per_class labelled documents outside the held-out fold, in a hashed order: rows (label, text, *columns) on the driver.
+#: Characters of all texts of a sample together.
+SAMPLE_CHARS = 32_000_000
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: dict[int, int], columns: tuple[str, ...] = (), most: int = SAMPLE_CHARS) -> list:
+    """At most per_class labelled documents outside the held-out fold, in a hashed order and while their texts stay below `most` characters in all: rows (label, text, *columns) on the driver.
 
     A document that is labelled twice counts with its larger label; null ids, labels and texts are left out.
     """
-    own = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).filter(F.col("_id").isNotNull() & F.col("_y").isin(*per_class))
-    own = own.filter(~held_out(F.col("_id"), folds, fold)).groupBy("_id").agg(F.max("_y").alias("_y"))
+    own = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).filter(F.col("id").isNotNull() & F.col("y").isin(*per_class))
+    own = own.filter(~held_out(F.col("id"), folds, fold)).groupBy("id").agg(F.max("y").alias("y"))
     kept = None
     for y, n in sorted(per_class.items()):
-        one = own.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
+        one = own.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)
         kept = one if kept is None else kept.unionByName(one)
     kept = stash(kept)  # a bounded number of ids
-    joined = docs.join(F.broadcast(kept), docs["doc_id"] == kept["_id"]).filter(F.col("text").isNotNull())
-    rows = joined.select("_id", "_y", docs["text"], *[docs[c] for c in columns]).collect()
-    return [tuple(r)[1:] for r in sorted(rows, key=lambda r: (r["_id"], r["text"]))]
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text"), *[F.col(c).alias(f"with_{c}") for c in columns]).filter(F.col("text").isNotNull())
+    found = stash(texts.join(F.broadcast(kept), "id").withColumn("chars", F.length("text")).withColumn("h", F.xxhash64("id")))
+    total, last = 0, None
+    for r in found.groupBy("h").agg(F.sum("chars").alias("n")).orderBy("h").collect():  # a row per document of the sample
+        total += r["n"]
+        if total > most:
+            break
+        last = r["h"]
+    rows = [] if last is None else found.filter(F.col("h") <= last).select("id", "y", "text", *[f"with_{c}" for c in columns]).collect()
+    release(kept, found)
+    return [tuple(r)[1:] for r in sorted(rows, key=lambda r: (r["id"], r["text"]))]

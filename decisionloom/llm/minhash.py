@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, few, release, stash, table
+from decisionloom.llm.common import by_value, few, keyed, release, row_key, stash, table, without
 from decisionloom.llm.graph import components
 
 by_value(__name__)
@@ -33,7 +33,8 @@ by_value(__name__)
 SHINGLE, PERCENT = 5, 85
 #: 24 bands of 5 find a pair at a threshold of 85 % with a probability of 1 - 1e-6; lower ones take more bands of fewer rows.
 BANDS, ROWS, HASHES, BATCH, MISS, UNBANDED = 24, 5, 128, 32, 1e-5, 1e-6
-CACHE = 300_000
+#: Words whose hashes a worker keeps; beyond it starts anew.
+CACHE = 150_000
 #: Nodes of a bucket that one task compares with as many others.
 BLOCK = 256
 #: Partners of a node that one task confirms.
@@ -133,21 +134,21 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, node (digest of the words, null without any), n_shingles, signature."""
+    """docs(doc_id, text) -> doc_id, did and raw (the row's key), node (digest of the words, null without any), n_shingles, signature."""
 
     def run(batches):
         s, (a, b) = Shingles(), permutations(HASHES)
         for batch in batches:
             nodes, counts, signatures = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(3):
                 words = s.words(text.as_py())
                 h = s.hashes(words)
                 nodes.append(s.sequence(words) if words else None)
                 counts.append(len(h))
                 signatures.append(signature(h, a, b).tobytes() if words else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(counts, pa.int64()), pa.array(signatures, pa.binary())], names=["doc_id", "node", "n_shingles", "signature"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(nodes, pa.binary()), pa.array(counts, pa.int64()), pa.array(signatures, pa.binary())], names=["doc_id", "did", "raw", "node", "n_shingles", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, node binary, n_shingles long, signature binary")
+    return docs.select(F.col("doc_id").cast("long"), *row_key(docs), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, did long, raw long, node binary, n_shingles long, signature binary")
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -283,11 +284,11 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """docs(doc_id, text) -> a row per document: doc_id, node, n_shingles, component_id, kept."""
+    """docs(doc_id, text) -> a row per document: doc_id, did and raw (the row's key), node, n_shingles, component_id, kept."""
     rows = stash(signed(docs))
     none = F.lit(-(1 << 62))
     nodes = stash(rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.coalesce("doc_id", none)).alias("_id"), F.min("doc_id").alias("first"), F.first("signature").alias("signature")))
-    narrow = stash(rows.select("doc_id", "node", "n_shingles"))
+    narrow = stash(rows.select("doc_id", "did", "raw", "node", "n_shingles"))
     release(rows)
     bands = _banded(nodes, percent)
     hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub")
@@ -309,35 +310,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ids = labelled.join(least, "component").select("node", "component_id")
     out = narrow.join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = stash(out.select("doc_id", "node", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")))
+    out = stash(out.select("doc_id", "did", "raw", "node", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")))
     release(nodes, narrow, members, sets, pairs, found, unresolved, links)
     return out
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """docs with one document of each group: the least id, and of repeated rows of that id one."""
-    groups = near_duplicates(docs, percent).filter("kept")
-    kept = stash(groups.filter(F.col("node").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct())
-    keyed = signed_key(docs)
-    same = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_key"] == kept["_node"])
-    with_words = keyed.filter(F.col("_key").isNotNull()).join(kept, same, "left_semi").dropDuplicates(["doc_id", "_key"])
-    return with_words.unionByName(keyed.filter(F.col("_key").isNull())).select(*docs.columns)
+    """docs with one document of each group: that of the least id, if this id repeats that of the least text hash, and one row of it.  Documents without words all stay.
 
-
-def signed_key(docs: DataFrame) -> DataFrame:
-    """docs + _key, the digest of a text's words."""
-
-    def run(batches):
-        s = Shingles()
-        for batch in batches:
-            keys = []
-            for text in batch.column(batch.num_columns - 1):
-                words = s.words(text.as_py())
-                keys.append(s.sequence(words) if words else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(keys, pa.binary())], names=[*batch.schema.names[:-1], "_key"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _key binary"
-    return docs.select("*", F.col("text").cast("binary").alias("_text")).mapInArrow(run, schema)
+    Only keys of rows decide: rows to be dropped go by an anti join, and rows are compared whole only where a key of a kept one repeats.
+    """
+    groups = near_duplicates(docs, percent)
+    worded = groups.filter(F.col("node").isNotNull())
+    chosen = worded.filter("kept").groupBy("did").agg(F.min("raw").alias("best"))
+    marked = worded.join(few(stash(chosen)), "did", "left")
+    lost = stash(marked.filter(~F.col("kept") | (F.col("raw") != F.col("best"))).select("did", "raw").distinct())
+    again = stash(worded.filter("kept").groupBy("did", "raw").agg(F.count("*").alias("n")).filter("n > 1").select("did", "raw").join(few(lost), ["did", "raw"], "left_anti"))
+    rows = keyed(docs)
+    single = without(rows, lost.unionByName(again)).select("doc.*")
+    repeated = rows.join(few(again), ["did", "raw"]).dropDuplicates(["did", "raw"]).select("doc.*")
+    return single.unionByName(repeated)
 
 
 def op8_minhash_neardup(spark, sf_dir: str) -> DataFrame:

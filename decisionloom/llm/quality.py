@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, held_out, labelled_sample, table
+from decisionloom.llm.common import by_value, held_out, labelled_sample, stash, table
 
 by_value(__name__)
 
@@ -87,8 +87,8 @@ def train(rows: list[tuple[int, str]], epochs: int = EPOCHS, rate: float = RATE,
     return {"vectors": vectors, "out": out, "bias": bias}
 
 
-def scores(docs: DataFrame, model: dict, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The given columns and `score`, the softmax output of label 1."""
+def scores(docs: DataFrame, model: dict) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, score: the softmax output of label 1."""
     along = (model["vectors"] @ (model["out"][:, 1] - model["out"][:, 0])).astype(np.float64)
     shared = docs.sparkSession.sparkContext.broadcast((along, float(model["bias"][1] - model["bias"][0])))  # a number per bucket
 
@@ -114,18 +114,17 @@ def scores(docs: DataFrame, model: dict, columns: tuple[str, ...] = ("doc_id",))
             return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
         for batch in batches:
-            score = [one(x.as_py()) for x in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+            score = [one(x.as_py()) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
-    fields = docs.select(*columns)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.schema) + ", score double"
-    return docs.select(*columns, F.col("text").cast("binary").alias("_text")).mapInArrow(run, schema)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, f"doc_id {kind}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3) -> DataFrame:
     """docs(doc_id, text), labels(doc_id, quality) -> doc_id, held_out, score, predicted."""
     model = train(labelled_sample(docs, labels, "quality", folds, fold, PER_CLASS))
-    out = scores(docs, model)
+    out = stash(scores(docs, model))
     return out.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
