@@ -58,10 +58,34 @@ def test_substrings_equal_brute_force(spark, docs, none):
     assert substrings.repeated_windows(none).count() == 0
 
 
-def test_substrings_by_long_prefixes_are_the_same(spark, docs, monkeypatch):
-    one = sorted(map(repr, substrings.repeated_windows(docs).select("doc_id", "n_removed").collect()))
-    monkeypatch.setattr(substrings, "MEMORY", 1)
-    assert sorted(map(repr, substrings.repeated_windows(docs).select("doc_id", "n_removed").collect())) == one
+@pytest.mark.parametrize(("memory", "block"), [(1, 1 << 20), (10, 100), (8000, 1000)])
+def test_substrings_by_longer_prefixes_and_blocks_are_the_same(spark, monkeypatch, memory, block):
+    rng = np.random.default_rng(21)
+    passages = [prose(300 + i, 25 + 3 * i) for i in range(6)]
+    rows = []
+    for i in range(70):  # passages that many documents share, whole and in part, between words of their own
+        some = [passages[j] if rng.random() < 0.7 else " ".join(passages[j].split()[5:-2]) for j in rng.integers(0, 6, 3)]
+        rows.append((int(i % 60), f" {prose(400 + i, 3 + i)} ".join(some) + (" again and again" * 40 if i % 9 == 0 else "")))
+    expected = by_windows(rows)
+    monkeypatch.setattr(substrings, "BLOCK", block)
+    monkeypatch.setattr(substrings, "SIDE_BY_SIDE", 50)
+    monkeypatch.setattr(substrings, "BYTES", 64)
+    got = substrings.repeated_windows(spark.createDataFrame(rows, "doc_id long, text string"), memory=memory)
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()) == sorted(expected)
+
+
+def by_windows(rows):
+    """Removed words by definition, for rows (doc_id, text); of one id's texts the order is that of a digest."""
+    order = sorted({(doc, tuple((text or "").encode().split())) for doc, text in rows}, key=lambda r: (r[0] is None, r[0] or 0, hashlib.sha256(b" ".join(r[1])).digest()))
+    seen, found = set(), {}
+    for doc, words in order:
+        gone = set()
+        for p in range(len(words) - 19):
+            if words[p : p + 20] in seen:
+                gone |= set(range(p, p + 20))
+            seen.add(words[p : p + 20])
+        found[doc, words] = (doc, len(words), len(gone), hashlib.sha256(b" ".join(w for i, w in enumerate(words) if i not in gone)).hexdigest())
+    return [found[doc, tuple((text or "").encode().split())] for doc, text in rows]
 
 
 def test_remove_repeats_keeps_columns(spark, docs):
@@ -444,3 +468,21 @@ def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_neardup", "substring_dedup", "mixing", "packing"]
     out = corpus_pipeline.run(spark, DATA)
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).filter("n <> end OR n > 4096").count() == 0
+
+
+CLASHES = "_id _y _key _score _digest _kept _node _d _text id y did raw doc key score node component digest kept lang_threshold band word size target".split()
+
+
+def test_columns_of_any_name_go_through(spark):
+    """Extra columns under names that operators use themselves neither crash nor change."""
+    rows = [(r[0], r[1], r[2], r[3], *[f"{c}-{i}" for c in CLASHES]) for i, r in enumerate(ROWS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    labels = spark.createDataFrame([(i, i % 2, i % 2, "x") for i in range(12)], "doc_id long, quality int, toxic int, _id string")
+    plain = df.select("doc_id", "text", "lang", "source")
+    for whole in (lambda d: toxicity.keep_clean(d, labels), minhash.keep_one, substrings.remove_repeats, mixing.mix_documents):
+        got, expected = whole(df), whole(plain)
+        assert got.columns == df.columns
+        assert sorted(map(repr, got.select(plain.columns).collect())) == sorted(map(repr, expected.collect()))
+        assert all(r[c].startswith(f"{c}-") for r in got.collect() for c in CLASHES)
+    for thin in (lambda d: quality.classify(d, labels), lambda d: toxicity.classify(d, labels), minhash.near_duplicates, substrings.repeated_windows, licences.scan, packing.pack, mixing.mixing_plan):
+        assert sorted(map(repr, thin(df).collect())) == sorted(map(repr, thin(plain).collect()))
