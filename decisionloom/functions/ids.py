@@ -27,9 +27,13 @@ def int_or_null(c: Column) -> Column:
     return c.try_cast("int")
 
 
+# Fixed value: how titles write a chamber's number.
+CHAMBER = r"(\d{1,2})\s*\.\s*(?:[A-Za-zÇĞİÖŞÜçğıöşü]+\s+){0,3}?(?:Daire|Dairesi|Mahkemesi)"
+
+
 def chamber(title: Column) -> Column:
     """First chamber number of a title, 1 to 50."""
-    n = F.nullif(F.regexp_extract(title, r"(?iU)(\d{1,3})\s*\.\s*(?:hukuk|ceza|daire|idare|vergi)", 1), F.lit("")).try_cast("int")
+    n = F.nullif(F.regexp_extract(title, CHAMBER, 1), F.lit("")).try_cast("int")
     return F.when(n.between(1, 50), n)
 
 
@@ -52,9 +56,13 @@ def law_short(c: Column) -> Column:
 
 
 def canonical_id(law_type: Column, law_no: Column, short: Column, name: Column, article: Column) -> Column:
+    """Key of a provision: by the law's number, the constitution, the law's name, or its abbreviation; null without any."""
     key = article_key(article)
     has = lambda c: text.blank(c).isNotNull()
-    return F.when(has(law_no), F.concat(law_no, F.lit("/"), key)).when(law_type == "constitution", F.concat(F.lit("constitution/"), key)).when(has(name), F.concat(text.slug(name), F.lit("/"), key)).when(has(short), F.concat(text.slug(short), F.lit("/"), key))
+    number = F.coalesce(F.nullif(F.regexp_replace(law_no, "[^0-9]", ""), F.lit("")), law_no)
+    named = F.trim(F.regexp_replace(text.tr_lower(name), "[^a-zçğıöşü0-9]+", "-"), F.lit("-"))
+    out = F.when(has(law_no), number).when(law_type == "constitution", F.lit("constitution")).when(has(name), named).when(has(short), text.tr_lower(short))
+    return F.concat(out, F.lit("/"), key)
 
 
 def law_refs(canonical: Column, law_no: Column, short: Column, article: Column) -> Column:

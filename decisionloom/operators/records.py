@@ -108,3 +108,134 @@ def contract_problems() -> Column:
             "chunk_without_role": (F.col("unit") == "chunk") & F.col("role").isNull(),
         }
     )
+
+
+#: Fields that the index is searched by, the courts it knows, and the namespace of parents' identifiers.
+PRODUCTION_FIELDS = ["uuid", "filename", "title", "court", "high_court", "chamber", "E_no", "K_no", "esas_year", "karar_year", "esas_series", "karar_series"]
+HIGH_COURTS = ["bam", "yargitay", "danistay", "first_degree", "aym", "kvkk", "rekabet", "uyusmazlik"]
+PARENT_NAMESPACE = "6f2b7c31-9d84-4a1e-bd0c-3e5f8a7d2c46"
+
+
+def chunk_records(chunks: DataFrame, raw: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Index records of chunks with their raw records (title, esas_year, esas_no, karar_year, karar_no), and their `problems` and `gap`.
+
+    chunks without a raw record are left out; unmatched() tells which.
+    """
+    from decisionloom.functions import ids, legal
+
+    rows = chunks.join(raw, doc)
+    esas, karar, _ = filled_years(F.col("esas_year"), F.col("karar_year"))
+    source, title = F.col("source_type"), F.col("title")
+    chamber = ids.chamber(title)
+    notes = {
+        "esas_year_from_karar_year": F.col("esas_year").isNull() & F.col("karar_year").isNotNull(),
+        "karar_year_from_esas_year": F.col("karar_year").isNull() & F.col("esas_year").isNotNull(),
+        "no_chamber_in_title": chamber.isNull(),
+    }
+    field = F.when(source == "aym", "firac").when(source.isin("kvkk", "rekabet"), "regulatory").otherwise("court_reasoning")
+    keys = F.flatten(F.transform("cited_legislations", lambda g: ids.law_refs(g["canonical_id"], g["law_no"], g["law_short"], g["article_no"])))
+    records = rows.select(
+        doc, F.col("chunk_id").alias("uuid"), F.concat(F.lit("__"), F.col(doc).cast("string"), F.lit(".txt")).alias("filename"), F.nullif(title, F.lit("")).alias("title"), legal.court(title, source).alias("court"), source.alias("high_court"), chamber.alias("chamber"),
+        ids.year_no(esas, F.col("esas_no")).alias("E_no"), ids.year_no(karar, F.col("karar_no")).alias("K_no"), esas.alias("esas_year"), karar.alias("karar_year"), F.col("esas_no").alias("esas_series"), F.col("karar_no").alias("karar_series"),
+        ids.uuid5(PARENT_NAMESPACE, F.concat_ws(":", source, F.col(doc).cast("string"))).alias("parent_uuid"), F.lit("chunk").alias("unit"), F.lit(1).alias("schema_version"), "text",
+        F.transform("refs", lambda i: F.concat(F.lit("p"), i.cast("string"))).alias("paragraph_ids"), "chunk_index", "role", field.alias("role_vocabulary"), "content_type", "confidence", "case_no", "decision_date", "source_type", "cited_legislations",
+        F.array_sort(F.array_distinct(keys)).alias("law_refs"), named(notes).alias("derivation_notes"),
+    )
+    return records.withColumn("problems", record_problems()).withColumn("gap", production_gap())
+
+
+def record_problems() -> Column:
+    """Every way in which an index record would fail: what raises, what is never found, what can't be joined, what is empty."""
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    chunk = F.col("unit") == "chunk"
+    return named(
+        {
+            "esas_year_not_int": F.col("esas_year").isNull(), "karar_year_not_int": F.col("karar_year").isNull(), "esas_year_null": F.col("esas_year").isNull(),
+            "uuid_missing": blank("uuid"), "parent_uuid_missing": blank("parent_uuid"), "high_court_unknown": ~F.coalesce(F.col("high_court").isin(*HIGH_COURTS), F.lit(False)),
+            "text_empty": blank("text"), "paragraph_ids_empty": chunk & (F.size("paragraph_ids") == 0), "role_null": chunk & F.col("role").isNull(),
+        }
+    )
+
+
+def production_gap() -> Column:
+    """Fields that the index is searched by and that are null or empty."""
+    return named({f: F.coalesce(F.col(f).cast("string"), F.lit("")) == "" for f in PRODUCTION_FIELDS})
+
+
+def unmatched(chunks: DataFrame, raw: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and chunks: documents of stored chunks, by the identifier in their label, that have no raw record."""
+    return chunks.join(raw.select(*keys), keys, "left_anti").groupBy(*keys).agg(F.count("*").alias("chunks"))
+
+
+def usable_first(records: DataFrame, reserved: DataFrame, n: int, key: str = "doc_id", order: str = "doc_id", statuses: tuple[str, ...] = ("fetched", "completed")) -> tuple[DataFrame, DataFrame]:
+    """The first n usable records that aren't reserved, and one row of counts: reserved, without text, usable."""
+    flagged = records.join(reserved.select(key).distinct().withColumn("held", F.lit(True)), key, "left").withColumn("held", F.coalesce("held", F.lit(False)))
+    body = F.concat(F.coalesce("content_text", F.lit("")), F.coalesce("html_content", F.lit("")))
+    flagged = flagged.withColumn("usable", F.coalesce(F.col("status").isin(*statuses), F.lit(False)) & (F.trim(body) != ""))
+    counts = flagged.agg(F.count_if("held").alias("reserved"), F.count_if(~F.col("held") & ~F.col("usable")).alias("unusable"), F.count_if(~F.col("held") & F.col("usable")).alias("usable"))
+    return flagged.filter(~F.col("held") & F.col("usable")).orderBy(order).limit(n).drop("held", "usable"), counts
+
+
+def picked(records: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Records of a list (pos, key), in its order."""
+    return records.join(wanted, key).orderBy("pos")
+
+
+def without_examples(records: DataFrame, examples: DataFrame) -> DataFrame:
+    """Records that no worked example (source, case_no or doc_id) was made of."""
+    by_case = examples.filter("case_no IS NOT NULL").select("source", "case_no").distinct()
+    by_doc = examples.filter("doc_id IS NOT NULL").select("source", "doc_id").distinct()
+    return records.join(by_case, ["source", "case_no"], "left_anti").join(by_doc, ["source", "doc_id"], "left_anti")
+
+
+def null_fields_by_source(records: DataFrame, source: str = "source_type") -> DataFrame:
+    """field, sources: where each searched field is null or empty."""
+    return records.select(source, F.explode(production_gap()).alias("field")).groupBy("field").agg(F.array_sort(F.collect_set(source)).alias("sources"))
+
+
+def text_columns(records: DataFrame) -> DataFrame:
+    """One row: records, those with plain text, those with HTML."""
+    filled = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
+    return records.agg(F.count("*").alias("records"), F.count_if(filled("content_text")).alias("content"), F.count_if(filled("html_content")).alias("html"))
+
+
+def failed_reviews(reviews: DataFrame) -> DataFrame:
+    """Reviews of documents that were not stored; those that only carry flags are no failures."""
+    return reviews.filter(F.col("reason").isNotNull() & (F.col("reason") != "") & (F.col("reason") != "validation_flags"))
+
+
+def produced(chunks: DataFrame, expected: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """One row: documents that were expected, those produced, and those of both."""
+    made = chunks.select(doc).distinct().withColumn("made", F.lit(1))
+    rows = expected.select(doc).distinct().withColumn("wanted", F.lit(1)).join(made, doc, "full_outer")
+    return rows.agg(F.count("wanted").alias("expected"), F.count("made").alias("produced"), F.count_if(F.col("wanted").isNotNull() & F.col("made").isNotNull()).alias("both"))
+
+
+def uncovered_archetypes(profile: DataFrame) -> DataFrame:
+    """profile(source, shape, documents, covered) -> source, archetypes, uncovered documents and their share."""
+    missed = F.sum(F.when(~F.col("covered"), F.col("documents")).otherwise(0))
+    return profile.groupBy("source").agg(F.count("*").alias("archetypes"), missed.alias("uncovered"), F.round(missed / F.sum("documents"), 6).alias("share"))
+
+
+def second_read(chunks: DataFrame, capsules: DataFrame, fixes: DataFrame, doc: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chunks and capsules with the roles and outcomes that a second reader gave, and by document how many were changed and how many capsules it misses.
+
+    fixes(doc, kind 'role', 'outcome' or 'missing', key, value): key is the chunk's label or the capsule's index as text.
+    """
+    of = lambda kind: fixes.filter(F.col("kind") == kind).groupBy(doc, "key").agg(F.max("value").alias("value"))
+    roles = chunks.join(of("role").withColumnRenamed("key", "chunk_label"), [doc, "chunk_label"], "left").withColumn("changed", F.col("value").isNotNull() & (F.col("value") != F.col("role")))
+    outcomes = capsules.withColumn("key", F.col("capsule_index").cast("string")).join(of("outcome"), [doc, "key"], "left").withColumn("changed", F.col("value").isNotNull() & (F.col("value") != F.col("outcome")))
+    missing = fixes.filter("kind = 'missing'").groupBy(doc).agg(F.count("*").alias("missing"))
+    changed = roles.filter("changed").select(doc).unionAll(outcomes.filter("changed").select(doc)).groupBy(doc).agg(F.count("*").alias("changed"))
+    counts = changed.join(missing, doc, "full_outer").select(doc, F.coalesce("changed", F.lit(0)).alias("changed"), F.coalesce("missing", F.lit(0)).alias("missing"))
+    c = roles.withColumn("role", F.coalesce("value", "role")).drop("value", "changed")
+    k = outcomes.withColumn("outcome", F.coalesce("value", "outcome")).drop("value", "changed", "key")
+    return c, k, counts
+
+
+def rights_against_capsules(verdicts: DataFrame, capsules: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """doc, right, verdict, outcomes: verdicts(doc, right slug, verdict) of the court's own metadata that no capsule on the right shares."""
+    by = capsules.select(doc, "subject_id", "outcome")
+    same = (verdicts["right"] == by["subject_id"]) & (verdicts[doc] == by[doc])
+    rows = verdicts.join(by, same, "left").groupBy(verdicts[doc], verdicts["right"], verdicts["verdict"]).agg(F.array_sort(F.collect_set("outcome")).alias("outcomes"))
+    return rows.filter(~F.array_contains("outcomes", F.col("verdict")))

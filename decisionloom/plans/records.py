@@ -21,16 +21,11 @@ def _scalars(docs, t):
 
 
 def text_scalars(spark, d):
-    return _scalars(table(spark, d, "documents"), F.substring("text", 1, 1000))
-
-
-def text_scalars_whole(spark, d):
-    """text_scalars over whole texts."""
     return _scalars(table(spark, d, "documents"), F.col("text"))
 
 
 _LOW = "lower(translate(h, 'İI', 'iı'))"
-TEXT = f"""WITH t AS (SELECT doc_id, source, text[1:1000] AS h FROM documents),
+TEXT = f"""WITH t AS (SELECT doc_id, source, text AS h FROM documents),
 w AS (SELECT *, regexp_extract_all(lower(h), '{vocab.TOKEN}') AS w FROM t)
 SELECT doc_id, md5(upper(translate(replace(h, 'ß', 'ss'), 'iı', 'İI'))) AS upper, md5({_LOW}) AS lower, md5(trim(regexp_replace(h, '\\s+', ' ', 'g'))) AS ws, md5(translate(h, '{vocab.DEACCENT_FROM}', '{vocab.DEACCENT_TO}')) AS plain,
   regexp_replace(source || ' ' || doc_id::VARCHAR, '\\d+', '#', 'g') AS shape,
@@ -38,37 +33,7 @@ SELECT doc_id, md5(upper(translate(replace(h, 'ß', 'ss'), 'iı', 'İI'))) AS up
   length(h)::VARCHAR || '/1000' AS part, round(len(list_filter(w, lambda x: x IN ({", ".join(f"'{x}'" for x in vocab.STOPWORDS["en"])}))) / greatest(len(w), 1), 6) AS english,
   CASE WHEN doc_id % 2 = 0 THEN 'p' || doc_id::VARCHAR ELSE 'p' || doc_id::VARCHAR || '_to_p' || (doc_id + 1)::VARCHAR END AS range FROM w"""
 
-WHOLE = TEXT.replace("text[1:1000] AS h", "text AS h")
-
-#: Invented records: title, dates, numbers, names as they come.
-RECORDS = [
-    (1, "11. Hukuk Dairesi", "15.09.2021", "Geçici 3", "T.B.K.", 2024, None, ["p3", "p1", "p3", "p0", "p99", "zz"], "dissent", ["Örnek"]),
-    (2, "77. Daire", "2024-01-02T10:00:00", "GEÇİCİ MADDE 3", "hmk", None, 2023, ["p2"], "dissent", []),
-    (3, "Genel Kurul", "3/7/2005 tarihinde", "141 / A", "A", None, None, [], "majority", ["X"]),
-    (4, "2. Ceza Dairesi", None, None, "ABC1", 2020, 2021, ["p5", "p4"], "concurring", ["Ali Veli", "Can"]),
-]
-#: What they must become.
-EXPECTED = [
-    (1, 11, "2021-09-15", "geçici-3", "TBK", "2024/7", 2024, 2024, "1,3", "dissent:örnek"),
-    (2, None, "2024-01-02", "geçici-3", "HMK", None, 2023, 2023, "2", "dissent"),
-    (3, None, "2005-07-03", "141/a", None, None, None, None, "", "majority"),
-    (4, 2, None, "unknown", None, "2020/7", 2020, 2021, "4,5", "concurring:ali_veli+can"),
-]
-
-
-def record_scalars(spark, d):
-    r = spark.createDataFrame(RECORDS, "id int, title string, date string, article string, short string, esas int, karar int, refs array<string>, kind string, authors array<string>")
-    esas, karar, _ = R.filled_years(F.col("esas"), F.col("karar"))
-    return r.select("id", ids.chamber(F.col("title")).alias("chamber"), ids.iso_date(F.col("date")).alias("date"), ids.article_key(F.col("article")).alias("article"), ids.law_short(F.col("short")).alias("short"), ids.year_no(F.col("esas"), F.lit(7)).alias("case_no"), esas.alias("esas"), karar.alias("karar"), F.array_join(ids.ref_indices(F.col("refs"), F.lit(5)).cast("array<string>"), ",").alias("refs"), ids.fold_opinion(F.col("kind"), F.col("authors")).alias("opinion"))
-
-
-def _values(rows):
-    lit = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
-    return ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows)
-
-
-RECORD = f"SELECT id, chamber::INTEGER AS chamber, date, article, short, case_no, esas::INTEGER AS esas, karar::INTEGER AS karar, refs, opinion FROM (VALUES {_values(EXPECTED)}) t(id, chamber, date, article, short, case_no, esas, karar, refs, opinion)"
-
+WHOLE = TEXT.replace("text AS h", "text AS h")
 
 def canonical_and_refs(spark, d):
     """Parts as laws: the number is the key, the brand the abbreviation, the size the article."""
@@ -81,7 +46,7 @@ def canonical_and_refs(spark, d):
 
 
 CANONICAL = """WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_partkey::VARCHAR END AS no, CASE WHEN p_partkey % 5 > 0 THEN p_size::VARCHAR END AS art, p_partkey % 3 = 1 AS con,
-  trim(regexp_replace(lower(translate(p_brand, 'İI', 'iı')), '[^0-9a-zçğıöşüâîûêô]+', '_', 'g'), '_') AS slug FROM part),
+  trim(regexp_replace(lower(translate(p_brand, 'İI', 'iı')), '[^0-9a-zçğıöşü]+', '-', 'g'), '-') AS slug FROM part),
 c AS (SELECT *, CASE WHEN no IS NOT NULL THEN no WHEN con THEN 'constitution' ELSE slug END || '/' || coalesce(art, 'unknown') AS canonical FROM p)
 SELECT p_partkey, canonical, array_to_string(list_sort(list_distinct(list_filter([canonical, no, no || '/' || art, 'HMK', 'HMK/' || art], lambda x: x IS NOT NULL))), ' ') AS refs FROM c"""
 
@@ -223,8 +188,10 @@ ROLLUP = f"""WITH {_REC} SELECT source AS source_type, count(*) AS records, coun
 
 def value_audit(spark, d):
     rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("lang", "quality", "toxic")
-    rows.createOrReplaceTempView("_audit")
-    return spark.sql("SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(quality) = 0 THEN 'quality' ELSE 'toxic' END AS field, coalesce(lang, cast(quality AS string), cast(toxic AS string)) AS value, count(*) AS n FROM _audit GROUP BY GROUPING SETS ((lang), (quality), (toxic))")
+    field = F.when(F.grouping("lang") == 0, "lang").when(F.grouping("quality") == 0, "quality").otherwise("toxic")
+    value = F.coalesce("lang", F.col("quality").cast("string"), F.col("toxic").cast("string"))
+    sets = rows.groupingSets([["lang"], ["quality"], ["toxic"]], "lang", "quality", "toxic")
+    return sets.agg(field.alias("field"), value.alias("value"), F.count("*").alias("n")).select("field", "value", "n")
 
 
 AUDIT = "SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(quality) = 0 THEN 'quality' ELSE 'toxic' END AS field, coalesce(lang, quality::VARCHAR, toxic::VARCHAR) AS value, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY GROUPING SETS ((lang), (quality), (toxic))"
@@ -365,22 +332,6 @@ def stratified_pick(spark, d):
     return R.stratified(docs, "lang", "source", "n_chars", "doc_id", 40, 3)
 
 
-#: Invented sentences that cite laws.
-CITING = [
-    (1, "6098 sayılı Türk Borçlar Kanunu'nun 49. maddesi ile 6100 sayılı Kanun madde 353 uyarınca"),
-    (2, "Anayasa'nın 36. maddesi ve Anayasa madde 141 gereğince"),
-    (3, "hiçbir atıf yok"),
-]
-
-
-def citation_extract(spark, d):
-    rows = spark.createDataFrame(CITING, "id int, text string").withColumn("c", F.explode(html.citations(F.col("text"))))
-    return rows.select("id", "c.legislation_type", "c.law_no", "c.article_no")
-
-
-CITATIONS = "SELECT id, legislation_type, law_no, article_no FROM (VALUES (1, 'statute', '6098', '49'), (1, 'statute', '6100', '353'), (2, 'constitution', NULL, '36'), (2, 'constitution', NULL, '141')) t(id, legislation_type, law_no, article_no)"
-
-QUERIES = {f.__name__: f for f in (text_scalars, record_scalars, canonical_and_refs, procedural_penalty, new_penalty_by_unit, title_shape_profile, preflight_verdict, preflight_histogram, riskiest, truncation_loss, acceptance_report, contract_validate, contract_gap_rollup, value_audit, arms_anti_union, export_merge, targeted_merge, scorecard_compare, metadata_json, dissent_longest_prefix, array_any_match_probe, duplicate_and_consistency, attempt_selection, replay_diff, run_totals, verification_report, citation_extract)}
-ORACLE_SQL = dict(zip(QUERIES, (TEXT, RECORD, CANONICAL, PENALTY, NEW_PENALTY, SHAPES, PREFLIGHT, HISTOGRAM, RISKIEST, TRUNCATION, ACCEPTANCE, CONTRACT, ROLLUP, AUDIT, ARMS, EXPORT, TARGETED, SCORECARD, METADATA, PREFIX, PROBE, DUPLICATES, ATTEMPT, REPLAY, TOTALS, VERIFY, CITATIONS), strict=True))
+QUERIES = {f.__name__: f for f in (text_scalars, canonical_and_refs, procedural_penalty, new_penalty_by_unit, title_shape_profile, preflight_verdict, preflight_histogram, riskiest, truncation_loss, acceptance_report, contract_validate, contract_gap_rollup, value_audit, arms_anti_union, export_merge, targeted_merge, scorecard_compare, metadata_json, dissent_longest_prefix, array_any_match_probe, duplicate_and_consistency, attempt_selection, replay_diff, run_totals, verification_report)}
+ORACLE_SQL = dict(zip(QUERIES, (TEXT, CANONICAL, PENALTY, NEW_PENALTY, SHAPES, PREFLIGHT, HISTOGRAM, RISKIEST, TRUNCATION, ACCEPTANCE, CONTRACT, ROLLUP, AUDIT, ARMS, EXPORT, TARGETED, SCORECARD, METADATA, PREFIX, PROBE, DUPLICATES, ATTEMPT, REPLAY, TOTALS, VERIFY), strict=True))
 QUERIES["stratified_pick"] = stratified_pick
-QUERIES["text_scalars_whole"], ORACLE_SQL["text_scalars_whole"] = text_scalars_whole, WHOLE

@@ -1,11 +1,11 @@
-"""Further reports: merge sweep, source health, topic verdicts, citation rules; and the SQL that repeats them."""
+"""Further reports: merge sweep, source health, topic verdicts; and the SQL that repeats them."""
 
 from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from decisionloom.functions import ids, text
+from decisionloom.functions import ids
 from decisionloom.operators import chunking as C
 from decisionloom.operators import lexical as L
 from decisionloom.plans.chunking import LENGTHS, paras
@@ -69,31 +69,5 @@ x AS (SELECT b.item_id, coalesce(accepted, 0) AS accepted, first, (SELECT count(
 SELECT item_id, accepted, first, round(1 - (greatest(n - accepted, 0) / n) * (greatest(n - accepted - 1, 0) / (n - 1)) * (greatest(n - accepted - 2, 0) / (n - 2)), 6) AS chance,
   CASE WHEN accepted = 0 THEN 'SKIP' WHEN first = 1 THEN 'PASS' WHEN first <= 3 THEN 'WARN' ELSE 'FAIL' END AS verdict FROM x"""
 
-#: Invented citations and paragraphs: id, paragraph, quote, type, number, article.
-CLAIMS = [
-    (1, "6100 sayılı Kanun'un 353. maddesi uyarınca", "6100 sayılı Kanun'un 353. maddesi", "statute", "6100", "353"),
-    (2, "16100 sayılı dosya", "6100 sayılı dosya", "statute", "6100", None),
-    (3, "Anayasa'nın 36. maddesi", "Anayasa’nın  36. maddesi", "constitution", "2709", "36"),
-    (4, "taraflarca imzalanan antlaşma", "antlaşma", "treaty", None, None),
-    (5, "ilgili mevzuat gereğince", "yürürlükteki mevzuat", "statute", None, "12"),
-]
-
-
-def citation_rules(spark, d):
-    """What is kept of a citation: treaties go, quotes must stand in the paragraph, numbers on their own, a constitution has no number."""
-    c = spark.createDataFrame(CLAIMS, "id int, para string, quote string, kind string, no string, article string")
-    grounded = F.contains(text.ground_form(F.col("para")), text.ground_form(F.col("quote")))
-    own_number = F.coalesce(ids.number_in(F.col("para"), F.col("no")), F.lit(False))
-    own_article = F.coalesce(ids.number_in(F.col("para"), F.col("article")), F.lit(False))
-    rules = F.filter(
-        F.array(F.when(F.col("kind") == "treaty", F.lit("drop_treaty")), F.when(~grounded, F.lit("clear_quote")), F.when((F.col("kind") == "constitution") & F.col("no").isNotNull(), F.lit("constitution_number")), F.when(F.col("no").isNotNull() & ~own_number & (F.col("kind") != "constitution"), F.lit("number_not_in_text")), F.when(F.col("article").isNotNull() & ~own_article, F.lit("article_not_in_text"))),
-        lambda x: x.isNotNull(),
-    )
-    return c.select("id", F.array_join(rules, ",").alias("rules"), F.when(grounded, F.col("quote")).alias("quote"), F.when(own_number & (F.col("kind") != "constitution"), F.col("no")).alias("law_no"), F.when(own_article, F.col("article")).alias("article"))
-
-
-RULES = """SELECT CAST(id AS INTEGER) AS id, rules, quote, law_no, article FROM (VALUES (1, '', '6100 sayılı Kanun''un 353. maddesi', '6100', '353'), (2, 'number_not_in_text', '6100 sayılı dosya', NULL, NULL),
-(3, 'constitution_number', 'Anayasa’nın  36. maddesi', NULL, '36'), (4, 'drop_treaty', 'antlaşma', NULL, NULL), (5, 'clear_quote,article_not_in_text', NULL, NULL, NULL)) t(id, rules, quote, law_no, article)"""
-
-QUERIES = {f.__name__: f for f in (merge_sweep, source_health, topic_report, citation_rules)}
-ORACLE_SQL = {"merge_sweep": SWEEP, "source_health": HEALTH, "topic_report": TOPICS, "citation_rules": RULES}
+QUERIES = {f.__name__: f for f in (merge_sweep, source_health, topic_report)}
+ORACLE_SQL = {"merge_sweep": SWEEP, "source_health": HEALTH, "topic_report": TOPICS}
