@@ -1,8 +1,9 @@
 """Lexical retrieval: postings, Okapi BM25, ranking, fusion and guarded search.
 
 Units are rows (unit, text); an optional pool column keeps statistics apart, so that a search
-inside one pool sees only its own document frequencies.  Everything is joins on terms: the
-postings of query terms are what is shuffled, after a count on the map side.
+inside one pool sees only its own document frequencies.  Units are tokenised once: tokens meet the
+distinct query terms, which are broadcast if they are counted to be few, and all others of a unit
+collapse into one row before the shuffle; document frequencies, lengths and scores come from these.
 """
 
 from __future__ import annotations
@@ -32,21 +33,62 @@ def term_score(tf: Column, dl: Column, avgdl: Column, k1: float = vocab.K1, b: f
     return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
 
 
+#: Rows of a few columns up to which one side of a join is broadcast; beyond it both sides are shuffled.
+FEW = 200_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it is counted to have few rows."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+
+
+def term_counts(units: DataFrame, queries: DataFrame, keys: list[str], options: dict | None = None) -> DataFrame:
+    """keys, term, tf, hit: how often each unit holds each term that a query asks for; all its other tokens are one row, whose term and hit are null."""
+    terms = text.tokens(F.col("text"), **(options or {}))
+    asked = queries.select(F.explode(F.array_distinct(terms)).alias("term")).distinct()
+    tokens = units.select(*keys, F.explode_outer(terms).alias("token"))
+    marked = tokens.join(few(asked), F.col("token") == F.col("term"), "left")
+    return marked.groupBy(*keys, "term").agg(F.count("token").alias("tf"), F.max("term").alias("hit"))
+
+
 def bm25(units: DataFrame, queries: DataFrame, unit: str, query: str, pool: list[str] | None = None, options: dict | None = None) -> DataFrame:
     """units(unit, text), queries(query, text) -> query, unit, score, rounded to 6 places; only units with a query term.
 
     Queries and units share the pool columns, if there are any.
     """
     pool, options = pool or [], options or {}
-    terms = text.tokens(F.col("text"), **options)
-    index = postings(units, terms, [*pool, unit])
-    asked = queries.select(*pool, query, F.explode(F.array_distinct(terms)).alias("term"))
-    frequency = index.groupBy(*pool, "term").agg(F.count("*").alias("df"))
-    total = statistics(units, terms, pool)
-    hits = index.join(asked, [*pool, "term"]).join(frequency, [*pool, "term"])
-    hits = hits.join(total, pool) if pool else hits.crossJoin(total)
+    keys = [*pool, unit]
+    counts = term_counts(units, queries, keys, options)
+    asked = queries.select(*pool, query, F.explode(F.array_distinct(text.tokens(F.col("text"), **options))).alias("hit"))
+    hits = counts.filter(F.col("hit").isNotNull())  # on the aggregate, so that the shuffle below it is the same as for the lengths
+    lengths = counts.groupBy(*keys).agg(F.sum("tf").alias("dl"))
+    total = lengths.groupBy(*pool).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+    frequency = hits.groupBy(*pool, "hit").agg(F.count("*").alias("df"))
+    rows = hits.select(*keys, "hit", "tf").join(lengths, keys).join(few(asked), [*pool, "hit"]).join(few(frequency), [*pool, "hit"])
+    rows = rows.join(F.broadcast(total), pool) if pool else rows.crossJoin(total)  # a row per pool
     score = inverse_frequency(F.col("n"), F.col("df")) * term_score(F.col("tf"), F.col("dl"), F.col("avgdl"))
-    return hits.groupBy(query, unit, *pool).agg(F.round(F.sum(score), 6).alias("score"))
+    return rows.groupBy(query, unit, *pool).agg(F.round(F.sum(score), 6).alias("score"))
+
+
+#: Words of a quote by which documents are looked up.
+ANCHOR = 4
+
+
+def quoting(quotes: DataFrame, units: DataFrame, quote: str, unit: str) -> DataFrame:
+    """quote, unit: units whose text holds a quote's text.
+
+    Quotes of many words are looked up by their inner words, which a text that holds them must hold
+    in a row; those of few words, if they are few, are compared with every text.
+    """
+    words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
+    own = quotes.select(quote, F.col("text").alias("said"), words.alias("w"))
+    long = own.filter(F.size("w") >= ANCHOR + 2).select(quote, "said", F.array_join(F.slice("w", 2, ANCHOR), " ").alias("gram"))
+    grams = units.select(unit, F.explode(text.ngrams(words, ANCHOR)).alias("gram"))
+    found = grams.join(few(long), "gram").select(quote, unit, "said")
+    verified = found.join(units.select(unit, F.col("text").alias("body")), unit).filter(F.contains("body", "said")).select(quote, unit)
+    short = own.filter(F.size("w") < ANCHOR + 2).select(quote, "said")
+    direct = units.select(unit, F.col("text").alias("body")).join(few(short), F.contains("body", "said")).select(quote, unit)
+    return verified.unionByName(direct).distinct()
 
 
 def ranked(scores: DataFrame, query: str, unit: str, k: int | None = None, by: str = "score") -> DataFrame:

@@ -88,10 +88,12 @@ FROM q LEFT JOIN f USING (term)"""
 def guarded_search_silence(spark: SparkSession, d: str) -> DataFrame:
     """Top document of each item, kept only with a distinctive term; the verdict on silence."""
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
-    terms = text.tokens(F.col("text"))
     scores = L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=STOP), "item_id", "doc_id", 1)
-    guard = L.distinctive(docs, items, "doc_id", "item_id").filter("distinctive").select("item_id", "term")
-    held = docs.select("doc_id", F.explode(F.array_distinct(terms)).alias("term")).join(scores.select("item_id", "doc_id"), "doc_id").join(guard, ["item_id", "term"], "left_semi").groupBy("item_id").agg(F.count("*").alias("matched"))
+    counts = L.term_counts(docs, items, ["doc_id"]).filter(F.col("hit").isNotNull())
+    n = docs.agg(F.count("*").alias("n"))
+    guard = counts.groupBy("hit").agg(F.count("*").alias("df")).crossJoin(n).filter("2 * df < n").select("hit")
+    asked = items.select("item_id", F.explode(F.array_distinct(text.tokens(F.col("text")))).alias("hit")).join(guard, "hit", "left_semi")
+    held = counts.join(scores.select("item_id", "doc_id"), "doc_id").join(asked, ["item_id", "hit"], "left_semi").groupBy("item_id").agg(F.count("*").alias("matched"))
     out = items.select("item_id").join(scores.select("item_id", "doc_id", "score"), "item_id", "left").join(held, "item_id", "left")
     matched = F.coalesce("matched", F.lit(0))
     verdict = F.when(F.coalesce("score", F.lit(0.0)) <= 0, "SILENT").when(matched > 0, "PASS").otherwise("WARN")
@@ -143,7 +145,7 @@ SELECT item_id, doc_id, CAST(rrf AS DOUBLE) AS rrf, source, row_number() OVER (P
 def retrieval_summary(spark: SparkSession, d: str) -> DataFrame:
     """Top-1, top-5, mean reciprocal rank and never found, where a document that quotes the item is right."""
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
-    right = items.select("item_id", F.col("text").alias("quote")).join(docs.select("doc_id", F.col("text").alias("body")), F.contains("body", "quote")).select("item_id", "doc_id")
+    right = L.quoting(items, docs, "item_id", "doc_id")
     ranks = L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=STOP), "item_id", "doc_id").select("item_id", "doc_id", "rank")
     first = ranks.join(right, ["item_id", "doc_id"]).groupBy("item_id").agg(F.min("rank").alias("first"))
     rows = right.select("item_id").distinct().join(first, "item_id", "left")

@@ -52,7 +52,7 @@ SELECT source, count(*) AS documents, count(*) FILTER (u AND NOT res) AS usable,
 def topic_report(spark, d):
     """Items, the rank of the first document that quotes them, the chance of that by luck, and a verdict; items that none quotes should be met with silence."""
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
-    right = items.select("item_id", F.col("text").alias("quote")).join(docs.select("doc_id", F.col("text").alias("body")), F.contains("body", "quote")).select("item_id", "doc_id")
+    right = L.quoting(items, docs, "item_id", "doc_id")
     ranks = L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=STOP), "item_id", "doc_id").select("item_id", "doc_id", "rank")
     first = ranks.join(right, ["item_id", "doc_id"]).groupBy("item_id").agg(F.min("rank").alias("first"))
     pool = docs.agg(F.count("*").alias("pool"))
