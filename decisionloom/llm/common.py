@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,10 @@ WHILE_WRITING = {
 }
 
 
+#: Stashes made inside each settled() that is under way.
+_MADE: list[list[DataFrame]] = []
+
+
 def stash(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors, and fixes the rows that later steps see."""
     spark = df.sparkSession
@@ -58,6 +63,21 @@ def stash(df: DataFrame) -> DataFrame:
             spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out._stash = path
+    if _MADE:
+        _MADE[-1].append(out)
+    return out
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """The rows that make() returns, written once; every other stash that it made is deleted."""
+    _MADE.append([])
+    out = None
+    try:
+        out = stash(make())
+    finally:
+        release(*[x for x in _MADE.pop() if x is not out])
+    if _MADE:
+        _MADE[-1].append(out)
     return out
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, few, keyed, release, row_key, stash, table, without
+from decisionloom.llm.common import by_value, few, keyed, release, row_key, settled, stash, table, without
 from decisionloom.llm.graph import components
 
 by_value(__name__)
@@ -285,11 +285,15 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs(doc_id, text) -> a row per document: doc_id, did and raw (the row's key), node, n_shingles, component_id, kept."""
+    return settled(lambda: _near_duplicates(docs, percent))
+
+
+def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
     rows = stash(signed(docs))
     none = F.lit(-(1 << 62))
     nodes = stash(rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.coalesce("doc_id", none)).alias("_id"), F.min("doc_id").alias("first"), F.first("signature").alias("signature")))
     narrow = stash(rows.select("doc_id", "did", "raw", "node", "n_shingles"))
-    release(rows)
+    release(rows)  # the signatures, of which one a node stays
     bands = _banded(nodes, percent)
     hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub")
     members = stash(bands.join(hubs, "band").select("band", "node", "hub"))
@@ -310,9 +314,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ids = labelled.join(least, "component").select("node", "component_id")
     out = narrow.join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = stash(out.select("doc_id", "did", "raw", "node", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")))
-    release(nodes, narrow, members, sets, pairs, found, unresolved, links)
-    return out
+    return out.select("doc_id", "did", "raw", "node", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -323,9 +325,11 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     groups = near_duplicates(docs, percent)
     worded = groups.filter(F.col("node").isNotNull())
     chosen = worded.filter("kept").groupBy("did").agg(F.min("raw").alias("best"))
-    marked = worded.join(few(stash(chosen)), "did", "left")
+    chosen = stash(chosen)
+    marked = worded.join(few(chosen), "did", "left")
     lost = stash(marked.filter(~F.col("kept") | (F.col("raw") != F.col("best"))).select("did", "raw").distinct())
     again = stash(worded.filter("kept").groupBy("did", "raw").agg(F.count("*").alias("n")).filter("n > 1").select("did", "raw").join(few(lost), ["did", "raw"], "left_anti"))
+    release(groups, chosen)
     rows = keyed(docs)
     single = without(rows, lost.unionByName(again)).select("doc.*")
     repeated = rows.join(few(again), ["did", "raw"]).dropDuplicates(["did", "raw"]).select("doc.*")

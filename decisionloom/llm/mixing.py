@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import RAW_WORD, stash
+from decisionloom.llm.common import RAW_WORD, settled, stash
 
 DIGIT = 4096
 
@@ -113,6 +113,10 @@ def _joined(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17) -> DataFrame:
     """docs(doc_id, text, source) -> one row per document: doc_id, size, source_size, target, taken."""
+    return settled(lambda: _planned(docs, weights, max_epochs, seed))
+
+
+def _planned(docs: DataFrame, weights: tuple[int, ...], max_epochs: int, seed: int) -> DataFrame:
     sizes = stash(measured(docs, seed))
     sources = plan_sources(sizes, weights, max_epochs)
     out = _joined(sizes.withColumnsRenamed({"size": "_mix_size", "key": "_mix_key"}), sources)
@@ -122,7 +126,7 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17) -> DataFrame:
     """The mix itself: docs' columns, a row for each whole repetition and one more, with the first words, for a part.  n_chars, where there is one, follows the text."""
-    sources = plan_sources(stash(measured(docs, seed)), weights, max_epochs)
+    sources = settled(lambda: plan_sources(stash(measured(docs, seed)), weights, max_epochs))
     sized = docs.withColumn("_mix_size", F.coalesce(F.regexp_count("text", F.lit(RAW_WORD)), F.lit(0)).cast("long")).withColumn("_mix_key", order_key(F.col("doc_id"), seed))
     rows = _joined(sized, sources)
     copies = F.col("_mix_whole") + F.when(F.col("_mix_more") > 0, F.lit(1)).otherwise(F.lit(0))

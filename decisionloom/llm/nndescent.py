@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, release, stash, table
+from decisionloom.llm.common import by_value, release, settled, stash, table
 from decisionloom.llm.graph import components
 from decisionloom.llm.vectors import usable
 
@@ -382,6 +382,10 @@ def counted(found: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vectors(vec_id, embedding) -> vec_id, n_links, component_id, kept."""
+    return settled(lambda: _near_duplicates(vectors, cosine))
+
+
+def _near_duplicates(vectors: DataFrame, cosine: float) -> DataFrame:
     nodes = stash(unit_vectors(vectors))
     n = nodes.count()
     links = found = None

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, parts_for, stash, table
+from decisionloom.llm.common import by_value, parts_for, settled, stash, table
 
 by_value(__name__)
 
@@ -251,6 +251,10 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """docs(doc_id, text) -> a row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    return settled(lambda: _packed(docs, path, capacity, end))
+
+
+def _packed(docs: DataFrame, path: str | None, capacity: int, end: int) -> DataFrame:
     rows = stash(tokenised(docs, path or default_tokenizer(), capacity, end))
     histogram = {r["rest"]: r["n"] for r in rows.filter("rest > 0").groupBy("rest").agg(F.count("*").alias("n")).collect()}  # at most one row per length
     places, packed = place(histogram, capacity)

@@ -1,9 +1,9 @@
 """A quality classifier of supervised subword embeddings.
 
-Each word stands for one hashed vector of its own and for those of its character n-grams, and a
-word that follows itself for the vector of the repeated bigram; a document is the mean of them
-all, a softmax layer over two classes follows, and all of it is
-trained by stochastic gradient descent in numpy on a bounded sample of labelled documents.
+Each word stands for one hashed vector of its own and for those of its character n-grams; a word
+that follows itself is read as a mark of repetition, a word like others.  A document is the mean of
+all its vectors, a softmax layer over two classes follows, and all of it is trained by stochastic
+gradient descent in numpy on a bounded sample of labelled documents.
 Since the model is linear in the mean, a word adds one number and one count to its document, and
 workers keep these by word; texts are scored whole.
 
@@ -31,9 +31,10 @@ by_value(__name__)
 PER_CLASS = {0: 2000, 1: 4000}
 BUCKETS, DIMENSION, GRAMS = 1 << 16, 16, (3, 4)
 EPOCHS, RATE = 4, 2.0
-#: Bucket of a bigram of one word twice, and its weight.
-TWICE, TWICE_WEIGHT = 2 * BUCKETS, 4
-CACHE = 300_000
+#: What a word that follows itself is read as: no text holds such a word.
+AGAIN = "\x01 again"
+#: Words whose sums a worker keeps; beyond it starts anew.
+CACHE = 150_000
 
 
 def features(word: str, buckets: int = BUCKETS) -> list[int]:
@@ -43,8 +44,16 @@ def features(word: str, buckets: int = BUCKETS) -> list[int]:
     return [zlib.crc32(word.encode()) % buckets, *(buckets + zlib.crc32(g.encode()) % buckets for g in grams)]
 
 
-def repeats(words: list) -> int:
-    return sum(map(eq, words, islice(words, 1, None)))
+def repeated(words: list) -> list:
+    """The words that follow themselves."""
+    if not any(map(eq, words, islice(words, 1, None))):
+        return []
+    return [w for w, last in zip(islice(words, 1, None), words) if w == last]
+
+
+def tokens(words: list[str]) -> list[str]:
+    """Words as they are read."""
+    return words[:1] + [AGAIN if w == last else w for w, last in zip(islice(words, 1, None), words)]
 
 
 def train(rows: list[tuple[int, str]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 11) -> dict:
@@ -52,21 +61,19 @@ def train(rows: list[tuple[int, str]], epochs: int = EPOCHS, rate: float = RATE,
     ys = np.array([y for y, _ in rows])
     if len(set(ys.tolist())) < 2:
         p = float(np.clip(ys.mean(), 1e-3, 1 - 1e-3)) if len(ys) else 0.5
-        return {"vectors": np.zeros((2 * BUCKETS + 1, 1), np.float32), "out": np.zeros((1, 2), np.float32), "bias": np.array([0.0, np.log(p / (1 - p))], np.float32)}
+        return {"vectors": np.zeros((2 * BUCKETS, 1), np.float32), "out": np.zeros((1, 2), np.float32), "bias": np.array([0.0, np.log(p / (1 - p))], np.float32)}
     rng = np.random.default_rng(seed)
     known: dict[str, list[int]] = {}
     docs = []
     for _, text in rows:
         found: list[int] = []
-        words = text.split()
-        for w in words:
+        for w in tokens(text.split()):
             if w not in known:
                 known[w] = features(w)
             found += known[w]
-        found += [TWICE] * (TWICE_WEIGHT * repeats(words))
         ids, n = np.unique(np.asarray(found, dtype=np.int32), return_counts=True)
         docs.append((ids, (n / max(1, n.sum())).astype(np.float32)))
-    vectors = rng.uniform(-1 / DIMENSION, 1 / DIMENSION, (2 * BUCKETS + 1, DIMENSION)).astype(np.float32)
+    vectors = rng.uniform(-1 / DIMENSION, 1 / DIMENSION, (2 * BUCKETS, DIMENSION)).astype(np.float32)
     out, bias = np.zeros((DIMENSION, 2), np.float32), np.zeros(2, np.float32)
     steps, done = epochs * len(docs), 0
     for _ in range(epochs):
@@ -97,6 +104,12 @@ def scores(docs: DataFrame, model: dict) -> DataFrame:
         known: dict[bytes, complex] = {}
         get = known.__getitem__
 
+        def sums(word: str) -> complex:
+            ids = features(word)
+            return complex(along[ids].sum(), len(ids))
+
+        again = sums(AGAIN)
+
         def one(text: bytes | None) -> float:
             words = (text or b"").split()
             try:
@@ -106,11 +119,12 @@ def scores(docs: DataFrame, model: dict) -> DataFrame:
                     known.clear()
                 for w in set(words):
                     if w not in known:
-                        ids = features(w.decode())
-                        known[w] = complex(along[ids].sum(), len(ids))
+                        known[w] = sums(w.decode())
                 total = sum(map(get, words), 0j)
-            n = TWICE_WEIGHT * repeats(words)
-            z = ((total.real + n * along[TWICE]) / (total.imag + n) if words else 0.0) + bias
+            twice = repeated(words)
+            if twice:
+                total += len(twice) * again - sum(map(get, twice), 0j)
+            z = (total.real / total.imag if words else 0.0) + bias
             return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
         for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, stash, table
+from decisionloom.llm.common import by_value, settled, stash, table
 from decisionloom.llm.packing import Ids, default_tokenizer
 
 by_value(__name__)
@@ -72,4 +72,4 @@ def at_quantile(sums: DataFrame, share: float) -> DataFrame:
 
 
 def op3_token_counts(spark, sf_dir: str) -> DataFrame:
-    return suffix_sums(histogram(table(spark, sf_dir, "documents")))
+    return settled(lambda: suffix_sums(histogram(table(spark, sf_dir, "documents"))))

@@ -533,12 +533,98 @@ def test_query_equals_sql(spark, name):
     assert got == expected
 
 
-def test_pipeline(spark):
+def linked_least(rows, percent):
+    """Least id of each row's component, by comparing all shingle sets; None where a row has no words."""
+    sets = [shingles(t) for _, t in rows]
+    least = [doc for doc, _ in rows]
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(rows)):
+            for j in range(i):
+                a, b = sets[i], sets[j]
+                if a and b and least[i] != least[j] and 100 * len(a & b) >= percent * len(a | b):
+                    least[i] = least[j] = min(least[i], least[j])
+                    changed = True
+    return least, sets
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    """Each stage against what it must do to its own input, by definition, over null and empty texts, copies, near copies and shared passages."""
     import corpus_pipeline
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_neardup", "substring_dedup", "mixing", "packing"]
-    out = corpus_pipeline.run(spark, DATA)
-    assert out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).filter("n <> end OR n > 4096").count() == 0
+    shared = prose(900, 60)
+    texts = [prose(500 + i, 60 + i) for i in range(40)]
+    texts += [f"{prose(600 + i, 30)} {shared} {prose(700 + i, 20 + i)}" for i in range(6)] + [texts[0], texts[0] + " tail", texts[3].upper(), "", None, "one", shared]
+    bad = [f"{prose(800 + i, 30)} nastyone {prose(850 + i, 20)}" for i in range(30)]
+    rows = [(i, t, "en", ["a", "b", None][i % 3], len(t or "")) for i, t in enumerate(texts + bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, 1, int(i >= len(texts))) for i in range(len(rows))], "doc_id long, quality int, toxic int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    stage = dict(corpus_pipeline.STAGES)
+    of = lambda df: sorted((r["doc_id"], r["text"]) for r in df.collect())
+    clean = stage["toxicity"](spark, docs, str(tmp_path))
+    scored = {r["doc_id"]: r["lang_toxic"] for r in toxicity.classify(docs, labels).collect()}
+    assert sorted(r["doc_id"] for r in clean.collect()) == [i for i in sorted(scored) if not scored[i]]
+    assert {i for i in scored if scored[i]} >= set(range(len(texts), len(rows), 2)) - set(range(len(texts)))
+    one = stage["minhash_neardup"](spark, clean, str(tmp_path))
+    given = sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=lambda r: r[0])
+    least, sets = linked_least(given, 80)
+    assert sorted(r["doc_id"] for r in one.collect()) == [doc for (doc, _), low, s in zip(given, least, sets, strict=True) if not s or doc == low]
+    cut = stage["substring_dedup"](spark, one, str(tmp_path))
+    given = sorted(((r["doc_id"], r["text"]) for r in one.collect()), key=lambda r: r[0])
+    expected = {doc: (removed, digest) for doc, _, removed, digest in by_windows(given)}
+    got = {r["doc_id"]: r for r in cut.collect()}
+    assert set(got) == set(expected) and sum(n > 0 for n, _ in expected.values()) >= 5
+    for doc, text in given:
+        kept = (got[doc]["text"] or "").encode().split()
+        assert hashlib.sha256(b" ".join(kept)).hexdigest() == expected[doc][1]
+        assert got[doc]["text"] == text if not expected[doc][0] else got[doc]["n_chars"] == len(got[doc]["text"])
+    mixed = stage["mixing"](spark, cut, str(tmp_path))
+    plan = {r["doc_id"]: r for r in mixing.mixing_plan(cut).collect()}
+    taken: dict = {}
+    for r in mixed.collect():
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + len((r["text"] or "").split())
+    assert taken == {doc: r["taken"] for doc, r in plan.items() if r["taken"] > 0 or taken.get(doc) == 0}
+    mixed = mixed.persist()
+    pieces = stage["packing"](spark, mixed, str(tmp_path)).collect()
+    tokens = token_counts.lengths(mixed).agg(F.sum(F.col("n_tokens") + 1)).first()[0]
+    assert sum(r["length"] for r in pieces) == tokens
+    mixed.unpersist()
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    assert sum(r["length"] for r in whole.collect()) == tokens
+    nothing = tmp_path / "none"
+    docs.filter("false").write.parquet(f"{nothing}/documents.parquet")
+    labels.filter("false").write.parquet(f"{nothing}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(nothing)).count() == 0
+
+
+def test_quality_scores_equal_a_plain_forward_pass(spark):
+    rows = [(1, prose(1, 50)), (0, "same same same word"), (1, prose(2, 40)), (0, "again " * 30)] * 5
+    model = quality.train(rows, epochs=2)
+    texts = [*{t for _, t in rows}, "never seen", "x x y x", "", None, " one "]
+    got = {r["doc_id"]: r["score"] for r in quality.scores(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, t in enumerate(texts):
+        words = (t or "").split()
+        ids = [f for k, w in enumerate(words) for f in quality.features(quality.AGAIN if k and words[k - 1] == w else w)]
+        mean = model["vectors"][ids].astype(float).mean(0) if ids else np.zeros(model["vectors"].shape[1])
+        z = mean @ model["out"] + model["bias"]
+        assert abs(got[i] - np.exp(z[1]) / np.exp(z).sum()) < 1e-5, t
+    assert got[texts.index("")] == got[texts.index(None)]
+
+
+def test_thresholds_are_calibrated_by_language(spark):
+    """Nulls and empty texts are scored alike; a language without calibration, or null, has the default threshold."""
+    docs, labels, _ = labelled(spark, lambda w, rng: [*w[:20], "nastyone", *w[20:]])
+    rows = toxicity.classify(docs, labels).collect()
+    by = {r["doc_id"]: r for r in rows}
+    assert by[1000]["score"] == by[1001]["score"] and by[1000]["lang_threshold"] == by[1001]["lang_threshold"] == toxicity.THRESHOLD
+    assert {r["lang_toxic"] == int(r["score"] >= r["lang_threshold"]) for r in rows} == {True}
+    assert {r["predicted"] == int(r["score"] >= 0.7) for r in rows} == {True}
+    model, thresholds = toxicity.fit(docs, labels)
+    assert set(thresholds) == {"de", "en"} and all(toxicity.LEAST <= t <= toxicity.MOST for t in thresholds.values())
 
 
 CLASHES = "_id _y _key _score _digest _kept _node _d _text id y did raw doc key score node component digest kept lang_threshold band word size target".split()
