@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from decisionloom.llm import minhash, mixing, packing, substrings, toxicity
-from decisionloom.llm.common import shared_dir, table
+from decisionloom.llm.common import release, stash, table
 
 
 #: Similarity of word shingles in per cent from which documents are near copies.
@@ -52,11 +50,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn; a stage's table is deleted when the next one's is written.  Empty tables and null texts go through every stage."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.schema(docs.schema).parquet(path)
+            docs = stash(docs)
+            if last is not None:
+                release(last)
+            last = docs
     return docs
