@@ -6,7 +6,6 @@ order, so a document is the unit of work and nothing is gathered beyond it.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,42 +114,3 @@ def offsets(rows: DataFrame, keys: list[str], order: str, length: Column) -> Dat
     """rows + start, end of each piece in the joined text, with one separator between pieces."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("start", F.coalesce(F.sum(length + 1).over(w), F.lit(0)).cast("long")).withColumn("end", (F.col("start") + length).cast("long"))
-
-
-def fragments_merged(rows: DataFrame, key: str, least: int = 40) -> DataFrame:
-    """rows(key, seg, role, text, heading) -> key, seg, into: a short segment joins the merged one before it, else the next, of the same role; headings stay.
-
-    The neighbour is the one that earlier joins have made, so a document is folded in order.
-    """
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seg")
-        kept: list[list] = []  # segment, role, alias targets
-        into: dict = {}
-        items = list(pdf[["seg", "role", "text", "heading"]].itertuples(index=False))
-        waiting = None
-        for seg, role, body, heading in items:
-            short = len(body or "") < least and not heading
-            if waiting is not None:
-                if role == waiting[1]:
-                    into[waiting[0]] = seg
-                    waiting = None
-                    kept.append([seg, role])
-                    into[seg] = seg
-                    continue
-                kept.append(list(waiting))
-                into[waiting[0]] = waiting[0]
-                waiting = None
-            if short and kept and kept[-1][1] == role:
-                into[seg] = kept[-1][0]
-            elif short:
-                waiting = (seg, role)
-            else:
-                kept.append([seg, role])
-                into[seg] = seg
-        if waiting is not None:
-            into[waiting[0]] = waiting[0]
-        return pd.DataFrame({key: pdf[key].iloc[0], "seg": [i[0] for i in items], "into": [into[i[0]] for i in items]})
-
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.groupBy(key).applyInPandas(fold, f"{key} {kind}, seg long, into long")

@@ -192,11 +192,6 @@ def html_plain_lost_words(spark, d):
     return pages.join(lost, "page_id", "left").select("page_id", F.coalesce("lost", F.lit(0)).alias("lost"), F.round(F.length("kept") / F.length("plain"), 6).alias("coverage"))
 
 
-def fragment_merge(spark, d):
-    turns = table(spark, d, "conversations").select("conv_id", F.col("turn").alias("seg"), "role", "text", text.is_heading(F.col("text")).alias("heading"))
-    return C.fragments_merged(turns, "conv_id", 300)
-
-
 def chunk_ids(spark, d):
     """Mechanical chunks of each document: label, identifiers by name, index within the document."""
     g = greedy_pack_fallback(spark, d)
@@ -212,5 +207,5 @@ SELECT doc_id, label, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || tra
   CAST(row_number() OVER (PARTITION BY doc_id ORDER BY lo) - 1 AS INTEGER) AS chunk_index, doc_id::VARCHAR AS doc_of_label FROM h"""
 
 _SQL = {"paragraph_split": SPLIT, "lost_words_multiset": LOST, "greedy_pack_fallback": PACK, "request_windows": WINDOWS, "merge_to_target": MERGE, "memory_bounded_batches": BATCHES, "fill_uncovered_gaps": GAPS, "first_owner_dedupe": OWNER, "same_role_runs": RUNS, "piece_offsets_assignment": OFFSETS, "internal_gaps_order": INTERNAL, "coverage_multiplicity": COVERAGE, "uuid5_ids": CHUNK_IDS}
-QUERIES = {f.__name__: f for f in (paragraph_split, lost_words_multiset, greedy_pack_fallback, request_windows, merge_to_target, memory_bounded_batches, fill_uncovered_gaps, first_owner_dedupe, same_role_runs, piece_offsets_assignment, internal_gaps_order, coverage_multiplicity, size_cap_split, html_paragraphs, html_strategies, html_plain_lost_words, fragment_merge)} | {"uuid5_ids": chunk_ids}
+QUERIES = {f.__name__: f for f in (paragraph_split, lost_words_multiset, greedy_pack_fallback, request_windows, merge_to_target, memory_bounded_batches, fill_uncovered_gaps, first_owner_dedupe, same_role_runs, piece_offsets_assignment, internal_gaps_order, coverage_multiplicity, size_cap_split, html_paragraphs, html_strategies, html_plain_lost_words)} | {"uuid5_ids": chunk_ids}
 ORACLE_SQL = _SQL

@@ -93,13 +93,6 @@ def test_first_owner(spark):
     assert [(r["seg"], r["alias"]) for r in chunking.aliases(owned, ["d"]).collect()] == [(3, 1)]
 
 
-def test_fragments(spark):
-    rows = [(1, 1, "facts", "x" * 50), (1, 2, "facts", "x"), (1, 3, "other", "y"), (1, 4, "other", "y" * 50), (1, 5, "issue", "z")]
-    df = spark.createDataFrame(rows, "d int, seg long, role string, text string").withColumn("heading", F.lit(False))
-    got = {r["seg"]: r["into"] for r in chunking.fragments_merged(df, "d").collect()}
-    assert got == {1: 1, 2: 1, 3: 4, 4: 4, 5: 5}
-
-
 def test_html():
     assert html.paragraphs_of("<p>a &amp; b<br>c</p><table><tr><td>1<td>2</tr></table><!-- x -->d") == ["a & b", "c", "1 2", "d"]
     assert html.paragraphs_of("<p>a<script>var x</script></p>", skip=("script",)) == ["a"]
