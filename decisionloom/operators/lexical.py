@@ -83,7 +83,7 @@ def quoting(quotes: DataFrame, units: DataFrame, quote: str, unit: str) -> DataF
     words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
     own = quotes.select(quote, F.col("text").alias("said"), words.alias("w"))
     long = own.filter(F.size("w") >= ANCHOR + 2).select(quote, "said", F.array_join(F.slice("w", 2, ANCHOR), " ").alias("gram"))
-    grams = units.select(unit, F.explode(text.ngrams(words, ANCHOR)).alias("gram"))
+    grams = units.select(unit, words.alias("w")).select(unit, F.explode(text.ngrams(F.col("w"), ANCHOR)).alias("gram"))  # split once, not for every gram
     found = grams.join(few(long), "gram").select(quote, unit, "said")
     verified = found.join(units.select(unit, F.col("text").alias("body")), unit).filter(F.contains("body", "said")).select(quote, unit)
     short = own.filter(F.size("w") < ANCHOR + 2).select(quote, "said")

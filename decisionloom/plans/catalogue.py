@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from decisionloom.plans import answering, assembly, chunking, citing, lexical, records, reports, stored, vector
+from decisionloom.plans import answering, assembly, chunking, citing, evaluation, lexical, records, reports, stored, vector
 
-MODULES = [lexical, vector, chunking, records, assembly, reports, stored, citing, answering]
+MODULES = [lexical, vector, chunking, records, assembly, reports, stored, citing, answering, evaluation]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
