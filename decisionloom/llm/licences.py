@@ -328,58 +328,47 @@ def _zones(words):
 
 
 PLACES = "array<struct<minus_priority:int,minus_length:int,start:int,label:string,weight:double>>"
+NO_PLACES = f"CAST(array() AS {PLACES})"
 
 
-def _places(zone, rule: Rule):
-    """Where a rule matches in a zone."""
-    pattern = rf"(?<= )(?:{rule.pattern})(?= )"
-    found = F.regexp_extract_all(zone, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(F.slice(F.split(zone, pattern, -1), F.lit(1), F.size(found)).alias("gap"), found.alias("hit"))
-
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        one = F.struct(F.lit(-rule.priority).alias("minus_priority"), (-F.length(x["hit"])).alias("minus_length"), start.alias("start"), F.lit(rule.label).alias("label"), F.lit(rule.weight).alias("weight"))
-        return F.struct((start + F.length(x["hit"])).alias("at"), F.concat(acc["all"], F.array(one)).alias("all"))
-
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(PLACES).alias("all")), step, lambda acc: acc["all"])
+def _places(rule: Rule) -> str:
+    """SQL: where a rule matches in the zone z; the next place of what was found, between spaces, is where the rule matched."""
+    at = "position(concat(' ', hit, ' '), z, acc.at)"
+    one = f"named_struct('minus_priority', {-rule.priority}, 'minus_length', -length(hit), 'start', {at}, 'label', '{rule.label}', 'weight', {rule.weight}D)"
+    return f"aggregate(regexp_extract_all(z, r'(?<= )(?:{rule.pattern})(?= )', 0), named_struct('at', 1, 'all', {NO_PLACES}), (acc, hit) -> named_struct('at', {at} + length(hit) + 1, 'all', concat(acc.all, array({one}))), acc -> acc.all)"
 
 
-def _detections(zone):
-    """All places of all rules whose keyword a zone holds, in the order in which they are taken."""
-    none = F.array().cast(PLACES)
+def _detections() -> str:
+    """SQL: all places of all rules whose keyword the zone z holds, in the order in which they are taken."""
     by: dict[tuple, list] = {}
     for rule in RULES:
         by.setdefault(rule.keywords, []).append(rule)
     parts = []
     for keywords, some in by.items():
-        held = F.contains(zone, F.lit(keywords[0]))
-        for k in keywords[1:]:
-            held = held | F.contains(zone, F.lit(k))
-        parts.append(F.when(held, F.concat(none, *[_places(zone, r) for r in some])).otherwise(none))
-    return F.array_sort(F.concat(*parts))
+        held = " OR ".join(f"contains(z, '{k}')" for k in keywords)
+        parts.append(f"if({held}, concat({NO_PLACES}, {', '.join(map(_places, some))}), {NO_PLACES})")
+    return f"array_sort(concat({', '.join(parts)}))"
 
 
-def _resolved(detections):
-    """The places that overlap none taken before."""
-    none = F.array().cast(PLACES)
-    end = lambda p: p["start"] - p["minus_length"]
-    return F.aggregate(detections, none, lambda acc, d: F.when(F.exists(acc, lambda p: (p["start"] < end(d)) & (d["start"] < end(p))), acc).otherwise(F.concat(acc, F.array(d))))
+def _resolved(detections: str) -> str:
+    """SQL: the places that overlap none taken before."""
+    return f"aggregate({detections}, {NO_PLACES}, (acc, d) -> if(exists(acc, p -> p.start < d.start - d.minus_length AND d.start < p.start - p.minus_length), acc, concat(acc, array(d))))"
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     base = _base_pattern()
-    lower = F.lower("text")
+    rows = docs.select("doc_id", "text", F.lower("text").alias("lower"))  # a projection of its own, as every keyword looks into it
     open_ = F.lit(False)
     for k in RAW_GATE:
-        open_ = open_ | F.contains(lower, F.lit(k))
-    gate = F.coalesce(open_, F.lit(False))
+        open_ = open_ | F.contains("lower", F.lit(k))
     n_words = F.coalesce(F.regexp_count("text", F.lit(ANY_WORD)), F.lit(0)).cast("long")
-    words = docs.select("doc_id", n_words.alias("n_words"), F.when(gate, words_of(F.col("text"))).alias("words"))
+    words = rows.select("doc_id", n_words.alias("n_words"), F.when(F.coalesce(open_, F.lit(False)), words_of(F.col("text"))).alias("words"))
     none = F.array().cast("array<string>")
     hits = F.coalesce(F.regexp_extract_all("words", F.lit(base), F.lit(0)), none)
-    inside = F.when(F.col("words").rlike("|".join(GATE)), F.flatten(F.transform(_zones(F.col("words")), lambda z: _resolved(_detections(z)))))
-    rows = words.withColumn("hits", hits).withColumn("found", inside)
+    zones = F.when(F.col("words").rlike("|".join(GATE)), _zones(F.col("words")))
+    rows = words.withColumn("hits", hits).withColumn("zones", zones)
+    rows = rows.withColumn("found", F.expr(f"flatten(transform(zones, z -> {_resolved(_detections())}))"))  # as SQL, since thousands of Column calls take seconds
     some = F.size("hits") > 0
     gaps = F.split("words", base, -1)
     first = F.when(some, _count(F.element_at(gaps, 1)))
