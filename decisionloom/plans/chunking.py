@@ -174,22 +174,12 @@ def html_paragraphs(spark, d):
     return pages.select("page_id", F.posexplode("p").alias("para", "text")).select("page_id", (F.col("para") + 1).alias("para"), "text")
 
 
-def html_strategies(spark, d):
-    """Paragraphs by each strategy, and the one that would be chosen: the first unless it finds one at most, then the most."""
-    counts = {"blocks": html.html_paragraphs, "visible": html.html_visible, "breaks": html.html_breaks, "p_only": html.html_p}
-    rows = table(spark, d, "pages").select("page_id", *[F.size(f(F.col("html"))).alias(k) for k, f in counts.items()])
-    best = F.lit("p_only")
-    for k in reversed([k for k in counts if k != "p_only"]):
-        best = F.when(F.col(k) == F.greatest(*counts), F.lit(k)).otherwise(best)
-    return rows.withColumn("chosen", F.when(F.col("visible") > 1, "visible").otherwise(best))
-
-
-def html_plain_lost_words(spark, d):
-    """Words of the walk over all text that the visible paragraphs lose, and the share of characters they keep."""
-    pages = table(spark, d, "pages").select("page_id", html.plain_text(F.col("html")).alias("plain"), F.array_join(html.html_visible(F.col("html")), " ").alias("kept"))
-    words = lambda c: pages.select("page_id", F.explode(F.split(c, " ")).alias("w")).groupBy("page_id", "w").agg(F.count("*").alias("n"))
-    lost = words("plain").join(words("kept").withColumnRenamed("n", "h"), ["page_id", "w"], "left").groupBy("page_id").agg(F.sum(F.greatest(F.col("n") - F.coalesce("h", F.lit(0)), F.lit(0))).alias("lost"))
-    return pages.join(lost, "page_id", "left").select("page_id", F.coalesce("lost", F.lit(0)).alias("lost"), F.round(F.length("kept") / F.length("plain"), 6).alias("coverage"))
+def page_extraction(spark, d):
+    """Every page read in all ways at once: what was taken, the words it loses, what the older strategies find, and the share of characters that comes through.  Every third page has its lines too."""
+    lines = F.when(F.col("page_id") % 3 == 0, F.regexp_replace("html", "<[^>]*>", "\n"))
+    rows = table(spark, d, "pages").select("page_id", html.extractor()(lines, F.col("html")).alias("x"))
+    lost = F.aggregate(F.map_values("x.lost"), F.lit(0), lambda n, v: n + v)
+    return rows.select("page_id", F.size("x.paragraphs").alias("paragraphs"), "x.taken", lost.alias("lost"), F.size("x.rescued").alias("rescued"), "x.strategy", *[F.element_at("x.found", k).alias(k) for k in html.STRATEGIES], "x.coverage", "x.refused")
 
 
 def chunk_ids(spark, d):
@@ -207,5 +197,5 @@ SELECT doc_id, label, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || tra
   CAST(row_number() OVER (PARTITION BY doc_id ORDER BY lo) - 1 AS INTEGER) AS chunk_index, doc_id::VARCHAR AS doc_of_label FROM h"""
 
 _SQL = {"paragraph_split": SPLIT, "lost_words_multiset": LOST, "greedy_pack_fallback": PACK, "request_windows": WINDOWS, "merge_to_target": MERGE, "memory_bounded_batches": BATCHES, "fill_uncovered_gaps": GAPS, "first_owner_dedupe": OWNER, "same_role_runs": RUNS, "piece_offsets_assignment": OFFSETS, "internal_gaps_order": INTERNAL, "coverage_multiplicity": COVERAGE, "uuid5_ids": CHUNK_IDS}
-QUERIES = {f.__name__: f for f in (paragraph_split, lost_words_multiset, greedy_pack_fallback, request_windows, merge_to_target, memory_bounded_batches, fill_uncovered_gaps, first_owner_dedupe, same_role_runs, piece_offsets_assignment, internal_gaps_order, coverage_multiplicity, size_cap_split, html_paragraphs, html_strategies, html_plain_lost_words)} | {"uuid5_ids": chunk_ids}
+QUERIES = {f.__name__: f for f in (paragraph_split, lost_words_multiset, greedy_pack_fallback, request_windows, merge_to_target, memory_bounded_batches, fill_uncovered_gaps, first_owner_dedupe, same_role_runs, piece_offsets_assignment, internal_gaps_order, coverage_multiplicity, size_cap_split, html_paragraphs, page_extraction)} | {"uuid5_ids": chunk_ids}
 ORACLE_SQL = _SQL

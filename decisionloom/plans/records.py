@@ -103,9 +103,14 @@ def _preflight(spark, d):
 
 
 def preflight_verdict(spark, d):
-    """Verdicts by source, the upper median of characters, predicted tokens."""
+    """Verdicts by source, the upper median of characters, predicted tokens; medians by counts of each length, so no source is gathered."""
     rows = _preflight(spark, d)
-    return rows.groupBy("source", "verdict").agg(F.count("*").alias("documents"), F.element_at(F.array_sort(F.collect_list("chars")), (F.floor(F.count("*") / 2) + 1).cast("int")).alias("upper_median"), F.round(F.sum("chars") * vocab.OUTPUT_PER_CHAR, 3).alias("tokens_out"), F.round(F.sum("chars") / vocab.CHARS_PER_TOKEN, 3).alias("tokens_in"))
+    keys = ["source", "verdict"]
+    counts = rows.groupBy(*keys, "chars").agg(F.count("*").alias("n"))
+    placed = counts.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy("chars"))).withColumn("all", F.sum("n").over(Window.partitionBy(*keys)))
+    median = F.min(F.when(F.col("upto") >= F.floor(F.col("all") / 2) + 1, F.col("chars")))
+    tokens = F.sum(F.col("chars") * F.col("n"))
+    return placed.groupBy(*keys).agg(F.sum("n").alias("documents"), median.alias("upper_median"), F.round(tokens * vocab.OUTPUT_PER_CHAR, 3).alias("tokens_out"), F.round(tokens / vocab.CHARS_PER_TOKEN, 3).alias("tokens_in"))
 
 
 _PRE = f"""{PARAS}, x AS (SELECT d.doc_id, d.source, length(d.text) AS chars, count(p.para) AS n, count(DISTINCT p.text) AS k, coalesce(sum(length(p.text)), 0) AS body, count(*) FILTER (regexp_matches(p.text, '[;:]\\s*$')) AS open
@@ -309,15 +314,17 @@ TOTALS = f"WITH {PARAS} SELECT source, count(DISTINCT doc_id) AS documents, coun
 
 
 def verification_report(spark, d):
-    """Violations by kind: empty and short paragraphs, headings at the end, text above the cap, documents without a long paragraph."""
-    p = paras(spark, d).withColumn("last", F.max("para").over(Window.partitionBy("doc_id")))
-    kinds = [
-        R.violations(p, "fragment", "soft", (F.length("text") < 40) & ~text.is_heading(F.col("text")), ["doc_id"], F.col("para")),
-        R.violations(p, "over_cap", "hard", F.length("text") > vocab.SIZE_CAP, ["doc_id"], F.length("text")),
-        R.violations(p, "heading_last", "soft", (F.col("para") == F.col("last")) & text.is_heading(F.col("text")), ["doc_id"], F.col("text")),
-        R.violations(p.groupBy("doc_id").agg(F.max(F.length("text")).alias("m")), "no_content", "hard", F.col("m") < 40, ["doc_id"], F.col("m")),
-    ]
-    return R.all_violations(kinds).groupBy("kind", "severity").agg(F.count("*").alias("rows"), F.countDistinct("doc_id").alias("documents"))
+    """Violations by kind: short paragraphs, text above the cap, headings at the end, documents without a long paragraph; found in one pass, inside each document's row."""
+    p = table(spark, d, "documents").select("doc_id", text.lines(F.col("text")).alias("p")).filter(F.size("p") > 0)
+    heading = lambda x: text.is_heading(x)
+    fragments = F.size(F.filter("p", lambda x: (F.length(x) < 40) & ~heading(x)))
+    over = F.size(F.filter("p", lambda x: F.length(x) > vocab.SIZE_CAP))
+    last = heading(F.element_at("p", -1)).cast("int")
+    empty = (F.array_max(F.transform("p", lambda x: F.length(x))) < 40).cast("int")
+    kinds = [("fragment", "soft", fragments), ("over_cap", "hard", over), ("heading_last", "soft", last), ("no_content", "hard", empty)]
+    found = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(s).alias("severity"), n.cast("long").alias("n")) for k, s, n in kinds])
+    rows = p.select(F.explode(F.filter(found, lambda x: x["n"] > 0)).alias("x")).select("x.*")
+    return rows.groupBy("kind", "severity").agg(F.sum("n").alias("rows"), F.count("*").alias("documents"))
 
 
 _HEAD = "length(text) <= 80 AND NOT regexp_matches(text, '[a-zçğıöşüâîûß-öø-ÿ]')"

@@ -94,9 +94,38 @@ def test_first_owner(spark):
 
 
 def test_html():
-    assert html.paragraphs_of("<p>a &amp; b<br>c</p><table><tr><td>1<td>2</tr></table><!-- x -->d") == ["a & b", "c", "1 2", "d"]
+    assert html.paragraphs_of("<p>a &amp; b<br>c</p><table><tr><td>1</td><td>2</td></tr></table><!-- x -->d") == ["a & b", "c", "1 2", "d"]
     assert html.paragraphs_of("<p>a<script>var x</script></p>", skip=("script",)) == ["a"]
     assert html.paragraphs_of(None) == []
+    assert html.paragraphs_of("<div>" * 5000 + "deep" + "</div>" * 5000) == ["deep"]
+
+
+def test_html_strategies():
+    """What each older extractor makes of nested lists, lines by breaks, and one p that holds all."""
+    nested = "<div>intro <em>said</em><ul><li>one</li><li>two <b>bold</b><ul><li>deep</li></ul>tail</li></ul></div>"
+    assert html.by_blocks(nested) == ["intro said", "one", "two bold", "deep", "tail"]
+    assert html.only_p("<p>a</p>x<div><p>b <i>c</i></p></div>") == ["a", "b c"]
+    assert html.by_breaks("<p>a<br>b <b>c</b>d</p>e") == ["a", "b cd", "e"]
+    assert html.plain_of("x <b>y</b>") == "x y" and html.plain_of(" a  b ") == "a b" and html.plain_of(None) == ""
+    assert html.rescued("a b", "<p>x</p><p>y</p>", "html_p") == (["x", "y"], "html_p")
+    assert html.rescued("l1\nl2\nl3", "<p>x</p>", "html_p") == (["l1", "l2", "l3"], "html_br")
+    assert html.rescued(None, "x<br>y", "html_p") == (["x", "y"], "html_br")
+    assert html.rescued(None, None, "lines") == ([], "lines")
+
+
+def test_extraction_keeps_the_reading_that_loses_less(spark):
+    five = "a\nb\nc\nd\ne"
+    assert html.chosen(five, "<p>a b c d e</p>")[::2] == (["a", "b", "c", "d", "e"], "lines")
+    kept, lost, taken = html.chosen("one\ntwo", "<p>one</p><p>two three</p>")
+    assert (kept, dict(lost), taken) == (["one", "two three"], {}, "walk")
+    kept, lost, taken = html.chosen(five, "<p>a b c d e</p><p>only here</p>")
+    assert (kept, dict(lost), taken) == (["a b c d e", "only here"], {}, "walk")
+    kept, lost, _ = html.chosen("ee3\nx\n0\ny\n…\nz", None)
+    assert kept == ["x", "y", "z"] and not lost
+    assert html.coverage("short", "<p>a much longer text than that</p>", ["short"]) < html.LEAST_COVERAGE
+    rows = spark.createDataFrame([(five, None), (None, None), ("", "<p>p</p><p>q</p>")], "c string, h string").select(html.extractor()("c", "h").alias("x")).select("x.*").collect()
+    assert [(len(r["paragraphs"]), r["taken"], r["refused"]) for r in rows] == [(5, "lines", False), (0, "lines", True), (2, "walk", False)]
+    assert rows[2]["found"] == {"lines": 0, "html_p": 2, "html_br": 2, "html_blocks": 2}
 
 
 def test_size_split():
@@ -123,10 +152,10 @@ def test_contract_finds_planted_faults(spark):
     assert len(records.index_records(docs).columns) == 28
 
 
-def test_text_scalars_whole_sees_the_end(spark, tmp_path):
+def test_text_scalars_see_the_end(spark, tmp_path):
     from decisionloom.plans import catalogue
 
     head = "word " * 300
     spark.createDataFrame([(1, "s", head + "Ğ the"), (2, "s", head + "x")], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    one, two = sorted(catalogue.QUERIES["text_scalars_whole"](spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])
+    one, two = sorted(catalogue.QUERIES["text_scalars"](spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])
     assert all(one[c] != two[c] for c in ("upper", "lower", "ws", "plain", "slug", "part", "english"))

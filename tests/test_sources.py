@@ -55,11 +55,32 @@ def test_flush_twice_changes_nothing(spark, tmp_path):
     again = spark.createDataFrame([(2, "a", "y")], "doc_id int, source string, v string")
     for batch in (first, again, again):
         flush.flush(batch, path)
-    assert sorted((r["doc_id"], r["v"]) for r in spark.read.parquet(path).collect()) == [(1, "x"), (2, "y"), (3, "x")]
+    read = lambda: sorted((r["doc_id"], r["v"]) for r in flush.read_table(spark, path, first.schema).collect())
+    assert read() == [(1, "x"), (2, "y"), (3, "x")]
+    flush.flush(spark.createDataFrame([(3, "b", "z")], first.schema), path, 7)
+    before = flush.versions(spark, path)
+    flush.flush(spark.createDataFrame([(3, "b", "other")], first.schema), path, 7)  # the same batch once more
+    assert flush.versions(spark, path) == before and read() == [(1, "x"), (2, "y"), (3, "z")]
+    flush.flush(first.limit(0), path, 8)
+    assert read() == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def test_a_crash_inside_a_flush_leaves_the_last_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "x")], "doc_id int, source string, v string")
+    flush.flush(rows, path, 0)
+
+    def crash(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(flush, "_note", crash)
+    with pytest.raises(OSError):
+        flush.flush(rows.withColumn("v", F.lit("y")), path, 1)
+    assert {r["v"] for r in flush.read_table(spark, path, rows.schema).collect()} == {"x"}
 
 
 def test_stream(spark, tmp_path):
     spark.range(5).select(F.col("id").cast("int").alias("doc_id"), F.lit("a").alias("source")).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("doc_id int, source string").parquet(str(tmp_path / "in"))
     flush.start(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert flush.read_table(spark, str(tmp_path / "out"), stream.schema).count() == 5
