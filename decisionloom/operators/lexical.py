@@ -37,20 +37,27 @@ def term_score(tf: Column, dl: Column, avgdl: Column, k1: float = vocab.K1, b: f
 FEW = 200_000
 
 
+def is_few(df: DataFrame) -> bool:
+    return df.limit(FEW + 1).count() <= FEW
+
+
 def few(df: DataFrame) -> DataFrame:
     """df, to be broadcast if it is counted to have few rows."""
-    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+    return F.broadcast(df) if is_few(df) else df
 
 
-def term_counts(units: DataFrame, queries: DataFrame, keys: list[str], options: dict | None = None) -> DataFrame:
-    """keys, term, tf, hit: how often each unit holds each term that a query asks for; all its other tokens are one row, whose term and hit are null."""
-    terms = text.tokens(F.col("text"), **(options or {}))
-    asked = queries.select(F.explode(F.array_distinct(terms)).alias("term")).distinct()
-    tokens = units.select(*keys, F.explode_outer(terms).alias("token"))
-    marked = tokens.join(few(asked), F.col("token") == F.col("term"), "left")
+def term_counts(units: DataFrame, asked: DataFrame, keys: list[str], options: dict | None = None) -> DataFrame:
+    """keys, term, tf, hit: how often each unit holds each of the asked terms; all its other tokens are one row, whose term and hit are null."""
+    tokens = units.select(*keys, F.explode_outer(text.tokens(F.col("text"), **(options or {}))).alias("token"))
+    marked = tokens.join(asked, F.col("token") == F.col("term"), "left")
     return marked.groupBy(*keys, "term").agg(F.count("token").alias("tf"), F.max("term").alias("hit"))
 
 
+def asked_terms(queries: DataFrame, options: dict | None = None) -> DataFrame:
+    """The distinct terms of all queries, to be broadcast if they are few."""
+    return few(queries.select(F.explode(F.array_distinct(text.tokens(F.col("text"), **(options or {})))).alias("term")).distinct())
+
+
 def bm25(units: DataFrame, queries: DataFrame, unit: str, query: str, pool: list[str] | None = None, options: dict | None = None) -> DataFrame:
     """units(unit, text), queries(query, text) -> query, unit, score, rounded to 6 places; only units with a query term.
 
@@ -58,14 +65,19 @@ def bm25(units: DataFrame, queries: DataFrame, unit: str, query: str, pool: list
     """
     pool, options = pool or [], options or {}
     keys = [*pool, unit]
-    counts = term_counts(units, queries, keys, options)
     asked = queries.select(*pool, query, F.explode(F.array_distinct(text.tokens(F.col("text"), **options))).alias("hit"))
+    small = is_few(asked)
+    terms = asked.select(F.col("hit").alias("term")).distinct()
+    counts = term_counts(units, F.broadcast(terms) if small else terms, keys, options)
     hits = counts.filter(F.col("hit").isNotNull())  # on the aggregate, so that the shuffle below it is the same as for the lengths
     lengths = counts.groupBy(*keys).agg(F.sum("tf").alias("dl"))
     total = lengths.groupBy(*pool).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     frequency = hits.groupBy(*pool, "hit").agg(F.count("*").alias("df"))
-    rows = hits.select(*keys, "hit", "tf").join(lengths, keys).join(few(asked), [*pool, "hit"]).join(few(frequency), [*pool, "hit"])
-    rows = rows.join(F.broadcast(total), pool) if pool else rows.crossJoin(total)  # a row per pool
+    if small:
+        asked = F.broadcast(asked)
+        frequency = frequency if pool else F.broadcast(frequency)  # without pools a row per asked term
+    rows = hits.select(*keys, "hit", "tf").join(lengths, keys).join(asked, [*pool, "hit"]).join(frequency, [*pool, "hit"])
+    rows = rows.join(total, pool) if pool else rows.crossJoin(total)  # a row
     score = inverse_frequency(F.col("n"), F.col("df")) * term_score(F.col("tf"), F.col("dl"), F.col("avgdl"))
     return rows.groupBy(query, unit, *pool).agg(F.round(F.sum(score), 6).alias("score"))
 

@@ -89,7 +89,7 @@ def guarded_search_silence(spark: SparkSession, d: str) -> DataFrame:
     """Top document of each item, kept only with a distinctive term; the verdict on silence."""
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
     scores = L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=STOP), "item_id", "doc_id", 1)
-    counts = L.term_counts(docs, items, ["doc_id"]).filter(F.col("hit").isNotNull())
+    counts = L.term_counts(docs, L.asked_terms(items), ["doc_id"]).filter(F.col("hit").isNotNull())
     n = docs.agg(F.count("*").alias("n"))
     guard = counts.groupBy("hit").agg(F.count("*").alias("df")).crossJoin(n).filter("2 * df < n").select("hit")
     asked = items.select("item_id", F.explode(F.array_distinct(text.tokens(F.col("text")))).alias("hit")).join(guard, "hit", "left_semi")
