@@ -14,7 +14,7 @@ without any label); repeated documents are scored alike; other columns are ignor
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from itertools import islice
 from operator import eq
 
@@ -34,14 +34,44 @@ EPOCHS, RATE = 4, 2.0
 #: What a word that follows itself is read as: no text holds such a word.
 AGAIN = "\x01 again"
 #: Words whose sums a worker keeps; beyond it starts anew.
-CACHE = 150_000
+CACHE = 300_000
 
 
-def features(word: str, buckets: int = BUCKETS) -> list[int]:
-    """Bucket of the word, then those of its character n-grams, in a half of their own."""
-    padded = f"<{word}>"
-    grams = [padded[i : i + n] for n in GRAMS for i in range(len(padded) - n + 1)]
-    return [zlib.crc32(word.encode()) % buckets, *(buckets + zlib.crc32(g.encode()) % buckets for g in grams)]
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _M1
+    h = (h ^ (h >> np.uint64(29))) * _M2
+    return ((h ^ (h >> np.uint64(32))) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words and of their character n-grams, these in a half of their own, and which of the words each belongs to."""
+    padded = [f"<{w}>" for w in words]
+    codes = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, padded), np.int64, len(padded))
+    ends = np.cumsum(size)
+    owner = np.repeat(np.arange(len(words)), size)
+    left = ends[owner] - np.arange(len(codes))
+    place = (size[owner] - left).astype(np.uint64)
+    whole = np.add.reduceat((codes + np.uint64(1)) * _mixed(place), ends - size) if len(words) else codes
+    buckets, owners = [_bucket(whole)], [np.arange(len(words))]
+    for n in GRAMS:
+        at = np.flatnonzero(left >= n)
+        h = np.full(len(at), n, np.uint64)
+        for j in range(n):
+            h = (h ^ codes[at + j]) * _M1
+            h ^= h >> np.uint64(29)
+        buckets.append(BUCKETS + _bucket(h))
+        owners.append(owner[at])
+    return np.concatenate(buckets), np.concatenate(owners)
+
+
+def _mixed(place: np.ndarray) -> np.ndarray:
+    """An odd factor for each place of a letter in its word."""
+    x = (place + np.uint64(1)) * _M2
+    return (x ^ (x >> np.uint64(32))) | np.uint64(1)
 
 
 def repeated(words: list) -> list:
@@ -63,15 +93,12 @@ def train(rows: list[tuple[int, str]], epochs: int = EPOCHS, rate: float = RATE,
         p = float(np.clip(ys.mean(), 1e-3, 1 - 1e-3)) if len(ys) else 0.5
         return {"vectors": np.zeros((2 * BUCKETS, 1), np.float32), "out": np.zeros((1, 2), np.float32), "bias": np.array([0.0, np.log(p / (1 - p))], np.float32)}
     rng = np.random.default_rng(seed)
-    known: dict[str, list[int]] = {}
     docs = []
     for _, text in rows:
-        found: list[int] = []
-        for w in tokens(text.split()):
-            if w not in known:
-                known[w] = features(w)
-            found += known[w]
-        ids, n = np.unique(np.asarray(found, dtype=np.int32), return_counts=True)
+        counts = Counter(tokens(text.split()))
+        buckets, owner = features(list(counts))
+        ids, which = np.unique(buckets, return_inverse=True)
+        n = np.bincount(which, np.fromiter(counts.values(), np.float64, len(counts))[owner], len(ids))
         docs.append((ids, (n / max(1, n.sum())).astype(np.float32)))
     vectors = rng.uniform(-1 / DIMENSION, 1 / DIMENSION, (2 * BUCKETS, DIMENSION)).astype(np.float32)
     out, bias = np.zeros((DIMENSION, 2), np.float32), np.zeros(2, np.float32)
@@ -104,11 +131,13 @@ def scores(docs: DataFrame, model: dict) -> DataFrame:
         known: dict[bytes, complex] = {}
         get = known.__getitem__
 
-        def sums(word: str) -> complex:
-            ids = features(word)
-            return complex(along[ids].sum(), len(ids))
+        def learn(words: list[bytes]) -> None:
+            buckets, owner = features([w.decode() for w in words])
+            total, n = np.bincount(owner, along[buckets], len(words)), np.bincount(owner, minlength=len(words))
+            known.update(zip(words, (total + 1j * n).tolist(), strict=True))
 
-        again = sums(AGAIN)
+        learn([AGAIN.encode()])
+        again = known.pop(AGAIN.encode())
 
         def one(text: bytes | None) -> float:
             words = (text or b"").split()
@@ -117,9 +146,7 @@ def scores(docs: DataFrame, model: dict) -> DataFrame:
             except KeyError:
                 if len(known) > CACHE:
                     known.clear()
-                for w in set(words):
-                    if w not in known:
-                        known[w] = sums(w.decode())
+                learn([w for w in set(words) if w not in known])
                 total = sum(map(get, words), 0j)
             twice = repeated(words)
             if twice:
