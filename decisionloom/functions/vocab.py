@@ -2,6 +2,9 @@
 
 # Turkish tokens, stop words, language markers.
 TURKISH_TOKEN = "[a-zçğıöşüâîûêô0-9]+"
+TURKISH_STOP = (
+    "ve bir bu ile için olan olarak da de mı mi mu mü ki gibi ise ancak ya veya çok daha en her tüm üzere göre kadar sonra önce dair ilişkin olduğu olduğunu şu o ne mıdır midir"
+).split()
 TURKISH_LETTERS = "çğıöşüÇĞİÖŞÜ"
 DEACCENT_FROM, DEACCENT_TO = "çğıöşüÇĞİÖŞÜâîûÂÎÛ", "cgiosuCGIOSUaiuAIU"
 

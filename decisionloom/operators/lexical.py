@@ -123,12 +123,17 @@ def distinctive(units: DataFrame, queries: DataFrame, unit: str, query: str, opt
 def fuse(lexical: DataFrame, vector: DataFrame, query: str, item: str, k: int = vocab.RRF, weights: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
     """Reciprocal-rank fusion of two ranked lists (query, item, rank from 1): + rrf, source, rank.
 
-    Items that a list repeats add up; empty items are skipped; ties go to the better lexical, then vector rank.
+    Items that a list repeats add up; empty items are skipped; ties go to the better lexical, then
+    vector rank.  An item that only the vector list holds, but more than once, counts as "both".
     """
-    one = lambda df, w, name: df.filter(F.col(item).isNotNull()).groupBy(query, item).agg(F.sum(F.lit(w) / (F.lit(k) + F.col("rank"))).alias(f"s_{name}"), F.min("rank").alias(f"r_{name}"))
+
+    def one(df: DataFrame, w: float, name: str) -> DataFrame:
+        held = df.filter(F.col(item).isNotNull() & (F.col(item).cast("string") != ""))
+        return held.groupBy(query, item).agg(F.sum(F.lit(w) / (F.lit(k) + F.col("rank"))).alias(f"s_{name}"), F.min("rank").alias(f"r_{name}"), F.count("*").alias(f"n_{name}"))
+
     both = one(lexical, weights[0], "lex").join(one(vector, weights[1], "vec"), [query, item], "full_outer")
     score = F.coalesce("s_lex", F.lit(0.0)) + F.coalesce("s_vec", F.lit(0.0))
-    source = F.when(F.col("s_vec").isNull(), "lexical").when(F.col("s_lex").isNull(), "vector").otherwise("both")
+    source = F.when(F.col("s_vec").isNull(), "lexical").when(F.col("s_lex").isNull() & (F.col("n_vec") == 1), "vector").otherwise("both")
     out = both.select(query, item, F.round(score, 9).alias("rrf"), source.alias("source"), "r_lex", "r_vec")
     order = Window.partitionBy(query).orderBy(F.desc("rrf"), F.asc_nulls_last("r_lex"), F.asc_nulls_last("r_vec"), item)
     return out.withColumn("rank", F.row_number().over(order).cast("long"))

@@ -32,6 +32,19 @@ def usable(raw: DataFrame, statuses: list[str]) -> DataFrame:
     return raw.filter(F.col("status").isin(statuses) & (has("content_text") | has("html_content")))
 
 
+def documents(raw: DataFrame, limit: int | None = None) -> DataFrame:
+    """raw + paragraphs, without records that have none; the first of them in the order of file and id, where there is a limit."""
+    from decisionloom.functions import html
+
+    rows = raw.withColumn("paragraphs", html.extractor()("content_text", "html_content")["paragraphs"]).filter(F.size("paragraphs") > 0)
+    return rows if limit is None else rows.orderBy("source", "doc_id").limit(limit)
+
+
+def of_document(chunks: DataFrame, source: str, doc_id: str) -> DataFrame:
+    """Stored chunks of one document, by the identifier in their label."""
+    return chunks.filter((F.col("source") == source) & (F.substring_index("chunk_label", "-p", 1) == doc_id)).orderBy("pos")
+
+
 def raw_column(raw: DataFrame) -> Column:
     """The longer of the two text columns."""
     a, b = F.coalesce("content_text", F.lit("")), F.coalesce("html_content", F.lit(""))

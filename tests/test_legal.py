@@ -155,3 +155,49 @@ def test_clean_output_has_no_fault_of_its_own(spark):
     assert found <= {"fragment_chunk", "reasoning_summary_not_in_decision_language", "conclusion_sentence_not_in_decision_language"}
     broken = {r["kind"] for r in stored.document_verification(spark, DATA).filter("run = 'broken'").collect()}
     assert len(broken) >= 21
+
+
+def test_procedural_texts(spark):
+    from decisionloom.operators import preflight as P
+
+    reason = lambda t: one(spark, P.procedural_reason(F.col("t")), t=t)
+    assert reason("Dosyanın bir süre bekletilmesine") == "procedural" and reason("dilekçenin reddine, görevsizlik kararı") == "jurisdictional"
+    assert reason("davanın reddine") is None and reason(None) is None
+    assert one(spark, P.phrase_density(F.col("t")), t="xx duruşma ertelendi") == 17 / 20
+    assert one(spark, P.phrase_density(F.col("t")), t=None) == 0.0
+
+
+def test_injected_records_come_through(spark):
+    from decisionloom.operators import preflight as P
+
+    rows = [("rekabet", 1, '{"data":{"decision_number_raw":"06-90/1142-338","decision_date":"2021-01-02"}}', "t"), ("rekabet", 2, None, "t"), ("bam", 3, None, "t")]
+    df = spark.createDataFrame(rows, "source string, doc_id long, metadata string, title string")
+    for c in ("esas_year", "esas_no", "karar_year", "karar_no", "chamber_id"):
+        df = df.withColumn(c, F.lit(None).cast("int"))
+    got = {r["source"]: r for r in P.with_injected(df.withColumn("content_text", F.lit("")).withColumn("html_content", F.lit("")).withColumn("status", F.lit("x")), "A\nB", "<p>A</p>").collect()}
+    assert got["rekabet"]["ready"] and got["rekabet"]["doc_id"] == 1 and got["rekabet"]["paragraphs"] == 2
+    assert not got["bam"]["ready"]
+
+
+def test_fusion_labels(spark):
+    from decisionloom.operators import lexical as L
+
+    lex = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "", 3)], "q int, item string, rank long")
+    vec = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (1, "c", 3), (1, "d", 4)], "q int, item string, rank long")
+    got = {r["item"]: r["source"] for r in L.fuse(lex, vec, "q", "item").collect()}
+    assert got == {"a": "lexical", "b": "both", "c": "both", "d": "vector"}
+
+
+def test_small_projections(spark):
+    from decisionloom.operators import vector as V
+    from decisionloom.sources import records
+
+    hits = spark.createDataFrame([(1, "x", 2.0)], "id int, title string, score double")
+    assert V.payload(hits, ["id", "title"], ["score", "missing", "id"]).columns == ["id", "title", "score"]
+    chunks = spark.createDataFrame([("bam", "7-p2", 1), ("bam", "7-p1", 0), ("bam", "71-p1", 2), ("aym", "7-p1", 3)], "source string, chunk_label string, pos int")
+    assert [r["chunk_label"] for r in records.of_document(chunks, "bam", "7").collect()] == ["7-p1", "7-p2"]
+    raw = spark.createDataFrame([("bam", "2", "a\nb", None), ("bam", "1", "", "<p>x</p><p>y</p>"), ("aym", "3", None, None)], "source string, doc_id string, content_text string, html_content string")
+    assert [r["doc_id"] for r in records.documents(raw, 1).collect()] == ["1"] and records.documents(raw).count() == 2
+    assert tuple(R.unmatched(chunks.withColumn("doc_id", F.substring_index("chunk_label", "-p", 1)), spark.createDataFrame([("bam", "7")], "source string, doc_id string"), ["source", "doc_id"]).orderBy("source").first()) == ("aym", "7", 1)
+    profile = spark.createDataFrame([("bam", "s", 3, True), ("bam", "t", 1, False)], "source string, shape string, documents int, covered boolean")
+    assert tuple(R.uncovered_archetypes(profile).first()) == ("bam", 2, 1, 0.25)
