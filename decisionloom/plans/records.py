@@ -215,23 +215,25 @@ UNION ALL SELECT 'chunk', count(*), count(DISTINCT doc_id), CAST(sum(length(text
 
 
 def export_merge(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source", "n_chars")
-    old, new = docs.filter("doc_id % 3 <> 0"), docs.filter("doc_id % 2 = 0").withColumn("n_chars", F.lit(0).cast("long"))
-    return R.merge_new(old, new, "doc_id")
+    """Labelled documents are there already; an export of all documents comes in."""
+    docs, labelled = table(spark, d, "documents").select("doc_id", "source", "n_chars"), table(spark, d, "labels").select("doc_id")
+    return R.merge_new(docs.join(labelled, "doc_id", "left_semi"), docs.withColumn("n_chars", F.lit(0).cast("long")), "doc_id")
 
 
-EXPORT = "SELECT doc_id, source, CASE WHEN doc_id % 3 <> 0 THEN n_chars ELSE 0 END AS n_chars FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 2 = 0"
+EXPORT = "SELECT doc_id, source, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN n_chars ELSE 0 END AS n_chars FROM documents"
 
 
 def targeted_merge(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source", F.lit(1).alias("version"))
-    ran = docs.filter("doc_id % 5 = 0")
-    new = docs.filter("doc_id % 10 = 0").withColumn("version", F.lit(2))
+    """All documents are stored; the labelled ones ran again, and those of good quality came back, twice."""
+    docs, labels = table(spark, d, "documents").select("doc_id", "source", F.lit(1).alias("version")), table(spark, d, "labels")
+    ran = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    new = docs.join(labels.filter("quality = 1").select("doc_id"), "doc_id", "left_semi").withColumn("version", F.lit(2))
     once = R.merge_targeted(docs, ran, new, "doc_id")
     return R.merge_targeted(once, ran, new, "doc_id").groupBy("source", "version").agg(F.count("*").alias("rows"))
 
 
-TARGETED = "SELECT source, CAST(CASE WHEN doc_id % 10 = 0 THEN 2 ELSE 1 END AS INTEGER) AS version, count(*) AS rows FROM documents WHERE doc_id % 5 <> 0 OR doc_id % 10 = 0 GROUP BY ALL"
+TARGETED = """WITH d AS (SELECT source, doc_id IN (SELECT doc_id FROM labels) AS ran, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good FROM documents)
+SELECT source, CAST(CASE WHEN good THEN 2 ELSE 1 END AS INTEGER) AS version, count(*) AS rows FROM d WHERE NOT ran OR good GROUP BY ALL"""
 
 
 def scorecard_compare(spark, d):
@@ -257,11 +259,11 @@ METADATA = "SELECT event_type, key, count(*) AS n FROM (SELECT event_type, unnes
 def dissent_longest_prefix(spark, d):
     """The longest prefix of a part's type, at a word's end, that is another part's type cut to two words or one."""
     p = table(spark, d, "part").select("p_partkey", "p_type")
-    short = p.filter("p_partkey % 2 = 0").select(F.array_join(F.slice(F.split("p_type", " "), F.lit(1), (F.col("p_partkey") % 3 + 1).cast("int")), " ").alias("subject"))
+    short = p.select(F.array_join(F.slice(F.split("p_type", " "), F.lit(1), (F.col("p_partkey") % 3 + 1).cast("int")), " ").alias("subject"))
     return R.longest_prefix(p, short, "p_type", "subject")
 
 
-PREFIX = """WITH s AS (SELECT DISTINCT array_to_string(string_split(p_type, ' ')[1:p_partkey % 3 + 1], ' ') AS subject FROM part WHERE p_partkey % 2 = 0)
+PREFIX = """WITH s AS (SELECT DISTINCT array_to_string(string_split(p_type, ' ')[1:p_partkey % 3 + 1], ' ') AS subject FROM part)
 SELECT p_partkey, p_type, max_by(subject, length(subject)) AS prefix FROM part LEFT JOIN s ON p_type = subject OR starts_with(p_type, subject || ' ') GROUP BY ALL"""
 
 

@@ -71,14 +71,14 @@ SELECT query_id, role, CAST(k AS INTEGER) AS per_key, id, score FROM r, (VALUES
 
 
 def units(spark, d):
-    """Texts by id: a document for an even id; whole documents stand for parents whose id is divisible by three."""
-    docs = table(spark, d, "documents")
-    own = docs.filter("doc_id % 2 = 0").select(F.col("doc_id").alias("id"), F.lit(None).cast("long").alias("parent"), F.lit("chunk").alias("unit"), "text")
-    whole = docs.filter("doc_id % 3 = 0").select((F.col("doc_id") + 2_000_000).alias("id"), (F.col("doc_id") + 1_000_000).alias("parent"), F.lit("document").alias("unit"), "text")
+    """Texts by id: labelled documents under their own; every document under its parent's."""
+    docs, labelled = table(spark, d, "documents"), table(spark, d, "labels").select("doc_id")
+    own = docs.join(labelled, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.lit(None).cast("long").alias("parent"), F.lit("chunk").alias("unit"), "text")
+    whole = docs.select((F.col("doc_id") + 2_000_000).alias("id"), (F.col("doc_id") + 1_000_000).alias("parent"), F.lit("document").alias("unit"), "text")
     return own.unionByName(whole)
 
 
-_STORE = """st AS (SELECT doc_id AS id, text FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id + 2000000, text FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id + 1000000, text FROM documents WHERE doc_id % 3 = 0)"""
+_STORE = """st AS (SELECT doc_id AS id, text FROM documents SEMI JOIN labels USING (doc_id) UNION ALL SELECT doc_id + 2000000, text FROM documents UNION ALL SELECT doc_id + 1000000, text FROM documents)"""
 
 
 def hydrate_fallback(spark, d):
@@ -170,13 +170,13 @@ def embed_cache_join(spark, d):
     """Texts whose vector is in the cache, by a key over model, ceiling and text; misses would be embedded.  Lengths are normalised."""
     key = lambda c: F.sha2(F.concat_ws("|", F.lit("model"), F.lit("2048"), c), 256)
     docs = table(spark, d, "documents").select("doc_id", key(F.col("text")).alias("k"))
-    cache = table(spark, d, "documents").filter("doc_id % 4 = 0").select(key(F.col("text")).alias("k")).distinct().withColumn("cached", F.lit(True))
+    cache = table(spark, d, "documents").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").select(key(F.col("text")).alias("k")).distinct().withColumn("cached", F.lit(True))
     norms = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.round(ids.dot(ids.normalised(F.col("embedding")), ids.normalised(F.col("embedding"))), 6).alias("norm"))
     out = docs.join(cache, "k", "left").join(norms, "doc_id", "left")
     return out.groupBy(F.coalesce("cached", F.lit(False)).alias("hit")).agg(F.count("*").alias("texts"), F.countDistinct("k").alias("keys"), F.count("norm").alias("vectors"), F.round(F.avg("norm"), 4).alias("norm"))
 
 
-CACHE = """WITH t AS (SELECT doc_id, sha256('model|2048|' || text) AS k FROM documents), c AS (SELECT DISTINCT k FROM t WHERE doc_id % 4 = 0)
+CACHE = """WITH t AS (SELECT doc_id, sha256('model|2048|' || text) AS k FROM documents), c AS (SELECT DISTINCT k FROM t SEMI JOIN labels USING (doc_id))
 SELECT c.k IS NOT NULL AS hit, count(*) AS texts, count(DISTINCT t.k) AS keys, count(vec_id) AS vectors, CASE WHEN count(vec_id) > 0 THEN 1.0::DOUBLE END AS norm
 FROM t LEFT JOIN c ON t.k = c.k LEFT JOIN embeddings ON vec_id = doc_id GROUP BY 1"""
 

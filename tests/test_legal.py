@@ -201,3 +201,13 @@ def test_small_projections(spark):
     assert tuple(R.unmatched(chunks.withColumn("doc_id", F.substring_index("chunk_label", "-p", 1)), spark.createDataFrame([("bam", "7")], "source string, doc_id string"), ["source", "doc_id"]).orderBy("source").first()) == ("aym", "7", 1)
     profile = spark.createDataFrame([("bam", "s", 3, True), ("bam", "t", 1, False)], "source string, shape string, documents int, covered boolean")
     assert tuple(R.uncovered_archetypes(profile).first()) == ("bam", 2, 1, 0.25)
+
+
+def test_queries_in_blocks_meet_all_points(spark, monkeypatch):
+    from decisionloom.operators import vector as V
+
+    points = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(9)], "id int, vector array<double>")
+    queries = points.select(F.col("id").alias("query_id"), "vector")
+    whole = sorted(map(tuple, V.similarities(points, queries).select("query_id", "id", "score").collect()))
+    monkeypatch.setattr(V, "BLOCK", 2)
+    assert sorted(map(tuple, V.similarities(points, queries).select("query_id", "id", "score").collect())) == whole and len(whole) == 81
