@@ -26,6 +26,8 @@ def _small(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """edges(a, b) -> (node, component) for every node that has an edge to another; component is the least node of its component.
 
+    Edges from a node to itself and edges with a null end are left out; repeated edges and either
+    direction count once; no edges give no rows.
     Each round writes its edges to the shared folder; only counts and sums reach the driver.
     """
     edges = stash(edges.filter("a <> b"))
