@@ -1,4 +1,11 @@
-"""From documents to packed training sequences: five stages, each written as Parquet and read again."""
+"""From documents to packed training sequences: five stages, each written as Parquet and read again.
+
+Cases, for every stage: null and empty texts are scored like a text without words and stay, have no
+near copies and no repeats, weigh nothing in the mix (a source's whole repetitions keep them) and
+are packed as an end token; a null id is a document like others; rows that repeat an id and a text
+are one to the stages that drop or change documents; empty tables give empty tables; columns of any
+name go through all stages but the last, which returns pieces.
+"""
 
 from __future__ import annotations
 
