@@ -47,10 +47,14 @@ def few(df: DataFrame) -> DataFrame:
 
 
 def term_counts(units: DataFrame, asked: DataFrame, keys: list[str], options: dict | None = None) -> DataFrame:
-    """keys, term, tf, hit: how often each unit holds each of the asked terms; all its other tokens are one row, whose term and hit are null."""
+    """keys, hit, tf: how often each unit holds each of the asked terms; all its other tokens are one row, whose hit is null.
+
+    Kept for the query's branches (lengths, frequencies, scores), so that texts are tokenised once;
+    what is lost with an executor is computed again.
+    """
     tokens = units.select(*keys, F.explode_outer(text.tokens(F.col("text"), **(options or {}))).alias("token"))
     marked = tokens.join(asked, F.col("token") == F.col("term"), "left")
-    return marked.groupBy(*keys, "term").agg(F.count("token").alias("tf"), F.max("term").alias("hit"))
+    return marked.groupBy(*keys, F.col("term").alias("hit")).agg(F.count("token").alias("tf")).persist()
 
 
 def asked_terms(queries: DataFrame, options: dict | None = None) -> DataFrame:
@@ -69,7 +73,7 @@ def bm25(units: DataFrame, queries: DataFrame, unit: str, query: str, pool: list
     small = is_few(asked)
     terms = asked.select(F.col("hit").alias("term")).distinct()
     counts = term_counts(units, F.broadcast(terms) if small else terms, keys, options)
-    hits = counts.filter(F.col("hit").isNotNull())  # on the aggregate, so that the shuffle below it is the same as for the lengths
+    hits = counts.filter(F.col("hit").isNotNull())
     lengths = counts.groupBy(*keys).agg(F.sum("tf").alias("dl"))
     total = lengths.groupBy(*pool).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     frequency = hits.groupBy(*pool, "hit").agg(F.count("*").alias("df"))
