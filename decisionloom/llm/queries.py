@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from decisionloom.llm import hnsw, licences, minhash, mixing, nndescent, packing, quality, substrings, token_counts, toxicity
+from decisionloom.llm import hnsw, infilling, licences, minhash, mixing, nndescent, packing, quality, substrings, token_counts, toxicity
 
 QUERIES = {
     "op1_nn_descent": nndescent.op1_nn_descent,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_minhash_neardup": minhash.op8_minhash_neardup,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_fill_in_middle": infilling.op11_fill_in_middle,
 }
 
 ORACLE_SQL = {
     "op9_mixing": mixing.OP9_SQL,
+    "op11_fill_in_middle": infilling.OP11_SQL,
 }
