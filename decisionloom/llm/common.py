@@ -49,12 +49,13 @@ WHILE_WRITING = {
 _MADE: list[list[DataFrame]] = []
 
 
-def stash(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors, and fixes the rows that later steps see."""
+def stash(df: DataFrame, records: int | None = None) -> DataFrame:
+    """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors, and fixes the rows that later steps see.  records: rows of a batch for Python, where rows are small."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
-    before = {k: spark.conf.get(k) for k in WHILE_WRITING}
-    for k, v in WHILE_WRITING.items():
+    settings = WHILE_WRITING | ({"spark.sql.execution.arrow.maxRecordsPerBatch": str(records)} if records else {})
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").parquet(path)
@@ -68,12 +69,12 @@ def stash(df: DataFrame) -> DataFrame:
     return out
 
 
-def settled(make: Callable[[], DataFrame]) -> DataFrame:
+def settled(make: Callable[[], DataFrame], records: int | None = None) -> DataFrame:
     """The rows that make() returns, written once; every other stash that it made is deleted."""
     _MADE.append([])
     out = None
     try:
-        out = stash(make())
+        out = stash(make(), records)
     finally:
         release(*[x for x in _MADE.pop() if x is not out])
     if _MADE:
