@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from decisionloom.llm import context_trees, hnsw, infilling, licences, minhash, mixing, nndescent, packing, quality, substrings, token_counts, toxicity
+from decisionloom.llm import alignment, context_trees, hnsw, infilling, licences, minhash, mixing, nndescent, packing, quality, substrings, token_counts, toxicity
 
 QUERIES = {
     "op1_nn_descent": nndescent.op1_nn_descent,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_fill_in_middle": infilling.op11_fill_in_middle,
+    "op12_tokenizer_alignment": alignment.op12_tokenizer_alignment,
     "op13_context_trees": context_trees.op13_context_trees,
 }
 
