@@ -120,6 +120,37 @@ class Asked:
         return pa.RecordBatch.from_arrays([pa.array(np.full(many + few, block, np.int32)), pa.array(kind), gram, word, pa.array(n)], names=["block", "kind", "gram", "word", "n"])
 
 
+class Values:
+    """Numbers by string, in a table of open addressing."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits)
+        at = self.slot(keys)
+        while len(keys):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[free]
+            own = self.keys[at] == keys
+            self.values[at[own]] = values[own]
+            keys, values, at = keys[~own], values[~own], (at[~own] + 1) & self.mask
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def total(self, keys: np.ndarray) -> float:
+        """Sum over keys, all of which are there."""
+        at, out = self.slot(keys), 0.0
+        while True:
+            own = self.keys[at] == keys
+            out += float(self.values[at[own]].sum())
+            if own.all():
+                return out
+            if (self.keys[at[~own]] == -1).any():
+                raise KeyError("a string that its block didn't ask for")
+            keys, at = keys[~own], (at[~own] + 1) & self.mask
+
+
 def runs(values: np.ndarray) -> list[tuple[int, int]]:
     """Where equal neighbours start and end."""
     cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
@@ -251,9 +282,7 @@ def scored(placed: DataFrame, values: DataFrame, total: int, distinct: int, dept
                     counts.update(zip(part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True))
                     continue
                 if not ready:
-                    keys = np.concatenate(grams)
-                    order = np.argsort(keys)
-                    keys, code, ready = keys[order], np.concatenate(sums)[order], True
+                    code, ready = Values(np.concatenate(grams), np.concatenate(sums)), True
                     grams, sums = [], []
                     known = {w: complex(np.log10(c + ADDED), c > 0) for w, c in counts.items()}
                     counts = {}
@@ -261,7 +290,7 @@ def scored(placed: DataFrame, values: DataFrame, total: int, distinct: int, dept
                     words, stream = byte_stream(text.as_py())
                     base = sum(map(known.__getitem__, words), known[b""])
                     n = len(words) + 1
-                    score = sum(float(code[np.searchsorted(keys, strings([stream[max(0, at - depth) : at + STRIP]], depth)[min(at, depth) :])].sum()) for at in range(0, len(stream), STRIP))
+                    score = sum(code.total(strings([stream[max(0, at - depth) : at + STRIP]], depth)[min(at, depth) :]) for at in range(0, len(stream), STRIP))
                     out.append((doc, n, int(base.imag), total, base.real - n * bottom, score))
             if out:
                 columns = list(zip(*out, strict=True))
