@@ -1,5 +1,6 @@
 """Infilling, alignment of tokenizers and context trees against brute force."""
 
+import bisect
 import hashlib
 import math
 import re
@@ -80,12 +81,13 @@ def aligned(rows):
             per.append((doc, None))
             continue
         ends = [np.cumsum([len(sizes[i]) for i in ids]).tolist() for ids, sizes in ((a, tokens.a_bytes), (b, tokens.b_bytes))]
-        links, groups, lo = [], [], 0
-        for hi in sorted(set(ends[0]) & set(ends[1])):
-            one, two = ([i for i, e in zip(ids, own, strict=True) if lo < e <= hi] for ids, own in zip((a, b), ends, strict=True))
-            links.append((one[-1], two[-1]))
-            groups.append(f"{','.join(map(str, one))}|{','.join(map(str, two))}")
-            lo = hi
+        shared = sorted(set(ends[0]) & set(ends[1]))
+        split = [[[] for _ in shared], [[] for _ in shared]]
+        for side, (ids, own) in enumerate(zip((a, b), ends, strict=True)):
+            for i, e in zip(ids, own, strict=True):
+                split[side][bisect.bisect_left(shared, e)].append(i)
+        links = [(x[-1], y[-1]) for x, y in zip(*split, strict=True)]
+        groups = [f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in zip(*split, strict=True)]
         counts.update(links)
         starts = [[0, *own[:-1]] for own in ends]
         overlaps = sum(s < f and t < e for s, e in zip(starts[0], ends[0], strict=True) for t, f in zip(starts[1], ends[1], strict=True)) if len(a) < 3000 else len(a) + len(b) - len(links)
