@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import sys
 import tempfile
 import uuid
@@ -137,7 +138,7 @@ SAMPLE_CHARS = 32_000_000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: dict[int, int], columns: tuple[str, ...] = (), most: int = SAMPLE_CHARS) -> list:
-    """At most per_class labelled documents outside the held-out fold, in a hashed order and while their texts stay below `most` characters in all: rows (label, text, *columns) on the driver.
+    """At most per_class labelled documents outside the held-out fold, in a hashed order, without those whose text would pass `most` characters in all (counted in a warning): rows (label, text, *columns) on the driver.
 
     A document that is labelled twice counts with its larger label; null ids, labels and texts are left out.
     """
@@ -150,12 +151,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     kept = stash(kept)  # a bounded number of ids
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text"), *[F.col(c).alias(f"with_{c}") for c in columns]).filter(F.col("text").isNotNull())
     found = stash(texts.join(F.broadcast(kept), "id").withColumn("chars", F.length("text")).withColumn("h", F.xxhash64("id")))
-    total, last = 0, None
+    total, chosen, skipped = 0, [], 0
     for r in found.groupBy("h").agg(F.sum("chars").alias("n")).orderBy("h").collect():  # a row per document of the sample
+        if total + r["n"] > most:
+            skipped += 1
+            continue
         total += r["n"]
-        if total > most:
-            break
-        last = r["h"]
-    rows = [] if last is None else found.filter(F.col("h") <= last).select("id", "y", "text", *[f"with_{c}" for c in columns]).collect()
+        chosen.append((r["h"],))
+    if skipped:
+        logging.getLogger(__name__).warning("%d labelled documents of %d left out of the sample, which holds %d characters of at most %d", skipped, skipped + len(chosen), total, most)
+    own = docs.sparkSession.createDataFrame(chosen, "h long")
+    rows = found.join(F.broadcast(own), "h").select("id", "y", "text", *[f"with_{c}" for c in columns]).collect()
     release(kept, found)
     return [tuple(r)[1:] for r in sorted(rows, key=lambda r: (r["id"], r["text"]))]

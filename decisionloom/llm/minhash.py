@@ -185,7 +185,7 @@ def _posterior(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """The shingle sets of the needed nodes (node, _id of one of its documents): node, hashes."""
+    """The shingle sets of the needed nodes (node, and did and raw of one of its documents): node, hashes."""
 
     def run(batches):
         s = Shingles()
@@ -198,8 +198,8 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
                     sets.append(s.hashes(words).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())], names=["node", "hashes"])
 
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("_id"), F.col("text").cast("binary").alias("_text"))
-    found = needed.join(texts, "_id").select("node", "_text").mapInArrow(run, "node binary, hashes binary")
+    texts = docs.select(*row_key(docs), F.col("text").cast("binary").alias("_text"))
+    found = needed.join(texts, ["did", "raw"]).select("node", "_text").mapInArrow(run, "node binary, hashes binary")
     return stash(found.dropDuplicates(["node"]))
 
 
@@ -290,14 +290,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
     rows = stash(signed(docs))
-    none = F.lit(-(1 << 62))
-    nodes = stash(rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.coalesce("doc_id", none)).alias("_id"), F.min("doc_id").alias("first"), F.first("signature").alias("signature")))
+    one = F.min(F.struct("did", "raw"))
+    nodes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(one.alias("one"), F.min("doc_id").alias("first"), F.first("signature").alias("signature"))
+    nodes = stash(nodes.select("node", "one.did", "one.raw", "first", "signature"))
     narrow = stash(rows.select("doc_id", "did", "raw", "node", "n_shingles"))
     release(rows)  # the signatures, of which one a node stays
     bands = _banded(nodes, percent)
     hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub")
     members = stash(bands.join(hubs, "band").select("band", "node", "hub"))
-    involved = members.select("node").distinct().join(nodes.select("node", "_id"), "node")
+    involved = members.select("node").distinct().join(nodes.select("node", "did", "raw"), "node")
     sets = _sets(docs, involved)
     first = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     pairs = stash(_posterior(stash(first), nodes, percent))

@@ -127,16 +127,19 @@ def _planned(docs: DataFrame, weights: tuple[int, ...], max_epochs: int, seed: i
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17) -> DataFrame:
     """The mix itself: docs' columns, a row for each whole repetition and one more, with the first words, for a part.  n_chars, where there is one, follows the text."""
     sources = settled(lambda: plan_sources(stash(measured(docs, seed)), weights, max_epochs))
-    sized = docs.withColumn("_mix_size", F.coalesce(F.regexp_count("text", F.lit(RAW_WORD)), F.lit(0)).cast("long")).withColumn("_mix_key", order_key(F.col("doc_id"), seed))
+    doc = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")  # so that no column clashes with the plan's
+    size = F.coalesce(F.regexp_count(docs["text"], F.lit(RAW_WORD)), F.lit(0)).cast("long")
+    sized = docs.select(doc, docs["source"].alias("source"), size.alias("_mix_size"), order_key(docs["doc_id"], seed).alias("_mix_key"))
     rows = _joined(sized, sources)
     copies = F.col("_mix_whole") + F.when(F.col("_mix_more") > 0, F.lit(1)).otherwise(F.lit(0))
     rows = rows.filter(copies > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
     part = (F.col("_mix_copy") > F.col("_mix_whole")) & (F.col("_mix_more") < F.col("_mix_size"))
-    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(RAW_WORD), F.lit(0)), F.lit(1), F.col("_mix_more").cast("int")), " ")
-    rows = rows.withColumn("text", F.when(part, first).otherwise(F.col("text")))
+    first = F.array_join(F.slice(F.regexp_extract_all("doc.text", F.lit(RAW_WORD), F.lit(0)), F.lit(1), F.col("_mix_more").cast("int")), " ")
+    rows = rows.withColumn("_mix_text", F.when(part, first).otherwise(F.col("doc.text")))
+    changed = {"text": F.col("_mix_text")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        changed["n_chars"] = F.length("_mix_text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:

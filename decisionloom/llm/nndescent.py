@@ -2,11 +2,13 @@
 
 A neighbour graph starts from leaves of random hyperplane trees and is refined by joining each
 node's neighbours (its own and those that point to it) with one another; a node whose list is full
-of links keeps a longer one next time.  Rounds end when one brings no new link.  Two samples, one
-node of each of many components and nodes without a link, are then compared with all vectors; while
-a node of them has a link that isn't joined, more trees and rounds follow.  If the last audit finds
-one too, or no sampled node has a link, all vectors are compared in blocks.  Edges at the threshold
-are confirmed in double precision and give the components.
+of links keeps a longer one next time.  Rounds end when one brings no new link, and only then.  Two
+samples, one node of each of many components and nodes without a link, are then compared with all
+vectors; while a node of them has a link that isn't joined, more trees and rounds follow.  If the
+last audit finds one too, all vectors are compared in blocks.  Edges at the threshold are confirmed
+in double precision and give the components.  Each row says how many nodes the last audit compared
+with all vectors, and which share of all nodes may, at 95 per cent, still have a link that isn't
+joined: none where the audit saw all nodes or all were compared, else 3 in the number of them.
 
 Links are counted inside components, in pairs of blocks of bounded size, so neither a list's bound
 nor a group of thousands costs a link or makes a row per pair.  Equal vectors are one node with a
@@ -36,8 +38,8 @@ by_value(__name__)
 COSINE = 0.95
 #: Trees of one pass at least and at a time, and the chance that the pair at the threshold shares no leaf of a pass.
 TREES, LEAF, CHUNK, APART = 10, 48, 512, 1e-3
-#: Length of a neighbour list at first and at most, and rounds at most; longer lists are made up for by the count inside components.
-NEIGHBOURS, MOST, ROUNDS = 6, 24, 6
+#: Length of a neighbour list at first and at most; longer lists are made up for by the count inside components.
+NEIGHBOURS, MOST = 6, 24
 #: Nodes of each of an audit's two samples, and audits at most before all is compared.
 AUDIT, AUDITS = 1024, 3
 #: Nodes of a block that links are counted in, nodes of a block where all is compared, and rows compared at a time.
@@ -231,7 +233,7 @@ def descend(graph: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
     graph, links = stash(_best(edges, empty)), stash(edges.filter(link))
     release(edges)
     lengths, known = empty, None
-    for _ in range(ROUNDS):
+    while True:  # links only ever grow
         full = graph.groupBy("a").agg(F.count("*").alias("n"), F.count_if(link).alias("m")).filter("m = n").select(F.col("a").alias("node"), F.least(F.col("n") * 2, F.lit(MOST)).cast("int").alias("k"))
         lengths = stash(full.unionByName(lengths).groupBy("node").agg(F.max("k").alias("k")))
         found = stash(_joined(graph, nodes, lengths, cosine))
@@ -239,9 +241,8 @@ def descend(graph: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
         links = stash(links.unionByName(found.filter(link)).unionByName(graph.filter(link)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s").dropDuplicates(["a", "b"]))
         n = links.count()
         if n == known:
-            break
+            return links
         known = n
-    return links
 
 
 def confirmed(links: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
@@ -258,7 +259,7 @@ def confirmed(links: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
 
 
 def audited(nodes: DataFrame, found: DataFrame, cosine: float, seed: int) -> tuple[int, int]:
-    """Of two samples of at most AUDIT nodes, one of each component and nodes without a link: how many have links, and how many of these have one that isn't joined."""
+    """Of two samples of at most AUDIT nodes, one of each component and nodes without a link: how many were compared with all, and how many have a link that isn't joined."""
     placed = nodes.select("node", "y").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     order = F.xxhash64("node", F.lit(seed))
     linked = found.groupBy("component").agg(F.min_by("node", order).alias("node")).orderBy(order).limit(AUDIT)
@@ -286,8 +287,7 @@ def audited(nodes: DataFrame, found: DataFrame, cosine: float, seed: int) -> tup
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([m for _, m in out], pa.bool_())], names=["node", "missed"])
 
     seen = placed.select("node", "y", "component").mapInArrow(run, "node long, missed boolean").groupBy("node").agg(F.max("missed").alias("missed"))
-    got = seen.agg(F.count("*").alias("n"), F.count_if("missed").alias("missed")).first()
-    return got["n"], got["missed"]
+    return len(sample), seen.agg(F.count_if("missed").alias("missed")).first()["missed"]
 
 
 def everywhere(nodes: DataFrame, found: DataFrame, cosine: float) -> DataFrame:
@@ -381,7 +381,7 @@ def counted(found: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """vectors(vec_id, embedding) -> vec_id, n_links, component_id, kept."""
+    """vectors(vec_id, embedding) -> vec_id, n_links, component_id, kept, n_audited, unsure_share."""
     return settled(lambda: _near_duplicates(vectors, cosine))
 
 
@@ -396,7 +396,8 @@ def _near_duplicates(vectors: DataFrame, cosine: float) -> DataFrame:
         tested, missed = audited(nodes, found, cosine, seed)
         if not missed:
             break
-    if missed or not tested:
+    doubt = 0.0 if missed or tested >= n else min(1.0, 3 / tested)
+    if missed:
         found = stash(components(links.unionByName(everywhere(nodes, found, cosine))))
     counts = counted(found, nodes, cosine)
     ids = stash(nodes.select("node", "copies").join(found, "node", "left").join(counts, "node", "left").select("node", F.coalesce("component", "node").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
@@ -405,7 +406,8 @@ def _near_duplicates(vectors: DataFrame, cosine: float) -> DataFrame:
     linked = own.join(first, "v").join(ids, "node").select("vec_id", "n_links", "component_id")
     rest = _unusable(vectors).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"))
     out = linked.unionByName(rest)
-    return out.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    measured = [F.lit(tested).cast("long").alias("n_audited"), F.lit(doubt).alias("unsure_share")]
+    return out.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"), *measured)
 
 
 def _unusable(vectors: DataFrame) -> DataFrame:

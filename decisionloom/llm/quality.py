@@ -95,7 +95,7 @@ def train(rows: list[tuple[int, str]], epochs: int = EPOCHS, rate: float = RATE,
     rng = np.random.default_rng(seed)
     docs = []
     for _, text in rows:
-        counts = Counter(tokens(text.split()))
+        counts = Counter(tokens([w.decode() for w in text.encode().split()]))  # at ASCII white space, as texts are scored
         buckets, owner = features(list(counts))
         ids, which = np.unique(buckets, return_inverse=True)
         n = np.bincount(which, np.fromiter(counts.values(), np.float64, len(counts))[owner], len(ids))

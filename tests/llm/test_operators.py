@@ -627,7 +627,7 @@ def test_thresholds_are_calibrated_by_language(spark):
     assert set(thresholds) == {"de", "en"} and all(toxicity.LEAST <= t <= toxicity.MOST for t in thresholds.values())
 
 
-CLASHES = "_id _y _key _score _digest _kept _node _d _text id y did raw doc key score node component digest kept lang_threshold band word size target".split()
+CLASHES = "_id _y _key _score _digest _kept _node _d _text id y did raw doc key score node component digest kept lang_threshold band word size target _mix_size _mix_key _mix_text _mix_copy _mix_source one first".split()
 
 
 def test_columns_of_any_name_go_through(spark):
@@ -643,3 +643,83 @@ def test_columns_of_any_name_go_through(spark):
         assert all(r[c].startswith(f"{c}-") for r in got.collect() for c in CLASHES)
     for thin in (lambda d: quality.classify(d, labels), lambda d: toxicity.classify(d, labels), minhash.near_duplicates, substrings.repeated_windows, licences.scan, packing.pack, mixing.mixing_plan):
         assert sorted(map(repr, thin(df).collect())) == sorted(map(repr, thin(plain).collect()))
+
+
+def test_words_are_split_alike_in_training_and_scoring(spark):
+    """Unicode spaces are parts of words, as in scoring, so what was trained scores as it was fitted."""
+    wide = "\u3000".join(prose(5, 31).split())
+    rows = [(1, wide), (0, prose(6, 30))] * 20
+    scored = spark.createDataFrame([(0, wide), (1, prose(6, 30))], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in quality.scores(scored, quality.train(rows)).collect()}
+    assert got[0] > 0.9 > 0.1 > got[1]
+    model = toxicity.train(rows, epochs=40)
+    got = {r["doc_id"]: r["score"] for r in toxicity.scores(scored.withColumn("lang", F.lit("en")), model).collect()}
+    assert got[0] > 0.9 > 0.1 > got[1]
+
+
+def test_a_text_too_long_for_the_sample_is_skipped_alone(spark, caplog):
+    from decisionloom.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(i, "word " * (10 if i % 4 else 1000)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    rows = labelled_sample(docs, labels, "quality", 5, 0, {0: 50, 1: 50}, most=2000)
+    kept = [i for i in range(40) if i % 4 and zlib.crc32(str(i).encode()) % 5]
+    assert sorted(y for y, _ in rows) == sorted(i % 2 for i in kept)
+    assert f"{sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(0, 40, 4))} labelled documents" in caplog.text
+    assert labelled_sample(docs, labels, "quality", 5, 0, {0: 50, 1: 50}, most=10) == []
+
+
+def test_classifiers_on_no_documents_and_a_very_long_one(spark, none):
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
+    assert quality.classify(none, labels).count() == toxicity.classify(none, labels).count() == 0
+    long_ = spark.createDataFrame([(0, prose(1, 300_000), "en"), (1, prose(2, 50), "de"), (2, prose(3, 60), None)], "doc_id long, text string, lang string")
+    for rows in (quality.classify(long_, labels).collect(), toxicity.classify(long_, labels).collect()):
+        assert all(0 <= r["score"] <= 1 for r in rows) and len(rows) == 3
+
+
+def test_many_null_ids_are_looked_up_by_their_text(spark):
+    texts = [prose(50 + i, 30) for i in range(300)] + [prose(50 + i, 30) + " end" for i in range(150)]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(7, texts[0]), (7, texts[5])], "doc_id long, text string")
+    rows = minhash.near_duplicates(df).collect()
+    assert len(rows) == len(texts) + 2
+    by = {}
+    for r in rows:
+        by.setdefault(r["node"], set()).add((r["component_id"], r["n_shingles"]))
+    assert all(len(x) == 1 for x in by.values())
+    assert sum(r["component_id"] == 7 for r in rows) == 6  # the two rows of id 7, both texts' null rows and their near copies
+    nodes = minhash.signed(df).filter("node is not null").groupBy("node").agg(F.min(F.struct("did", "raw")).alias("one")).select("node", "one.*")
+    assert minhash._sets(df, nodes).count() == len(set(texts))
+
+
+def test_one_weak_bridge_among_many_vectors(spark):
+    """Two groups hang together by one pair; all other vectors have no link, and none is compared with all for that."""
+    rng = np.random.default_rng(8)
+    n, dim = 4000, 48
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    step = np.arccos(0.955)
+    for k in range(1, 40):  # a chain: each links with the next only
+        x[k] = np.cos(k * step) * x[0] + np.sin(k * step) * (x[n - 1] - (x[n - 1] @ x[0]) * x[0]) / np.linalg.norm(x[n - 1] - (x[n - 1] @ x[0]) * x[0]) if k < 4 else x[k]
+    x[10:20] = x[10] + 0.01 * rng.standard_normal((10, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    sims = x @ x.T
+    np.fill_diagonal(sims, 0)
+    links = sims >= 0.95
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in nndescent.near_duplicates(df).collect()}
+    assert [got[i]["n_links"] for i in range(n)] == links.sum(1).tolist()
+    label = np.arange(n)
+    while True:
+        new = np.minimum(label, np.where(links, label[None, :], n).min(1))
+        if (new == label).all():
+            break
+        label = new
+    assert [got[i]["component_id"] for i in range(n)] == label.tolist()
+    assert got[0]["n_audited"] > 1000 and 0 < got[0]["unsure_share"] < 0.003
+
+
+def test_no_links_are_no_reason_to_compare_all(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rng.standard_normal((3000, 32)).tolist())], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(nndescent, "everywhere", lambda *a: pytest.fail("all vectors were compared"))
+    assert nndescent.near_duplicates(df).filter("n_links > 0 or not kept").count() == 0
