@@ -2,8 +2,9 @@
 
 Units are rows (unit, text); an optional pool column keeps statistics apart, so that a search
 inside one pool sees only its own document frequencies.  Units are tokenised once: tokens meet the
-distinct query terms, which are broadcast if they are counted to be few, and all others of a unit
-collapse into one row before the shuffle; document frequencies, lengths and scores come from these.
+distinct query terms, which are broadcast if they are counted to be few, and only those that match go
+on, with one row that marks the unit; lengths are sizes of arrays.  Document frequencies, lengths and
+scores come from the same grouped rows, so that Spark reuses their exchange instead of a cache.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from decisionloom.functions import text, vocab
+from decisionloom.operators import patterns
 
 
 def postings(units: DataFrame, terms: Column, keys: list[str]) -> DataFrame:
@@ -46,43 +48,49 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if is_few(df) else df
 
 
-def term_counts(units: DataFrame, asked: DataFrame, keys: list[str], options: dict | None = None) -> DataFrame:
-    """keys, hit, tf: how often each unit holds each of the asked terms; all its other tokens are one row, whose hit is null.
+#: Stands for the unit itself among its terms; no token is empty.
+UNIT = ""
 
-    Kept for the query's branches (lengths, frequencies, scores), so that texts are tokenised once;
-    what is lost with an executor is computed again.
-    """
-    tokens = units.select(*keys, F.explode_outer(text.tokens(F.col("text"), **(options or {}))).alias("token"))
-    marked = tokens.join(asked, F.col("token") == F.col("term"), "left")
-    return marked.groupBy(*keys, F.col("term").alias("hit")).agg(F.count("token").alias("tf")).persist()
+
+def term_counts(units: DataFrame, terms: DataFrame, keys: list[str], options: dict | None = None) -> DataFrame:
+    """keys, dl (tokens without stop words), all_dl, hit, tf: how often each unit holds each of the terms, and a row of each unit under UNIT."""
+    options = dict(options or {})
+    stop = options.pop("stop", None)
+    tokens = F.coalesce(text.tokens(F.col("text"), **options), F.array().cast("array<string>"))
+    length = F.size(F.filter("_t", lambda x: ~x.isin(*stop))) if stop else F.size("_t")
+    own = units.select(*keys, tokens.alias("_t")).select(*keys, length.cast("long").alias("dl"), F.size("_t").cast("long").alias("all_dl"), "_t")  # before the rows of tokens, not for each
+    rows = own.select(*keys, "dl", "all_dl", F.explode(F.concat("_t", F.array(F.lit(UNIT)))).alias("hit"))
+    wanted = terms.select(F.col("term").alias("hit")).unionByName(terms.sparkSession.createDataFrame([(UNIT,)], "hit string"))
+    return rows.join(few(wanted), "hit").groupBy(*keys, "dl", "all_dl", "hit").agg(F.count("*").alias("tf"))
 
 
 def asked_terms(queries: DataFrame, options: dict | None = None) -> DataFrame:
-    """The distinct terms of all queries, to be broadcast if they are few."""
-    return few(queries.select(F.explode(F.array_distinct(text.tokens(F.col("text"), **(options or {})))).alias("term")).distinct())
+    """The distinct terms of all queries."""
+    return queries.select(F.explode(F.array_distinct(text.tokens(F.col("text"), **(options or {})))).alias("term")).distinct()
+
+
+def frequencies(counts: DataFrame, pool: list[str] | None = None, length: str = "dl") -> DataFrame:
+    """pool, hit, df, n, avgdl: in how many units each term stands, how many units there are and how long they are."""
+    pool = pool or []
+    by = counts.groupBy(*pool, "hit").agg(F.count("*").alias("df"), F.sum(length).alias("total"), F.sum("tf").alias("cf")).filter("cf > 0")  # true of all; with it the exchange is the same as for scores
+    whole = Window.partitionBy(*(pool or [F.lit(0)]))  # a row per asked term
+    of_units = lambda c: F.max(F.when(F.col("hit") == UNIT, F.col(c))).over(whole)
+    return by.withColumn("n", of_units("df")).withColumn("avgdl", of_units("total") / F.col("n")).drop("total", "cf")
 
 
-def bm25(units: DataFrame, queries: DataFrame, unit: str, query: str, pool: list[str] | None = None, options: dict | None = None) -> DataFrame:
-    """units(unit, text), queries(query, text) -> query, unit, score, rounded to 6 places; only units with a query term.
+def bm25(units: DataFrame, queries: DataFrame, unit: str, query: str, pool: list[str] | None = None, options: dict | None = None, counts: DataFrame | None = None, length: str = "dl") -> DataFrame:
+    """units(unit, text), queries(query, text) -> query, unit, score; only units with a query term.
 
-    Queries and units share the pool columns, if there are any.
+    Queries and units share the pool columns, if there are any.  counts: term_counts() of the units that hold all these terms, for
+    searches that share them; length says which of its lengths counts.  Scores are rounded to 6 places.
     """
     pool, options = pool or [], options or {}
     keys = [*pool, unit]
     asked = queries.select(*pool, query, F.explode(F.array_distinct(text.tokens(F.col("text"), **options))).alias("hit"))
-    small = is_few(asked)
-    terms = asked.select(F.col("hit").alias("term")).distinct()
-    counts = term_counts(units, F.broadcast(terms) if small else terms, keys, options)
-    hits = counts.filter(F.col("hit").isNotNull())
-    lengths = counts.groupBy(*keys).agg(F.sum("tf").alias("dl"))
-    total = lengths.groupBy(*pool).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    frequency = hits.groupBy(*pool, "hit").agg(F.count("*").alias("df"))
-    if small:
-        asked = F.broadcast(asked)
-        frequency = frequency if pool else F.broadcast(frequency)  # without pools a row per asked term
-    rows = hits.select(*keys, "hit", "tf").join(lengths, keys).join(asked, [*pool, "hit"]).join(frequency, [*pool, "hit"])
-    rows = rows.join(total, pool) if pool else rows.crossJoin(total)  # a row
-    score = inverse_frequency(F.col("n"), F.col("df")) * term_score(F.col("tf"), F.col("dl"), F.col("avgdl"))
+    if counts is None:
+        counts = term_counts(units, asked_terms(queries, options), keys, options)
+    rows = counts.join(few(asked), [*pool, "hit"]).join(frequencies(counts, pool, length), [*pool, "hit"])
+    score = inverse_frequency(F.col("n"), F.col("df")) * term_score(F.col("tf"), F.col(length), F.col("avgdl"))
     return rows.groupBy(query, unit, *pool).agg(F.round(F.sum(score), 6).alias("score"))
 
 
@@ -94,7 +102,7 @@ def quoting(quotes: DataFrame, units: DataFrame, quote: str, unit: str) -> DataF
     """quote, unit: units whose text holds a quote's text.
 
     Quotes of many words are looked up by their inner words, which a text that holds them must hold
-    in a row; those of few words, if they are few, are compared with every text.
+    in a row; those of few words by one automaton over all of them, in one pass over the texts.
     """
     words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
     own = quotes.select(quote, F.col("text").alias("said"), words.alias("w"))
@@ -103,8 +111,9 @@ def quoting(quotes: DataFrame, units: DataFrame, quote: str, unit: str) -> DataF
     found = grams.join(few(long), "gram").select(quote, unit, "said")
     verified = found.join(units.select(unit, F.col("text").alias("body")), unit).filter(F.contains("body", "said")).select(quote, unit)
     short = own.filter(F.size("w") < ANCHOR + 2).select(quote, "said")
-    direct = units.select(unit, F.col("text").alias("body")).join(few(short), F.contains("body", "said")).select(quote, unit)
-    return verified.unionByName(direct).distinct()
+    if short.isEmpty():
+        return verified.distinct()
+    return verified.unionByName(patterns.holding(units, short, unit, "text", "said").select(quote, unit)).distinct()
 
 
 def ranked(scores: DataFrame, query: str, unit: str, k: int | None = None, by: str = "score") -> DataFrame:
@@ -114,13 +123,14 @@ def ranked(scores: DataFrame, query: str, unit: str, k: int | None = None, by: s
     return out if k is None else out.filter(F.col("rank") <= k)
 
 
-def distinctive(units: DataFrame, queries: DataFrame, unit: str, query: str, options: dict | None = None) -> DataFrame:
-    """query, term, df, distinctive: the term occurs, but in fewer than half of the units."""
-    terms = text.tokens(F.col("text"), **(options or {}))
-    asked = queries.select(query, F.explode(F.array_distinct(terms)).alias("term"))
-    seen = units.select(unit, F.explode(F.array_distinct(terms)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+def distinctive(units: DataFrame, queries: DataFrame, unit: str, query: str, options: dict | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """query, term, df, distinctive: the term occurs, but in fewer than half of the units.  Only the queries' terms are counted."""
+    asked = queries.select(query, F.explode(F.array_distinct(text.tokens(F.col("text"), **(options or {})))).alias("term"))
+    if counts is None:
+        counts = term_counts(units, asked.select("term").distinct(), [unit], options)
+    seen = counts.groupBy("hit").agg(F.count("*").alias("df"))
     n = units.agg(F.count("*").alias("n"))
-    out = asked.join(seen, "term", "left").crossJoin(n).withColumn("df", F.coalesce("df", F.lit(0)))
+    out = asked.join(seen.withColumnRenamed("hit", "term"), "term", "left").crossJoin(n).withColumn("df", F.coalesce("df", F.lit(0)))
     return out.select(query, "term", "df", ((F.col("df") > 0) & (2 * F.col("df") < F.col("n"))).alias("distinctive"))
 
 

@@ -32,8 +32,8 @@ def citation_extract(spark, d) -> DataFrame:
     docs = table(spark, d, "documents")
     forms = F.array(*[F.lit(s) for s in SENTENCES])
     said = F.replace(F.element_at(forms, (F.col("doc_id") % 8 + 1).cast("int")), F.lit("{n}"), _number(F.col("doc_id")))
-    rows = docs.select("doc_id", F.explode(legislation.legislations(F.concat(F.col("text"), F.lit(". "), said))).alias("c"))
-    return rows.select("doc_id", "c.canonical_id", "c.legislation_type", "c.law_no", "c.law_name", "c.article_no", "c.paragraph_no", "c.law_date", "c.confidence")
+    rows = legislation.cited(docs, ["doc_id"], F.concat(F.col("text"), F.lit(". "), said))
+    return rows.select("doc_id", "canonical_id", "legislation_type", "law_no", "law_name", "article_no", "paragraph_no", "law_date", "confidence")
 
 
 EXTRACT = """WITH d AS (SELECT doc_id, doc_id % 8 AS k, (1000 + doc_id % 9000)::VARCHAR AS n FROM documents),
@@ -113,7 +113,7 @@ def legislation_cross_check(spark, d) -> DataFrame:
     """What the pattern finds in each decision against what the answers keep: provisions of one side only."""
     rows = decisions(spark, d)
     kept = C.clean(_answers(rows), rows.select("doc_id", "para", "text")).filter("kept").select("doc_id", F.concat_ws("/", F.coalesce("law_no", "legislation_type"), "article_no").alias("canonical_id"))
-    found = rows.filter("place = 'law'").select("doc_id", F.explode(legislation.legislations(F.col("text"))).alias("c")).select("doc_id", F.concat_ws("/", "c.law_no", "c.article_no").alias("canonical_id"))
+    found = legislation.cited(rows.filter("place = 'law'"), ["doc_id"], F.col("text")).select("doc_id", F.concat_ws("/", "law_no", "article_no").alias("canonical_id"))
     out = C.cross_check(found, kept)
     return out.select("doc_id", F.array_join("only_found", ",").alias("only_found"), F.array_join("only_given", ",").alias("only_given"))
 

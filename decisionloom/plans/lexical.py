@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from decisionloom.functions import ids, text, vocab
 from decisionloom.operators import lexical as L
+from decisionloom.operators import patterns
 from decisionloom.plans.tables import table
 
 STOP = {"stop": vocab.ALL_STOPWORDS}
@@ -88,12 +89,10 @@ FROM q LEFT JOIN f USING (term)"""
 def guarded_search_silence(spark: SparkSession, d: str) -> DataFrame:
     """Top document of each item, kept only with a distinctive term; the verdict on silence."""
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
-    scores = L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=STOP), "item_id", "doc_id", 1)
-    counts = L.term_counts(docs, L.asked_terms(items), ["doc_id"]).filter(F.col("hit").isNotNull())
-    n = docs.agg(F.count("*").alias("n"))
-    guard = counts.groupBy("hit").agg(F.count("*").alias("df")).crossJoin(n).filter("2 * df < n").select("hit")
-    asked = items.select("item_id", F.explode(F.array_distinct(text.tokens(F.col("text")))).alias("hit")).join(guard, "hit", "left_semi")
-    held = counts.join(scores.select("item_id", "doc_id"), "doc_id").join(asked, ["item_id", "hit"], "left_semi").groupBy("item_id").agg(F.count("*").alias("matched"))
+    counts = L.term_counts(docs, L.asked_terms(items), ["doc_id"], STOP)
+    scores = L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=STOP, counts=counts), "item_id", "doc_id", 1)
+    guard = L.distinctive(docs, items, "doc_id", "item_id", counts=counts).filter("distinctive").select("item_id", F.col("term").alias("hit"))
+    held = counts.join(scores.select("item_id", "doc_id"), "doc_id").join(guard, ["item_id", "hit"], "left_semi").groupBy("item_id").agg(F.count("*").alias("matched"))
     out = items.select("item_id").join(scores.select("item_id", "doc_id", "score"), "item_id", "left").join(held, "item_id", "left")
     matched = F.coalesce("matched", F.lit(0))
     verdict = F.when(F.coalesce("score", F.lit(0.0)) <= 0, "SILENT").when(matched > 0, "PASS").otherwise("WARN")
@@ -127,7 +126,8 @@ SELECT item_id, conv_id, best, row_number() OVER (PARTITION BY item_id ORDER BY
 def rrf_fusion(spark: SparkSession, d: str) -> DataFrame:
     """BM25 with stop words and without, fused."""
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
-    one, two = (L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=o), "item_id", "doc_id", 10) for o in (STOP, {}))
+    counts = L.term_counts(docs, L.asked_terms(items), ["doc_id"], STOP)  # once for both
+    one, two = (L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=o, counts=counts, length=n), "item_id", "doc_id", 10) for o, n in ((STOP, "dl"), ({}, "all_dl")))
     return L.fuse(one, two, "item_id", "doc_id").filter("rank <= 10").select("item_id", "doc_id", "rrf", "source", "rank")
 
 
@@ -187,8 +187,8 @@ def topic_ground_truth(spark: SparkSession, d: str) -> DataFrame:
     terms = F.array_distinct(text.tokens(F.col("text"), **STOP))
     order = Window.partitionBy("item_id").orderBy(F.desc(F.length("term")), "term")
     chosen = items.select("item_id", F.explode(terms).alias("term")).withColumn("r", F.row_number().over(order)).filter("r <= 3")
-    body = docs.select("doc_id", "source", F.lower("text").alias("body"))
-    hits = chosen.join(body, F.contains("body", "term")).select("item_id", "doc_id", "source").distinct()
+    held = patterns.holding(docs.select("doc_id", "source", F.lower("text").alias("body")), chosen.select("item_id", "term"), "doc_id", "body", "term")
+    hits = held.select("item_id", "doc_id").distinct().join(docs.select("doc_id", "source"), "doc_id")
     return items.select("item_id").join(hits, "item_id", "left").groupBy("item_id").agg(F.count("doc_id").alias("documents"), F.countDistinct("source").alias("sources"))
 
 

@@ -69,12 +69,55 @@ def test_loose_grounding(spark):
     assert not grounded("49. madde", "49", no="6098") and not grounded("", "49", no="6098")
 
 
-def test_cited_laws():
-    found = legislation.cited("3/7/2005 tarihli ve 5393 sayılı Belediye Kanunu'nun 15. maddesinin (2) numaralı fıkrası. " + "x " * 80 + "5393 sayılı Kanun'un Ek 5. maddesi. Anayasa'nın 36. maddesi")
+def citations(spark, *texts):
+    """For each text its citations in their order."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(legislation.cited(df, ["doc_id"], F.col("text")).collect(), key=lambda r: (r["doc_id"], r["kind"], r["place"]))
+    return [[r for r in rows if r["doc_id"] == i] for i in range(len(texts))]
+
+
+def test_cited_laws(spark):
+    found, *none = citations(spark, "3/7/2005 tarihli ve 5393 sayılı Belediye Kanunu'nun 15. maddesinin (2) numaralı fıkrası. " + "x " * 80 + "5393 sayılı Kanun'un Ek 5. maddesi. Anayasa'nın 36. maddesi", None, "hiçbir atıf yok", "")
     assert [c["canonical_id"] for c in found] == ["constitution-art-36", "law-5393-art-15-p2", "law-5393-art-ek-5"]
     assert found[1]["law_date"] == "2005-07-03" and found[1]["law_name"] == "Belediye" and found[1]["verbatim_mention"].endswith("15. madde")
-    assert legislation.cited(None) == [] and legislation.cited("hiçbir atıf yok") == []
-    assert legislation.law_name("ve  Türk \"  ") == "Türk" and legislation.law_name("ab") is None
+    assert none == [[], [], []]
+    names = spark.createDataFrame([('ve  Türk "  ',), ("ab",), (None,), ("'Belediye'",)], "n string").select(legislation.law_name(F.col("n"))).collect()
+    assert [r[0] for r in names] == ["Türk", None, None, "Belediye"]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("6098 sayılı Türk Borçlar Kanunu'nun Geçici Madde 3 hükmü", "law-6098-art-geçici-3"),
+        ("5271 sayılı Kanun'un 141/A maddesi", "law-5271-art-141-a"),
+        ("5271 sayılı Kanun'un 141/a.maddesi", "law-5271-art-141-a"),
+        ("5271 sayılı Kanun'un 23'üncü maddesinin ikinci fıkrası", "law-5271-art-23-p2"),
+        ("5271 sayılı KANUN'UN 23 . MADDESİ", "law-5271-art-23"),
+        ("5271 sayılı Kanunun 23.maddesinin 3. fıkrası", "law-5271-art-23-p3"),
+        ("5271 sayılı Kanun'un 12. maddesi ve Ek Madde 7", "law-5271-art-ek-7"),  # the more particular form first
+        ("375 sayılı Kanun Hükmünde Kararname'nin 7. maddesi", "law-375-art-7"),
+        ("375 sayılı KHK'nın Ek 9. maddesi", "law-375-art-ek-9"),
+        ("4721 sayılı Dernekler Kanunu uyarınca", "law-4721-unknown-article"),
+        ("4721 sayılı karar, sonra Kanun", None),  # another clause
+        ("47 sayılı Kanun'un 3. maddesi", None),  # no number of a law
+        ("4721 sayılı " + "çok " * 40 + "Kanun", None),  # too far
+        ("4721 sayılı Kanun " + "x " * 90 + "3. maddesi", "law-4721-unknown-article"),
+        ("Anayasanın 36. maddesinin (1) numaralı fıkrası", "constitution-art-36-p1"),
+        ("Anayasa`nın 36 maddesi uyarınca. Ayrıca (1) numaralı fıkra", "constitution-art-36"),
+        ("Anayasa'nın 2., 6., 10. maddeleri", None),
+    ],
+)
+def test_forms_of_citations(spark, text, expected):
+    (found,) = citations(spark, text)
+    assert [c["canonical_id"] for c in found] == ([] if expected is None else [expected])
+    assert all(c["verbatim_mention"] in text for c in found)
+
+
+def test_repeated_citations_and_long_texts(spark):
+    text = "5393 sayılı Belediye Kanunu'nun 15. maddesi. " * 30
+    once, many = citations(spark, text, "".join(f"{5000 + i} sayılı Kanun'un {i + 1}. maddesi; " for i in range(400)))
+    assert [c["canonical_id"] for c in once] == ["law-5393-art-15"]
+    assert [c["canonical_id"] for c in many] == [f"law-{5000 + i}-art-{i + 1}" for i in range(400)]
 
 
 CITED = "doc_id long, para int, legislation_type string, law_no string, law_short string, law_name string, article_no string, paragraph_no string, law_date string, verbatim_mention string"
