@@ -1,9 +1,9 @@
 """Alignment of two tokenizers over the same texts.
 
-Both tokenizers treat a run (a space between two characters that are none, and what follows up to the next such space) alone, so
-a document is a list of runs, and each distinct run of an Arrow partition is tokenised and aligned once.  There DuckDB holds the
-tokens' byte intervals as two tables: an ASOF join of all ends with either table gives the overlaps, an overlap at whose end both
-tokens end is a link, and a window sum of links over a run numbers its groups.  Documents add up their runs.
+Both tokenizers treat a run alone (a space or line end between two characters that are no white space, and what follows up to the
+next such place), so a document is a list of runs, and each distinct run of an Arrow partition is tokenised and aligned once.
+There DuckDB holds the tokens' byte intervals as two tables: tokens that end together are links, a window sum over the links
+numbers the groups, and ASOF joins find the group that each token lies in.  Documents add up their runs.
 
 Each partition's counts of linked id pairs are merged in Spark.  Documents, runs and the merged counts that a block of runs needs
 are then brought together by block, so no document's links are ever written out and no count table is broadcast.
@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,30 +34,20 @@ by_value(__name__)
 
 #: Distinct runs of a block, and bytes of their texts, beyond which the next document starts another.
 RUNS, BYTES = 400_000, 64 << 20
-#: Tokens that one DuckDB statement aligns at a time, or those of a single run.
-TOKENS = 1_000_000
-RECORDS = 20_000
+#: Tokens that one DuckDB statement aligns at a time, or those of a single run; runs that are tokenised at a time; characters of
+#: documents (or a single one) that are cut into runs at a time.
+TOKENS, LEARNT, CHARS = 200_000, 20_000, 2_000_000
+RECORDS = 5_000
+#: Runs whose links are one row.
+TOGETHER = 20_000
 
 #: Where a text is cut into runs.
-CUT = re.compile(r"(?<=\S) (?=\S)")
+CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 PAIRS, LINKS, DOCUMENTS = 0, 1, 2
 
-ALIGNED = """
-WITH cuts AS (SELECT run, e FROM a UNION SELECT run, e FROM b),
-overlapped AS (
-  SELECT c.run, c.e, a.id AS x, b.id AS y, a.e = c.e AS x_ends, b.e = c.e AS y_ends
-  FROM cuts c ASOF JOIN a ON c.run = a.run AND c.e <= a.e ASOF JOIN b ON c.run = b.run AND c.e <= b.e),
-grouped AS (
-  SELECT *, coalesce(sum(CAST(x_ends AND y_ends AS INT)) OVER (PARTITION BY run ORDER BY e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM overlapped),
-texts AS (
-  SELECT run, g, string_agg(CAST(x AS VARCHAR), ',' ORDER BY e) FILTER (WHERE x_ends) || '|' || string_agg(CAST(y AS VARCHAR), ',' ORDER BY e) FILTER (WHERE y_ends) AS t,
-         count(*) FILTER (WHERE x_ends) AS n_a, count(*) FILTER (WHERE y_ends) AS n_b, count(*) AS n_overlaps,
-         max(CAST(x AS BIGINT) * 4294967296 + y) FILTER (WHERE x_ends AND y_ends) AS link
-  FROM grouped GROUP BY run, g)
-SELECT run, string_agg(t, ';' ORDER BY g) AS groups, CAST(sum(n_a) AS BIGINT) AS n_a, CAST(sum(n_b) AS BIGINT) AS n_b,
-       CAST(sum(n_overlaps) AS BIGINT) AS n_overlaps, list(link ORDER BY g) AS links
-FROM texts GROUP BY run ORDER BY run
-"""
+#: Ends e count from the first run on, so that they are places of all runs' bytes.
+LINKED = "SELECT a.id AS x, b.id AS y, a.e, CAST(sum(1) OVER (ORDER BY a.e ROWS UNBOUNDED PRECEDING) AS BIGINT) - 1 AS g FROM a JOIN b ON a.e = b.e"
+GROUPED = "SELECT t.e, s.g FROM {} t ASOF JOIN s ON t.e <= s.e ORDER BY t.e"
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -82,15 +74,16 @@ class Tokens:
         for i in range(self.b.vocab_size()):
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.vocab_size())):
-            raise ValueError("a piece reaches over a space, so runs can't be cut there")
+        pieces = list(map(self.b.id_to_piece, range(self.b.vocab_size())))
+        if any("▁" in p.lstrip("▁") or "\n" in p for p in pieces):
+            raise ValueError("a piece reaches over a space or a line end, so runs can't be cut there")
 
     def encoded(self, runs: list[str]) -> tuple[list, list]:
-        """Ids of runs, each of which starts with a space; the second tokenizer puts that before a text itself."""
+        """Ids of runs, each of which starts with a space or a line end; the second tokenizer puts a space before a text itself."""
         first = [e.ids for e in self.a.encode_batch_fast(runs, add_special_tokens=False)]
-        second = self.b.encode([r[1:] for r in runs], num_threads=1)
+        second = self.b.encode([r[1:] if r[0] == " " else r for r in runs], num_threads=1)
         lone = self.b.piece_to_id("▁")
-        return first, [ids if r != " " else [lone] for r, ids in zip(runs, second, strict=True)]
+        return first, [[lone] if r == " " else ids if r[0] == " " else ids[1:] for r, ids in zip(runs, second, strict=True)]
 
     def agrees(self, run: str, first: list[int], second: list[int]) -> bool:
         """Whether either list of ids stands for exactly the run."""
@@ -98,13 +91,11 @@ class Tokens:
         return b"".join([self.a_bytes[i] for i in first]) == whole and b"".join([self.b_bytes[i] for i in second]) == whole
 
 
-def intervals(lists: list[list[int]], sizes: np.ndarray) -> pa.Table:
-    """run, id and e, the end of each token's bytes in its run."""
+def intervals(lists: list[list[int]], sizes: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """A table of id and e, where each token's bytes end, over all lists; and how many tokens each has."""
     many = np.fromiter(map(len, lists), np.int64, len(lists))
-    ids = np.fromiter((i for own in lists for i in own), np.int64, int(many.sum()))
-    ends = np.cumsum(sizes[ids])
-    starts = np.concatenate([[0], ends])[np.cumsum(many) - many]
-    return pa.table({"run": np.repeat(np.arange(len(lists)), many), "id": ids, "e": ends - np.repeat(starts, many)})
+    ids = np.fromiter(chain.from_iterable(lists), np.int64, int(many.sum()))
+    return pa.table({"id": ids, "e": np.cumsum(sizes[ids])}), many
 
 
 class Aligner:
@@ -115,55 +106,81 @@ class Aligner:
 
         self.tokens = Tokens(paths)
         self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.tokens.a_bytes, self.tokens.b_bytes))
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.a_names, self.b_names = (list(map(str, range(len(x)))) for x in (self.a_sizes, self.b_sizes))
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.start()
 
     def start(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.groups: list[str | None] = []
-        self.adds: list[tuple] = []
-        self.links: list[list[int]] = []
+        self.groups: list[bytes | None] = []
+        self.adds, self.links, self.many = array("q"), array("q"), array("q")  # four numbers a run; links of all runs; how many of each
         self.size = 0
 
     def learn(self, runs: list[str]) -> None:
-        first, second = self.tokens.encoded(runs)
-        good = list(map(self.tokens.agrees, runs, first, second))
-        lo = 0
-        while lo < len(runs):
-            hi, n = lo, 0
-            while hi < len(runs) and (hi == lo or n < TOKENS):
-                n += len(first[hi]) + len(second[hi])
-                hi += 1
-            self.align(runs[lo:hi], first[lo:hi], second[lo:hi], good[lo:hi])
-            lo = hi
+        for at in range(0, len(runs), LEARNT):
+            part = runs[at : at + LEARNT]
+            first, second = self.tokens.encoded(part)
+            good = list(map(self.tokens.agrees, part, first, second))
+            lo = 0
+            while lo < len(part):
+                hi, n = lo, 0
+                while hi < len(part) and (hi == lo or n < TOKENS):
+                    n += len(first[hi]) + len(second[hi])
+                    hi += 1
+                self.align(part[lo:hi], first[lo:hi], second[lo:hi], good[lo:hi])
+                lo = hi
 
     def align(self, runs: list[str], first: list, second: list, good: list[bool]) -> None:
         at = [i for i, ok in enumerate(good) if ok]
-        a, b = intervals([first[i] for i in at], self.a_sizes), intervals([second[i] for i in at], self.b_sizes)  # noqa: F841  the statement reads them
+        (a, a_many), (b, b_many) = intervals([first[i] for i in at], self.a_sizes), intervals([second[i] for i in at], self.b_sizes)
         self.con.register("a", a)
         self.con.register("b", b)
-        got = self.con.sql(ALIGNED).to_arrow_table()
+        self.con.execute("CREATE OR REPLACE TEMP TABLE s AS " + LINKED)
+        s = self.con.execute("SELECT x, y, e FROM s ORDER BY g").fetchnumpy()
+        a_group, b_group = (self.con.execute(GROUPED.format(t)).fetchnumpy()["g"] for t in "ab")
         self.con.unregister("a")
         self.con.unregister("b")
-        found = dict(zip(at, zip(*(got[c].to_pylist() for c in ("groups", "n_a", "n_b", "n_overlaps", "links")), strict=True), strict=True))
+        links = np.asarray(s["x"], np.int64) << 32 | np.asarray(s["y"], np.int64)
+        texts = list(map("|".join, zip(self.joined(a, a_group, self.a_names), self.joined(b, b_group, self.b_names), strict=True)))
+        run_ends = np.cumsum([len(runs[i].encode()) for i in at])
+        upto = np.searchsorted(np.asarray(s["e"]), run_ends, "right")  # links of each run and those before
+        found = dict(zip(at, zip(a_many.tolist(), b_many.tolist(), [0, *upto[:-1].tolist()], upto.tolist(), strict=True), strict=True))
         for i, run in enumerate(runs):
-            groups, n_a, n_b, overlaps, links = found.get(i, (None, 0, 0, 0, []))
+            n_a, n_b, lo, hi = found.get(i, (0, 0, 0, 0))
             self.numbers[run] = len(self.groups)
-            self.groups.append(groups)
-            self.adds.append((n_a, n_b, len(links), overlaps))
-            self.links.append(links)
-            self.size += len(run) + 8 * len(links)
-
-    def numbered(self, texts: list[str | None]) -> list[list[int]]:
+            self.groups.append(";".join(texts[lo:hi]).encode() if i in found else None)
+            self.adds.extend((n_a, n_b, hi - lo, n_a + n_b - hi + lo))  # an overlap ends where a token of either ends, a link where both do
+            self.links.extend(links[lo:hi].tolist())
+            self.many.append(hi - lo)
+            self.size += len(run) + 8 * (hi - lo)
+
+    def joined(self, tokens: pa.Table, group: np.ndarray, names: list[str]) -> list[str]:
+        """The ids of each group's tokens."""
+        ids = list(map(names.__getitem__, tokens["id"].to_pylist()))
+        ends = (np.flatnonzero(np.diff(group, append=-1)) + 1).tolist()
+        return [ids[lo] if hi == lo + 1 else ",".join(ids[lo:hi]) for lo, hi in zip([0, *ends], ends, strict=False)]
+
+    def numbered(self, texts: list[str | None]) -> list[array]:
         """Numbers of each text's runs."""
-        cut = [[" " + r for r in CUT.split(t)] if t else [] for t in texts]
-        new = list({r for runs in cut for r in runs if r not in self.numbers})
+        cut = [CUT.split(" " + t) if t else [] for t in texts]
+        new = list(dict.fromkeys(r for runs in cut for r in runs if r not in self.numbers))
         if new:
             self.learn(new)
-        return [list(map(self.numbers.__getitem__, runs)) for runs in cut]
+        return [array("i", map(self.numbers.__getitem__, runs)) for runs in cut]
+
+
+def portions(column: pa.Array) -> list[tuple[int, int]]:
+    """Rows of a column of texts, cut where they pass CHARS bytes."""
+    ends, at, out = np.cumsum([len(x.as_buffer()) if x.is_valid else 0 for x in column]), 0, []
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + CHARS, "right")))
+        out.append((at, to))
+        at = to
+    return out
 
 
-ROWS = "block long, kind int, pair long, n long, run int, links array<long>, doc_id {}, runs array<int>, times array<int>, n_a long, n_b long, n_groups long, n_overlaps long, groups_sha256 string"
+ROWS = "block long, kind int, pair long, n long, run int, links array<long>, many array<int>, doc_id {}, runs array<int>, times array<int>, n_a long, n_b long, n_groups long, n_overlaps long, groups_sha256 string"
 
 
 def _batch(schema: pa.Schema, n: int, columns: dict) -> pa.RecordBatch:
@@ -171,7 +188,7 @@ def _batch(schema: pa.Schema, n: int, columns: dict) -> pa.RecordBatch:
 
 
 def aligned(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """Three kinds of rows by block: documents (their distinct runs, how often each stands there, and sums), runs (their links), pairs (how many links of the block hold them)."""
+    """Three kinds of rows by block: documents (their distinct runs, how often each stands there, and sums), runs (many at a time: their links, and how many each has), pairs (how many links of the block hold them)."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -186,42 +203,45 @@ def aligned(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
 
         def closed():
             """The block's runs, and counts of their pairs by how often runs stand in documents."""
-            lengths = np.fromiter(map(len, own.links), np.int64, len(own.links))
-            flat = np.fromiter((x for links in own.links for x in links), np.int64, int(lengths.sum()))
-            offsets = np.concatenate([[0], np.cumsum(lengths)])
-            links = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            lengths, flat = np.array(own.many, np.int64), np.array(own.links, np.int64)
             same = lambda value, n, t: pa.array(np.full(n, value), t)
-            n = len(lengths)
-            yield _batch(schema, n, {"block": same(name(), n, pa.int64()), "kind": same(LINKS, n, pa.int32()), "run": pa.array(np.arange(n), pa.int32()), "links": links})
+            starts = np.arange(0, len(lengths), TOGETHER)
+            n, upto = len(starts), np.concatenate([[0], np.cumsum(lengths)])
+            links = pa.ListArray.from_arrays(pa.array(upto[np.append(starts, len(lengths))], pa.int32()), pa.array(flat))
+            many = pa.ListArray.from_arrays(pa.array(np.append(starts, len(lengths)), pa.int32()), pa.array(lengths, pa.int32()))
+            yield _batch(schema, n, {"block": same(name(), n, pa.int64()), "kind": same(LINKS, n, pa.int32()), "run": pa.array(starts, pa.int32()), "links": links, "many": many})
             pairs, where = np.unique(flat, return_inverse=True)
             counts = np.bincount(where, np.repeat(often, lengths), len(pairs)).astype(np.int64)
             n = len(pairs)
             yield _batch(schema, n, {"block": same(name(), n, pa.int64()), "kind": same(PAIRS, n, pa.int32()), "pair": pa.array(pairs), "n": pa.array(counts)})
 
-        for batch in batches:
-            if len(own.groups) > RUNS or own.size > BYTES:
-                yield from closed()
-                k, often = k + 1, np.zeros(0, np.int64)
-                own.start()
-            numbers = own.numbered([None if t.as_py() is None else t.as_py().decode() for t in batch.column(1)])
+        def documents(texts: pa.Array, ids: pa.Array):
+            nonlocal often
+            numbers = own.numbered([None if t is None else t.decode() for t in texts.to_pylist()])
             often = np.concatenate([often, np.zeros(len(own.groups) - len(often), np.int64)])
-            adds = np.array(own.adds, np.int64).reshape(-1, 4)
+            adds = np.frombuffer(own.adds, np.int64).reshape(-1, 4).copy() if own.adds else np.zeros((0, 4), np.int64)
             out = {f: [] for f in ("runs", "times", "n_a", "n_b", "n_groups", "n_overlaps", "groups_sha256")}
             for doc in numbers:
                 texts = list(map(own.groups.__getitem__, doc))
                 if None in texts:
-                    doc, texts = [], []
+                    doc, texts = array("i"), []
                 runs, times = np.unique(np.array(doc, np.int64), return_counts=True)
                 often[runs] += times
                 sums = (adds[runs] * times[:, None]).sum(0).tolist()
-                digest = sha256(";".join(texts).encode()).hexdigest() if doc else ""
-                for f, x in zip(out, (runs, times, *sums, digest), strict=True):
+                for f, x in zip(out, (runs, times, *sums, sha256(b";".join(texts)).hexdigest() if texts else ""), strict=True):
                     out[f].append(x)
             n = len(numbers)
-            if n:
-                columns = {f: pa.array(x, schema.field(f).type) for f, x in out.items()}
-                columns |= {"block": pa.array(np.full(n, name()), pa.int64()), "kind": pa.array(np.full(n, DOCUMENTS), pa.int32()), "doc_id": batch.column(0)}
-                yield _batch(schema, n, columns)
+            columns = {f: pa.array(x, schema.field(f).type) for f, x in out.items()}
+            columns |= {"block": pa.array(np.full(n, name()), pa.int64()), "kind": pa.array(np.full(n, DOCUMENTS), pa.int32()), "doc_id": ids}
+            return _batch(schema, n, columns)
+
+        for batch in batches:
+            for lo, hi in portions(batch.column(1)):
+                if len(own.groups) > RUNS or own.size > BYTES:
+                    yield from closed()
+                    k, often = k + 1, np.zeros(0, np.int64)
+                    own.start()
+                yield documents(batch.column(1)[lo:hi], batch.column(0)[lo:hi])
         if own.groups:
             yield from closed()
 
@@ -242,7 +262,7 @@ def valued(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     asked = rows.filter(F.col("kind") == PAIRS).select("block", "pair").join(pairs, "pair").select("block", "pair", "n", "best")
     own = rows.filter(F.col("kind") != PAIRS).drop("pair", "n")
     both = own.unionByName(asked.withColumn("kind", F.lit(PAIRS)), allowMissingColumns=True)
-    columns = ["block", "kind", "pair", "n", "best", "run", "links", "runs", "times", "doc_id", "n_a", "n_b", "n_groups", "n_overlaps", "groups_sha256"]
+    columns = ["block", "kind", "pair", "n", "best", "run", "links", "many", "runs", "times", "doc_id", "n_a", "n_b", "n_groups", "n_overlaps", "groups_sha256"]
     both = both.select(*columns).repartition("block").sortWithinPartitions("block", "kind", "run")
     passed = ["doc_id", "n_a", "n_b", "n_groups", "n_overlaps", "groups_sha256"]
 
@@ -267,8 +287,7 @@ def valued(rows: DataFrame, pairs: DataFrame) -> DataFrame:
                         keys, n, best = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 3
                         order = np.argsort(keys)
                         table_, pairs = (keys[order], np.stack([best[order], n[order]], 1)), []
-                    lengths = part.column(6).value_lengths().to_numpy()
-                    flat = part.column(6).flatten().to_numpy()
+                    flat, lengths = (part.column(i).flatten().to_numpy().astype(np.int64) for i in (6, 7))
                     each = table_[1][np.searchsorted(table_[0], flat)] if len(flat) else np.zeros((0, 2), np.int64)
                     sums = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(each, 0)])
                     ends = np.cumsum(lengths)
@@ -276,8 +295,8 @@ def valued(rows: DataFrame, pairs: DataFrame) -> DataFrame:
                     continue
                 if not ready:
                     values, table_, ready = np.concatenate(values) if values else np.zeros((0, 3), np.int64), None, True
-                lengths = part.column(7).value_lengths().to_numpy()
-                runs, times = part.column(7).flatten().to_numpy(), part.column(8).flatten().to_numpy().astype(np.int64)
+                lengths = part.column(8).value_lengths().to_numpy()
+                runs, times = part.column(8).flatten().to_numpy(), part.column(9).flatten().to_numpy().astype(np.int64)
                 sums = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(values[runs] * times[:, None], 0)])
                 ends = np.cumsum(lengths)
                 got = sums[ends] - sums[ends - lengths]
