@@ -20,19 +20,32 @@ def round_exact(x: Column, digits: int = 0) -> Column:
     """
     if not 0 <= digits <= DIGITS:
         raise ValueError(f"digits must be from 0 to {DIGITS}")
-    x = x.cast("double")
-    a = F.abs(x)
-    shift = F.least(F.greatest(F.lit(52) - F.floor(F.log2(a)), F.lit(0)), F.lit(SHIFTS)).cast("int")
+    ten, least = Decimal(10**digits), Decimal(1).scaleb(-digits)
     powers = F.array(*[F.lit(Decimal(2**k)).cast("decimal(38,0)") for k in range(SHIFTS + 1)])
-    whole = F.floor(a)
-    behind = F.floor((a - whole.cast("double")) * F.pow(F.lit(2.0), shift.cast("double"))).cast("bigint")
-    scaled = (behind.cast("decimal(19,0)") * F.lit(Decimal(10**digits)).cast(f"decimal({digits + 1},0)")).cast("decimal(38,0)")
-    power = F.element_at(powers, shift + 1)
-    quotient = F.call_function("div", scaled, power)
-    rest = F.pmod(scaled, power)
-    half = (rest > power - rest) | ((rest == power - rest) & ((whole * (10**digits % 2) + quotient) % 2 == 1))
-    nearest = quotient + F.when(half & (rest > 0), F.lit(1)).otherwise(F.lit(0))
-    value = (whole.cast("decimal(16,0)") + nearest.cast("decimal(13,0)") * F.lit(Decimal(1).scaleb(-digits)).cast(f"decimal({digits + 1},{digits})")).cast("double")
-    out = F.when(x < 0, -value).otherwise(value)
-    return F.when(x.isNull() | F.isnan(x) | (a >= float(2**53)) | (a == 0), x).otherwise(out)
 
+    def nearest(parts: Column) -> Column:
+        """parts(whole, scaled, power) -> the rounded number."""
+        power, rest = parts["power"], F.pmod(parts["scaled"], parts["power"])
+        quotient = F.call_function("div", parts["scaled"], power)
+        odd = ((parts["whole"] * (10**digits % 2) + quotient) % 2) == 1
+        up = (rest > 0) & ((rest > power - rest) | ((rest == power - rest) & odd))
+        units = (quotient + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast("decimal(13,0)")
+        return (parts["whole"].cast("decimal(16,0)") + units * F.lit(least).cast(f"decimal({digits + 1},{digits})")).cast("double")
+
+    def of(a: Column) -> Column:
+        shift = F.least(F.greatest(F.lit(52) - F.floor(F.log2(a)), F.lit(0)), F.lit(SHIFTS)).cast("int")
+        whole = F.floor(a)
+        behind = F.floor((a - whole.cast("double")) * F.pow(F.lit(2.0), shift.cast("double"))).cast("bigint")
+        scaled = (behind.cast("decimal(19,0)") * F.lit(ten).cast(f"decimal({digits + 1},0)")).cast("decimal(38,0)")
+        return _once(F.struct(whole.alias("whole"), scaled.alias("scaled"), F.element_at(powers, shift + 1).alias("power")), nearest)
+
+    def signed(x: Column) -> Column:
+        plain = x.isNull() | F.isnan(x) | (F.abs(x) >= float(2**53)) | (x == 0)
+        return F.when(plain, x).when(x < 0, -_once(-x, of)).otherwise(_once(x, of))
+
+    return _once(x.cast("double"), signed)
+
+
+def _once(value: Column, of) -> Column:
+    """of(value) with the value computed once, however often it is used; otherwise the generated code outgrows its limit."""
+    return F.get(F.transform(F.array(value), of), 0)

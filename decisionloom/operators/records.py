@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from decisionloom.operators import sets
+
 
 def named(problems: dict[str, Column]) -> Column:
     """Names of the problems whose predicate holds."""
@@ -70,12 +72,17 @@ def longest_prefix(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFra
 
 
 def stratified(docs: DataFrame, kind: str, year: str, size: str, key: str, n: int, seed: int) -> DataFrame:
-    """n documents: the largest of each kind first, then kinds and years in turn, in a seeded order."""
-    noise = F.xxhash64(F.lit(seed), F.col(key))
-    largest = F.row_number().over(Window.partitionBy(kind).orderBy(F.desc(size), key)) == 1
-    rows = docs.withColumn("_first", F.when(largest, F.lit(0)).otherwise(F.lit(1)))
-    rows = rows.withColumn("_turn", F.row_number().over(Window.partitionBy(kind, year, "_first").orderBy(noise, key)))
-    return rows.orderBy("_first", "_turn", F.xxhash64(F.lit(seed), F.col(kind), F.col(year)), key).limit(n).drop("_first", "_turn")
+    """n documents: the largest of each kind, then the others, dealt round robin over kinds and years, in a seeded order inside each.
+
+    The largest are found by an aggregate, the others ranked inside their stratum; there is no sort over all documents.
+    """
+    largest = docs.groupBy(kind).agg(F.min_by(key, F.struct(-F.col(size), F.col(key))).alias("_key"))
+    chosen = largest.withColumn("_r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(sets.seeded(seed, kind), kind))).filter(F.col("_r") <= n)  # a row a kind
+    first = docs.join(F.broadcast(chosen.select("_key")), docs[key] == F.col("_key"), "left_semi")
+    rest = docs.join(F.broadcast(largest.select("_key")), docs[key] == F.col("_key"), "left_anti")
+    kinds = largest.count()
+    return first if kinds >= n else first.unionByName(sets.spread(rest, [kind, year], key, n - kinds, seed))
+
 
 
 def index_records(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from decisionloom.functions import html, ids, text, vocab
+from decisionloom.operators import histograms as H
 from decisionloom.operators import records as R
 from decisionloom.plans.chunking import PARAS, paras
 from decisionloom.plans.tables import table
@@ -141,8 +142,9 @@ RISKIEST = f"""WITH {_PRE} SELECT doc_id, CAST(none AS INTEGER) + CAST(hollow AS
 def truncation_loss(spark, d):
     """Share of tokens that an embedding with a ceiling would see, by source."""
     t = F.floor(F.length("text") / vocab.CHARS_PER_TOKEN)
-    rows = table(spark, d, "documents").select("source", t.cast("long").alias("t"))
-    return rows.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("t") > 512).alias("over"), F.percentile("t", 0.5).alias("median"), F.max("t").alias("longest"), F.round(F.sum(F.least("t", F.lit(512))) / F.sum("t"), 6).alias("visible"))
+    lengths = H.counted(table(spark, d, "documents").select("source", t.cast("long").alias("t")), ["source"], "t")
+    seen = H.under_ceiling(lengths, ["source"], "t", 512).join(H.medians(lengths, ["source"], "t").withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
+    return seen.select("source", F.col("rows").alias("documents"), "over", "median", "longest", F.round(F.col("visible") / F.col("total"), 6).alias("visible"))
 
 
 TRUNCATION = """WITH t AS (SELECT source, CAST(floor(length(text) / 4.11) AS BIGINT) AS t FROM documents)
@@ -343,4 +345,9 @@ def stratified_pick(spark, d):
 
 QUERIES = {f.__name__: f for f in (text_scalars, canonical_and_refs, procedural_penalty, new_penalty_by_unit, title_shape_profile, preflight_verdict, preflight_histogram, riskiest, truncation_loss, acceptance_report, contract_validate, contract_gap_rollup, value_audit, arms_anti_union, export_merge, targeted_merge, scorecard_compare, metadata_json, dissent_longest_prefix, array_any_match_probe, duplicate_and_consistency, attempt_selection, replay_diff, run_totals, verification_report)}
 ORACLE_SQL = dict(zip(QUERIES, (TEXT, CANONICAL, PENALTY, NEW_PENALTY, SHAPES, PREFLIGHT, HISTOGRAM, RISKIEST, TRUNCATION, ACCEPTANCE, CONTRACT, ROLLUP, AUDIT, ARMS, EXPORT, TARGETED, SCORECARD, METADATA, PREFIX, PROBE, DUPLICATES, ATTEMPT, REPLAY, TOTALS, VERIFY), strict=True))
+PICK = """WITH d AS (SELECT doc_id, lang, source, n_chars FROM documents), l AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY md5('3:' || doc_id), doc_id) AS turn, md5('3:' || coalesce(lang, '') || ':' || coalesce(source, '')) AS o FROM d ANTI JOIN l USING (doc_id)),
+p AS (SELECT * FROM r QUALIFY row_number() OVER (ORDER BY turn, o, lang, source) <= 40 - (SELECT count(*) FROM l))
+SELECT doc_id, lang, source, n_chars FROM l UNION ALL SELECT doc_id, lang, source, n_chars FROM p"""
 QUERIES["stratified_pick"] = stratified_pick
+ORACLE_SQL["stratified_pick"] = PICK

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from decisionloom.functions import ids
 from decisionloom.operators import chunking as C
+from decisionloom.operators import histograms as H
 from decisionloom.operators import lexical as L
 from decisionloom.plans.chunking import LENGTHS, paras
 from decisionloom.plans.lexical import STOP, bm25_sql
@@ -22,7 +23,9 @@ def merge_sweep(spark, d):
     for target in TARGETS:
         rows = arrays.withColumn("g", C.merge_groups(F.col("values"), target)).select("doc_id", F.explode(F.arrays_zip("values", "g")).alias("x"))
         units = rows.groupBy("doc_id", F.col("x.g").alias("g")).agg(F.sum("x.values").alias("chars"), F.count("*").alias("paras"))
-        level = units.agg(F.count("*").alias("units"), F.percentile("chars", 0.5).alias("median"), F.max("chars").alias("largest"), F.max("paras").alias("most_paras")).withColumn("target", F.lit(target))
+        lengths = H.counted(units.withColumn("target", F.lit(target)), ["target"], "chars")
+        level = units.agg(F.count("*").alias("units"), F.max("chars").alias("largest"), F.max("paras").alias("most_paras")).withColumn("target", F.lit(target)).join(H.medians(lengths, ["target"], "chars"), "target")
+        level = level.select("units", "median", "largest", "most_paras", "target")
         out = level if out is None else out.unionByName(level)
     return out
 
