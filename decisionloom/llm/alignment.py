@@ -43,8 +43,16 @@ TOGETHER = 20_000
 
 #: Where a text is cut into runs.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+DOUBLE = re.compile(r"\s\s")
 PAIRS, LINKS, DOCUMENTS = 0, 1, 2
 
+
+def runs_of(text: str) -> list[str]:
+    """The runs of a space and a text that isn't empty."""
+    if "\0" in text or text[0].isspace() or text[-1].isspace() or DOUBLE.search(text):
+        return CUT.split(" " + text)
+    return f" {text}".replace(" ", "\0 ").replace("\n", "\0\n").split("\0")[1:]  # each is a place to cut
+
 #: Ends e count from the first run on, so that they are places of all runs' bytes.
 LINKED = "SELECT a.id AS x, b.id AS y, a.e, CAST(sum(1) OVER (ORDER BY a.e ROWS UNBOUNDED PRECEDING) AS BIGINT) - 1 AS g FROM a JOIN b ON a.e = b.e"
 GROUPED = "SELECT t.e, s.g FROM {} t ASOF JOIN s ON t.e <= s.e ORDER BY t.e"
@@ -85,10 +93,15 @@ class Tokens:
         lone = self.b.piece_to_id("▁")
         return first, [[lone] if r == " " else ids if r[0] == " " else ids[1:] for r, ids in zip(runs, second, strict=True)]
 
-    def agrees(self, run: str, first: list[int], second: list[int]) -> bool:
-        """Whether either list of ids stands for exactly the run."""
-        whole = run.encode()
-        return b"".join([self.a_bytes[i] for i in first]) == whole and b"".join([self.b_bytes[i] for i in second]) == whole
+    def agree(self, runs: list[str], first: list[list[int]], second: list[list[int]]) -> list[bool]:
+        """Whether both lists of ids stand for exactly their run: all runs at once, and one by one only where that fails."""
+        wholes = [r.encode() for r in runs]
+        sizes, joined = list(map(len, wholes)), b"".join(wholes)
+        for lists, of in ((first, self.a_bytes), (second, self.b_bytes)):
+            parts = [b"".join(map(of.__getitem__, ids)) for ids in lists]
+            if list(map(len, parts)) != sizes or b"".join(parts) != joined:
+                return [all(b"".join(map(of.__getitem__, ids)) == w for ids, of in ((x, self.a_bytes), (y, self.b_bytes))) for w, x, y in zip(wholes, first, second, strict=True)]
+        return [True] * len(runs)
 
 
 def intervals(lists: list[list[int]], sizes: np.ndarray) -> tuple[pa.Table, np.ndarray]:
@@ -120,7 +133,7 @@ class Aligner:
         for at in range(0, len(runs), LEARNT):
             part = runs[at : at + LEARNT]
             first, second = self.tokens.encoded(part)
-            good = list(map(self.tokens.agrees, part, first, second))
+            good = self.tokens.agree(part, first, second)
             lo = 0
             while lo < len(part):
                 hi, n = lo, 0
@@ -142,17 +155,18 @@ class Aligner:
         self.con.unregister("b")
         links = np.asarray(s["x"], np.int64) << 32 | np.asarray(s["y"], np.int64)
         texts = list(map("|".join, zip(self.joined(a, a_group, self.a_names), self.joined(b, b_group, self.b_names), strict=True)))
-        run_ends = np.cumsum([len(runs[i].encode()) for i in at])
-        upto = np.searchsorted(np.asarray(s["e"]), run_ends, "right")  # links of each run and those before
-        found = dict(zip(at, zip(a_many.tolist(), b_many.tolist(), [0, *upto[:-1].tolist()], upto.tolist(), strict=True), strict=True))
-        for i, run in enumerate(runs):
-            n_a, n_b, lo, hi = found.get(i, (0, 0, 0, 0))
-            self.numbers[run] = len(self.groups)
-            self.groups.append(";".join(texts[lo:hi]).encode() if i in found else None)
-            self.adds.extend((n_a, n_b, hi - lo, n_a + n_b - hi + lo))  # an overlap ends where a token of either ends, a link where both do
-            self.links.extend(links[lo:hi].tolist())
-            self.many.append(hi - lo)
-            self.size += len(run) + 8 * (hi - lo)
+        upto = np.searchsorted(np.asarray(s["e"]), a["e"].to_numpy()[np.cumsum(a_many) - 1], "right") if at else np.zeros(0, np.int64)  # links of each run and those before
+        many = np.diff(upto, prepend=0)
+        adds, links_of = np.zeros((len(runs), 4), np.int64), np.zeros(len(runs), np.int64)
+        adds[at] = np.stack([a_many, b_many, many, a_many + b_many - many], 1)  # an overlap ends where a token of either ends, a link where both do
+        links_of[at] = many
+        ends = upto.tolist()
+        found = dict(zip(at, [";".join(texts[lo:hi]).encode() for lo, hi in zip([0, *ends], ends, strict=False)], strict=True))
+        self.numbers.update(zip(runs, range(len(self.groups), len(self.groups) + len(runs)), strict=True))
+        self.groups += map(found.get, range(len(runs)))
+        for own, values in ((self.adds, adds), (self.links, links), (self.many, links_of)):
+            own.frombytes(values.tobytes())
+        self.size += sum(map(len, runs)) + 8 * len(links)
 
     def joined(self, tokens: pa.Table, group: np.ndarray, names: list[str]) -> list[str]:
         """The ids of each group's tokens."""
@@ -162,7 +176,7 @@ class Aligner:
 
     def numbered(self, texts: list[str | None]) -> list[array]:
         """Numbers of each text's runs."""
-        cut = [CUT.split(" " + t) if t else [] for t in texts]
+        cut = [runs_of(t) if t else [] for t in texts]
         new = list(dict.fromkeys(r for runs in cut for r in runs if r not in self.numbers))
         if new:
             self.learn(new)

@@ -77,7 +77,7 @@ def aligned(rows):
     for doc, text in rows:
         whole = " " + (text or "")
         a, b = tokens.a.encode(whole, add_special_tokens=False).ids, tokens.b.encode(text or "")
-        if not text or not tokens.agrees(whole, a, b):
+        if not text or not tokens.agree([whole], [a], [b])[0]:
             per.append((doc, None))
             continue
         ends = [np.cumsum([len(sizes[i]) for i in ids]).tolist() for ids, sizes in ((a, tokens.a_bytes), (b, tokens.b_bytes))]
@@ -111,6 +111,11 @@ def test_alignment_equals_brute_force(spark, monkeypatch, docs, none, runs, toke
     assert alignment.align(none).count() == 0
 
 
+def test_runs_are_cut_alike_on_both_ways():
+    for text in [t for t in ODD if t] + ["plain words here", "two\nlines and\nmore", "a\tb c", "x\x85y z", "e\x1c f"]:
+        assert alignment.runs_of(text) == alignment.CUT.split(" " + text)
+
+
 def context_tree(texts, depth):
     """Counts by (context, node) of training texts, and by definition the mixed probability of a byte after a context."""
     streams = lambda text: b"\n" * depth + b" ".join((text or "").encode().lower().split()) + b"\n"
