@@ -59,6 +59,26 @@ def replay(stored: DataFrame, again: DataFrame, keys: list[str], fields: list[st
     return rows.select(*keys, "x.field", "x.stored", "x.again")
 
 
+def rebuilt(stored: DataFrame, again: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """field, compared, differing, first: a stored run against the one made again from its answers, all fields in one join and one aggregate.
+
+    first is the least key (its parts joined by /) where a field differs, null where none does.  Rows of one side only are the fields
+    "missing" (only made again) and "extra" (only stored); these are compared in no other field.
+    """
+    side = lambda df, name: df.select(*keys, F.struct(*fields).alias(name))
+    both = side(stored, "_a").join(side(again, "_b"), keys, "full_outer")
+    key = F.struct(*keys)
+    there = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    differs = {f: there & ~F.col(f"_a.{f}").eqNullSafe(F.col(f"_b.{f}")) for f in fields} | {"missing": F.col("_a").isNull(), "extra": F.col("_b").isNull()}
+    sums = [x for i, c in enumerate(differs.values()) for x in (F.count_if(c).alias(f"n{i}"), F.min(F.when(c, key)).alias(f"k{i}"))]
+    one = both.agg(F.count_if(there).alias("same"), F.count("*").alias("all"), *sums)
+    named_ = [
+        F.struct(F.lit(f).alias("field"), F.col("same" if f in fields else "all").alias("compared"), F.col(f"n{i}").alias("differing"), F.when(F.col(f"k{i}").isNotNull(), F.concat_ws("/", *[F.col(f"k{i}.{k}").cast("string") for k in keys])).alias("first"))
+        for i, f in enumerate(differs)
+    ]
+    return one.select(F.explode(F.array(*named_)).alias("x")).select("x.*")
+
+
 def longest_prefix(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     """left rows with the longest right value that is a prefix of theirs at a word's end, or equal.
 

@@ -121,6 +121,17 @@ def legislation_cross_check(spark, d) -> DataFrame:
 CROSS = f"""WITH c AS ({CLEANING}), k AS (SELECT doc_id, (1000 + doc_id % 9000)::VARCHAR || '/' || (1 + doc_id % 40)::VARCHAR AS f, CASE WHEN kept THEN coalesce(law_no, CASE WHEN rules = 'constitution_law_no_cleared' THEN 'constitution' ELSE 'statute' END) || '/' || article_no END AS g FROM c)
 SELECT doc_id, CASE WHEN g IS NULL OR g <> f THEN f ELSE '' END AS only_found, CASE WHEN g <> f THEN g ELSE '' END AS only_given FROM k"""
 
+def legislation_coverage(spark, d) -> DataFrame:
+    """What of all decisions' paragraphs an index of law references covers, its ten most common ones, and false hits among these."""
+    rows = decisions(spark, d).select("doc_id", "para", "text")
+    return C.coverage(rows, C.references(rows, ["doc_id", "para"]), ["doc_id", "para"])
+
+
+COVERAGE = f"""WITH {PARAS}, d AS (SELECT DISTINCT doc_id, (1000 + doc_id % 9000)::VARCHAR AS n, (1 + doc_id % 40)::VARCHAR AS a FROM paras),
+r AS (SELECT doc_id, unnest(['law-' || n || '-art-' || a, n, n || '/' || a]) AS ref FROM d), c AS (SELECT ref, count(*) AS k, count(DISTINCT doc_id) AS docs FROM r GROUP BY ref)
+SELECT '*' AS ref, (SELECT count(*) FROM d) AS chunks, (SELECT count(*) FROM d) AS documents, (SELECT count(*) FROM c) AS "references", NULL::BIGINT AS false_positives
+UNION ALL SELECT * FROM (SELECT ref, k, docs, NULL::BIGINT, 0 FROM c ORDER BY k DESC, ref LIMIT 10)"""
+
 CAP = 300
 
 
@@ -220,5 +231,5 @@ SELECT doc_id, CASE WHEN letters > 0 AND len(tw) > 0 AND e < 0.08 AND (own >= 0.
   md5(upper(translate(trim(regexp_replace(translate(replace(text, 'ß', 'ss'), '’‘`´“”«»', repeat(chr(39), 4) || repeat(chr(34), 4)), '\\s+', ' ', 'g')), 'iı', 'İI'))) AS ground, round(length(text) / {vocab.CHARS_PER_TOKEN}, 3) AS tokens,
   CAST(len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '' AND NOT regexp_matches(trim(regexp_replace(x, '\\s+', ' ', 'g')), '^(?:Karar İçeriği|ee3|0|[0-9]{{4}}/1999999|[.:;\\-–…]+)$'))) AS INTEGER) AS lines FROM s"""
 
-QUERIES = {f.__name__: f for f in (citation_extract, citation_cleaning, citation_rules, laws_named_not_cited, stated_numbers, legislation_cross_check, citation_pieces, record_fields, text_language)}
-ORACLE_SQL = {"citation_extract": EXTRACT, "citation_cleaning": CLEANING, "citation_rules": RULES, "laws_named_not_cited": NAMED, "stated_numbers": NUMBERS, "legislation_cross_check": CROSS, "citation_pieces": PIECES, "record_fields": FIELDS, "text_language": LANGUAGE}
+QUERIES = {f.__name__: f for f in (citation_extract, citation_cleaning, citation_rules, laws_named_not_cited, stated_numbers, legislation_cross_check, legislation_coverage, citation_pieces, record_fields, text_language)}
+ORACLE_SQL = {"citation_extract": EXTRACT, "citation_cleaning": CLEANING, "citation_rules": RULES, "laws_named_not_cited": NAMED, "stated_numbers": NUMBERS, "legislation_cross_check": CROSS, "legislation_coverage": COVERAGE, "citation_pieces": PIECES, "record_fields": FIELDS, "text_language": LANGUAGE}
