@@ -61,17 +61,13 @@ def tokens(c: Column, pattern: str = vocab.TOKEN, stop: list[str] | None = None,
     return found if not stop else F.filter(found, lambda x: ~x.isin(*stop))
 
 
-def query_terms(c: Column, **options) -> Column:
-    return F.array_distinct(tokens(c, **options))
-
-
 def share_of(c: Column, words: list[str], pattern: str = vocab.TOKEN) -> Column:
     """Share of a text's words that are in the list."""
     own = F.regexp_extract_all(F.lower(c), F.lit(pattern), F.lit(0))
     return F.size(F.filter(own, lambda x: x.isin(*words))) / F.greatest(F.size(own), F.lit(1))
 
 
-def language_of(c: Column, lists: dict[str, list[str]] | None = None, least: float = 0.02) -> Column:
+def main_language(c: Column, lists: dict[str, list[str]] | None = None, least: float = 0.02) -> Column:
     """Language whose stop words have the largest share, ties to the first; null below the least share."""
     lists = lists or vocab.STOPWORDS
     best = F.greatest(*[share_of(c, w) for w in lists.values()])
@@ -81,13 +77,6 @@ def language_of(c: Column, lists: dict[str, list[str]] | None = None, least: flo
     return F.when(best >= least, out)
 
 
-def looks_turkish(c: Column, markers: list[str]) -> Column:
-    english = share_of(c, vocab.STOPWORDS["en"]) >= 0.08
-    letters = F.length(F.regexp_replace(c, f"[^{vocab.TURKISH_LETTERS}]", "")) / F.greatest(F.length(c), F.lit(1)) >= 0.01
-    marked = F.size(F.array_intersect(tokens(c, vocab.TURKISH_TOKEN, turkish=True), F.array(*[F.lit(m) for m in markers]))) > 0
-    return ~english & (letters | marked)
-
-
 def title_shape(c: Column) -> Column:
     return F.substring(F.regexp_replace(c, r"\d+", "#"), 1, 70)
 
@@ -124,11 +113,6 @@ def longest_shared(a: Column, b: Column, cap: int, stop_early: bool = True) -> C
     return out
 
 
-def markers_in(c: Column, markers: list[str]) -> Column:
-    body = norm_upper(c)
-    return F.filter(F.array(*[F.lit(m) for m in markers]), lambda m: F.contains(body, m))
-
-
 def hollow(paragraphs: Column, least_chars: int = 700) -> Column:
     """A short document whose paragraphs announce what isn't there."""
     open_ = F.size(F.filter(paragraphs, lambda p: p.rlike(r"[;:]\s*$")))

@@ -200,7 +200,7 @@ SELECT item_id, count(doc_id) AS documents, count(DISTINCT source) AS sources FR
 
 def language_detect(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return docs.groupBy("lang", text.language_of(F.col("text")).alias("detected")).agg(F.count("*").alias("documents"))
+    return docs.groupBy("lang", text.main_language(F.col("text")).alias("detected")).agg(F.count("*").alias("documents"))
 
 
 def _share(lang: str) -> str:

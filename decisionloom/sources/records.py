@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from decisionloom.functions import text
+from decisionloom.operators.records import merge_new
 from decisionloom.sources import schema
+from decisionloom.streaming.flush import _note, versions
 
 
 def _source() -> Column:
@@ -65,6 +69,32 @@ def unwrap_export(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(F.coalesce(one, F.raise_error(F.lit("an export is a list, or an object of one key")).cast("array<string>"))).alias("row"))
 
 
+def merge_export(incoming: DataFrame, path: str, source: str, key: str = "doc_id") -> DataFrame:
+    """Add an export's rows of new keys to the table of a source at path; one row: existing, incoming, added, duplicates, backup.
+
+    Rows of another court_type refuse the whole export before anything is written.  The merged table is written beside the one that
+    is there and becomes current by a rename of its note; the one before stays as the backup, whose folder is returned (null at first).
+    """
+    spark = incoming.sparkSession
+    wrong = [r[0] for r in incoming.filter(~F.col("court_type").eqNullSafe(F.lit(source))).select("court_type").distinct().limit(5).collect()]
+    if wrong:
+        raise ValueError(f"rows carry court_type {sorted(map(str, wrong))}, not {source}")
+    current = versions(spark, f"{path}/{source}")
+    backup = current["parts"]["whole"] if current else None
+    existing = spark.read.schema(incoming.schema).parquet(backup) if backup else incoming.limit(0)
+    name, number = f"{path}/{source}/v-{uuid.uuid4().hex}", current["number"] + 1 if current else 1
+    merge_new(existing, incoming, key).write.parquet(name)
+    before, came, after = existing.count(), incoming.count(), spark.read.schema(incoming.schema).parquet(name).count()
+    _note(spark, f"{path}/{source}", {"number": number, "parts": {"whole": name}, "batches": []})
+    return spark.createDataFrame([(before, came, after - before, came - after + before, backup)], "existing long, incoming long, added long, duplicates long, backup string")
+
+
+def read_export(spark: SparkSession, path: str, source: str, rows: T.StructType) -> DataFrame:
+    """The current table of a source."""
+    current = versions(spark, f"{path}/{source}")
+    return spark.read.schema(rows).parquet(current["parts"]["whole"]) if current else spark.createDataFrame([], rows)
+
+
 def schema_faults(rows: DataFrame, column: str = "row") -> DataFrame:
     """row, missing, extra: rows whose keys aren't exactly those of a raw record."""
     want = F.array(*[F.lit(c) for c in schema.RAW.fieldNames()])

@@ -81,8 +81,3 @@ def read_table(spark, path: str, schema) -> DataFrame:
 def start(finished: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Flush a stream of finished rows into the table at path."""
     return finished.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda df, n: flush(df, path, n)).start()
-
-
-def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row of each key, where several came."""
-    return rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("x")).select("x.*")
