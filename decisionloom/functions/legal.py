@@ -54,14 +54,32 @@ OUTCOME_FORMS = {
     "reversed": ["bozma", "bozul", "reversed", "bozuldu"],
     "remanded": ["geri_cevir", "geri_çevir", "geri_cevr", "geri_çevr", "remand", "return", "iade"],
 }
-#: Older free-text outcomes and what they became; a parameter, more can be given.
+# Older free-text outcomes and what they became, by kind of court; others became none.  A parameter, more can be given.
 LEGACY_OUTCOMES = {
-    "red": "denied", "partially_upheld": "partially_granted", "remanded_for_further_investigation": "remanded",
+    "red": "denied",
+    "iptal": "annulled", "onama": "affirmed", "bozma": "reversed",
+    "yetkisizlik_nedeniyle_red": "no_jurisdiction", "yetkisizlik": "no_jurisdiction", "yetki_yönünden_red": "no_jurisdiction", "yetki_yonunden_red": "no_jurisdiction",
+    "dava_reddine_karar_verildi": "denied", "iptal_gerekliliği": "annulled", "iptal_gerekliligi": "annulled", "usule_muhalefet": "procedural_objection",
+    "yontemine_uygun_degil": "dismissed_procedural", "ihlal_yok": "no_violation", "ihlal": "violation",
+    "kabul_edilemezlik": "inadmissible", "istem_reddine": "denied", "itiraz_reddi": "denied", "iptal_talebinin_reddi": "denied", "iptal_talebi_reddi": "denied",
+    "dosya_geri_cevirme": "remanded", "görev_ve_yetki_itirazi": "procedural_objection", "gorev_ve_yetki_itirazi": "procedural_objection", "iptal_edilmemesi": "denied",
+    "yer_olmadığı": "no_decision_needed", "yer_olmadigi": "no_decision_needed", "basvurunun_geri_cevrilmesi": "remanded", "basvurunun_reddi": "denied",
+    "basvuru_reddi": "denied", "dosya_iadesi": "remanded", "işin_geri_çevrilmesi": "remanded", "isin_geri_cevrilmesi": "remanded",
+    "iptal_karsi_oy": "annulled", "esastan_inceleme_gerekliliği": "procedural_objection", "esastan_inceleme_gerekliligi": "procedural_objection",
+    "yeniden_karar_verilmesine_yer_olmadigi": "no_decision_needed", "anayasa_denetimi_yapilmali": "procedural_objection",
+    "konusu_kalmayan_istem": "no_decision_needed", "iade": "remanded", "anayasa_aykirilik": "annulled", "yontemde_ayrisik_oy": "procedural_objection",
+    "yöntemine_uygun_olmayan_basvuru": "dismissed_procedural", "yontemine_uygun_olmayan_basvuru": "dismissed_procedural", "yontemine_uygun_olmama": "dismissed_procedural",
+    "denied_on_merits": "denied", "appeal_dismissed": "denied", "appeal_upheld": "granted", "case_transferred": "transferred", "transfer_to_another_court": "transferred",
+    "partially_upheld": "partially_granted", "partially_upheld_partially_reversed": "partially_granted", "remanded_for_further_investigation": "remanded",
     "appeal_denied_lower_ruling_affirmed": "affirmed", "appeal_granted_lower_ruling_reversed": "reversed",
-    "jurisdiction_denied_case_remanded": "no_jurisdiction", "tax_penalty_cancellation": "reversed", "denied_procedural": "dismissed_procedural",
-    "claim_granted": "granted", "accept_partially": "partially_granted", "partial_acceptance": "partially_granted", "denied_claim": "denied",
-    "administrative_fine_imposed": "fine_imposed", "data_security_measures_required": "instruction_issued", "no_action_needed": "no_action",
-    "geri_cevirme": "remanded", "gorev_belirleme": "transferred", "red_ve_onama": "affirmed", "reddetme": "denied",
+    "competent_court_determined_as_ankara_administrative_court": "transferred", "jurisdiction_denied_case_remanded": "no_jurisdiction",
+    "license_revocation_and_fine_upheld": "affirmed", "tax_penalty_cancellation": "reversed",
+    "denied_procedural": "dismissed_procedural", "claim_granted": "granted", "accept_partially": "partially_granted", "partial_acceptance": "partially_granted",
+    "denied_claim": "denied", "denied_no_fault": "denied", "denied_loss_certificate": "denied",
+    "administrative_fine_imposed": "fine_imposed", "administrative_fine_for_data_security_breach": "fine_imposed", "administrative_fine_for_data_security_violations": "fine_imposed",
+    "data_security_measures_required": "instruction_issued", "data_deletion_request_denied": "denied", "no_action_needed": "no_action",
+    "geri_cevirme": "remanded", "dosyanin_yerel_mahkemeye_geri_cevrilmesi": "remanded", "görev_belirleme": "transferred", "gorev_belirleme": "transferred",
+    "red_ve_onama": "affirmed", "reddetme": "denied", "reddi_takdiren_para_cezasi": "denied", "vazgecme_nedeniyle_incelemeksizin_iade": "remitted",
 }
 
 
