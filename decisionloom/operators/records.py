@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from decisionloom.functions import ids, vocab
 from decisionloom.operators import sets
 
 
@@ -220,6 +221,16 @@ def null_fields_by_source(records: DataFrame, source: str = "source_type") -> Da
     return records.select(source, F.explode(production_gap()).alias("field")).groupBy("field").agg(F.array_sort(F.collect_set(source)).alias("sources"))
 
 
+def source_counts(chunks: DataFrame, source: str = "source", doc: str = "doc_id") -> DataFrame:
+    """chunks(source, doc, title, case_no, karar_no, refs, text) -> by source: documents, chunks, those that are usable (text under the cap), with a chamber in their title, with either number, and paragraphs."""
+    has = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) != ""
+    ok = has("text") & (F.length("text") <= vocab.SIZE_CAP)
+    return chunks.groupBy(source).agg(
+        F.countDistinct(doc).alias("documents"), F.count("*").alias("chunks"), F.count_if(ok).alias("ok"), F.count_if(ids.chamber(F.col("title")).isNotNull()).alias("has_chamber"),
+        F.count_if(has("case_no")).alias("has_esas_no"), F.count_if(has("karar_no")).alias("has_karar_no"), F.sum(F.size("refs")).alias("paras"),
+    )
+
+
 def text_columns(records: DataFrame) -> DataFrame:
     """One row: records, those with plain text, those with HTML."""
     filled = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionloom.functions import text, vocab
+from decisionloom.functions import ids, text, vocab
 from decisionloom.functions.numbers import round_exact
 from decisionloom.functions.token_lengths import with_token_lengths
 from decisionloom.operators import evaluation as E
 from decisionloom.operators import histograms as H
 from decisionloom.operators import lexical as L
 from decisionloom.operators import patterns, sets
+from decisionloom.operators import records as R
 from decisionloom.plans.chunking import PARAS, paras
-from decisionloom.plans.evaluation import _WANTED, _named, _wanted
+from decisionloom.plans.evaluation import _WANTED, _capsules, _named, _wanted
 from decisionloom.plans.lexical import _LISTS, _PLAIN, STOP, TOPIC, bm25_sql, tok
 from decisionloom.plans.tables import table
 
@@ -78,6 +79,37 @@ hb AS (SELECT item_id, paru.doc_id, paru.para, length(paru.text) AS chars, row_n
 {_ARM.format(arm="documents", h="ha")} UNION ALL {_ARM.format(arm="paragraphs", h="hb")}"""
 
 
+def capsule_against_text(spark, d) -> DataFrame:
+    """The right document's rank by its capsule (first and last paragraph) against that by all its paragraphs: what the capsules lose and gain among the first five."""
+    asked, _, units = _wanted(spark, d)
+    items = asked.select("item_id", "text")
+    by_capsule = L.ranked(L.bm25(_capsules(units), items, "doc_id", "item_id", options=STOP), "item_id", "doc_id")
+    by_unit = L.ranked(L.bm25(units, items, "unit", "item_id", options=STOP), "item_id", "unit").withColumn("doc_id", F.expr("unit div 1000000"))
+    right = lambda ranks: ranks.join(asked.select("item_id", "doc_id"), ["item_id", "doc_id"]).select("item_id", "rank")
+    return E.compared_ranks(asked, {"capsule": right(by_capsule), "text": right(L.unit_to_document(by_unit, "item_id", "doc_id"))}, "item_id")
+
+
+CAPSULE = f"""WITH {_WANTED}, {bm25_sql("caps", "doc_id", "a", "item_id")}, {_named(bm25_sql("paru", "unit", "a", "item_id"), "2")},
+rc AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores),
+ru AS (SELECT item_id, unit // 1000000 AS doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, unit) AS rank FROM scores2),
+rb AS (SELECT item_id, doc_id, min(rank) AS best FROM ru GROUP BY ALL), rt AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY best, doc_id) AS rank FROM rb),
+x AS (SELECT a.item_id, rc.rank AS c, rt.rank AS t FROM a LEFT JOIN rc ON rc.item_id = a.item_id AND rc.doc_id = a.doc_id LEFT JOIN rt ON rt.item_id = a.item_id AND rt.doc_id = a.doc_id)
+SELECT count(*) AS queries, count(*) FILTER (c = 1) AS capsule_top1, count(*) FILTER (c <= 5) AS capsule_near, count(*) FILTER (c IS NULL) AS capsule_never, count(*) FILTER (t = 1) AS text_top1, count(*) FILTER (t <= 5) AS text_near, count(*) FILTER (t IS NULL) AS text_never,
+count(*) FILTER (t <= 5 AND NOT coalesce(c <= 5, false)) AS lost, count(*) FILTER (c <= 5 AND NOT coalesce(t <= 5, false)) AS gained FROM x"""
+
+
+def chunk_counts_by_source(spark, d) -> DataFrame:
+    """Paragraphs as chunks: by source, how many there are and which fields they state."""
+    source = table(spark, d, "documents").select("doc_id", "source")
+    rows = paras(spark, d).join(source, "doc_id").withColumns({"title": F.col("text"), "case_no": F.regexp_extract("text", r"\d+/\d+", 0), "karar_no": F.regexp_extract("text", r"[0-9]{4}", 0), "refs": F.array("para")})
+    return R.source_counts(rows)
+
+
+BY_SOURCE = rf"""WITH {PARAS}, r AS (SELECT d.source, p.doc_id, p.text, try_cast(regexp_extract(p.text, '{ids.CHAMBER}', 1) AS INTEGER) AS n FROM paras p JOIN documents d ON p.doc_id = d.doc_id)
+SELECT source, count(DISTINCT doc_id) AS documents, count(*) AS chunks, count(*) FILTER (trim(text) <> '' AND length(text) <= 2000) AS ok, count(*) FILTER (n BETWEEN 1 AND 50) AS has_chamber,
+count(*) FILTER (regexp_matches(text, '\d+/\d+')) AS has_esas_no, count(*) FILTER (regexp_matches(text, '[0-9]{{4}}')) AS has_karar_no, count(*) AS paras FROM r GROUP BY source"""
+
+
 def article_sets(spark, d) -> DataFrame:
     """Sets of words that a document's first paragraph states together, with its verdict (short or long), that no later paragraph covers with the same outcome."""
     items = F.array_sort(F.array_intersect(text.tokens(F.col("text")), F.array(*[F.lit(w) for w in vocab.ALL_STOPWORDS])))
@@ -128,5 +160,5 @@ def token_ceilings(spark, d, path: str | None = None) -> DataFrame:
     return out.select("source", F.col("rows").alias("documents"), "over", "median", "longest", share(F.col("visible"), F.col("total")).alias("visible"), share(F.col("chars"), F.col("total")).alias("chars_per_token"))
 
 
-QUERIES = {f.__name__: f for f in (topic_harness, topic_tally, arm_pinpoint, article_sets, rounded_prices, token_ceilings)}
-ORACLE_SQL = {"topic_harness": HARNESS, "topic_tally": TALLY, "arm_pinpoint": PINPOINT, "article_sets": SETS, "rounded_prices": PRICES}
+QUERIES = {f.__name__: f for f in (topic_harness, topic_tally, arm_pinpoint, capsule_against_text, chunk_counts_by_source, article_sets, rounded_prices, token_ceilings)}
+ORACLE_SQL = {"topic_harness": HARNESS, "topic_tally": TALLY, "arm_pinpoint": PINPOINT, "capsule_against_text": CAPSULE, "chunk_counts_by_source": BY_SOURCE, "article_sets": SETS, "rounded_prices": PRICES}

@@ -93,7 +93,7 @@ h AS (SELECT a.text AS own, coalesce(a.text, b.text) AS found FROM p LEFT JOIN s
 SELECT false AS parents, count(own) AS kept, count(*) - count(own) AS dropped, CAST(sum(length(own)) AS BIGINT) AS chars FROM h
 UNION ALL SELECT true, count(found), count(*) - count(found), CAST(sum(length(found)) AS BIGINT) FROM h"""
 
-OPTIONS = V.SearchOptions(hydrate_parents=True, min_score=0.05, max_docs=5, filters={"role": [0, 1, 2, 3, 4, 5]})
+OPTIONS = V.SearchOptions(group_by_parent=True, hydrate_parents=True, min_score=0.05, max_docs=5, filters={"role": [0, 1, 2, 3, 4, 5]})
 
 
 def agent_search(spark, d):
