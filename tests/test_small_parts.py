@@ -86,3 +86,24 @@ def test_coverage_probes_find_false_hits(spark):
     assert rows["*"] == (3, 2, 6, None) and rows["5393"] == (2, 1, None, 0) and len(rows) == 5
     wrong = index.unionByName(spark.createDataFrame([(2, 1, ["5393"])], index.schema))
     assert {r["ref"]: r["false_positives"] for r in C.coverage(chunks, wrong, ["doc_id", "para"]).collect()}["5393"] == 1
+
+
+def test_flags_of_the_staged_search(spark):
+    from decisionloom.operators import vector as V
+
+    points = spark.createDataFrame([(1, 100, 2024, [1.0, 0.0], ["p1"]), (2, 100, 2024, [0.9, 0.0], ["p2"]), (3, 200, 2020, [0.8, 0.0], ["p3"]), (4, 300, None, [1.0, 0.0], ["p4"])], "id long, parent long, year int, vector array<double>, paragraph_ids array<string>")
+    queries = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, vector array<double>")
+    store = V.text_store(spark.createDataFrame([(1, None, "chunk", "one"), (2, None, "chunk", "two"), (5, 200, "document", "whole")], "id long, parent long, unit string, text string"))
+    search = lambda **o: V.staged_search(points, queries, store, V.SearchOptions(**o), F.col("parent"))[0]
+    assert values(search().orderBy("rank"), "id") == [1, 2] and "paragraph_ids" not in search().columns
+    assert values(search(group_by_parent=True).orderBy("rank"), "id") == [1]
+    assert sorted(values(search(hydrate_parents=True), "text")) == ["one", "two", "whole"]
+    assert values(search(emit_paragraph_ids=True, max_docs=1), "paragraph_ids") == [["p1"]]
+
+
+def test_two_rankings_side_by_side(spark):
+    queries = spark.createDataFrame([(i,) for i in range(5)], "q int")
+    one = spark.createDataFrame([(0, 1), (1, 9), (2, 3), (2, 1)], "q int, rank int")
+    two = spark.createDataFrame([(0, 2), (1, 4), (3, 1)], "q int, rank int")
+    row = E.compared_ranks(queries, {"a": one, "b": two}, "q").first().asDict()
+    assert row == {"queries": 5, "a_top1": 2, "a_near": 2, "a_never": 2, "b_top1": 1, "b_near": 3, "b_never": 2, "lost": 2, "gained": 1}

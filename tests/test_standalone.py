@@ -20,3 +20,5 @@ def test_rest_stands_alone(tmp_path, pipeline):
     env = os.environ | {"PYTHONPATH": str(tmp_path)}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=env)
     subprocess.run([sys.executable, "-m", "pytest", "-q", "--collect-only", "tests"], cwd=tmp_path, check=True, env=env, stdout=subprocess.DEVNULL)
+    if pipeline:
+        subprocess.run([sys.executable, "-m", "pytest", "-q", "tests/test_functions.py", "tests/test_small_parts.py"], cwd=tmp_path, check=True, env=env, stdout=subprocess.DEVNULL)
