@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from decisionloom.functions import ids
 from decisionloom.plans.tables import table
-from decisionloom.sources import cache, pages
+from decisionloom.sources import cache, folders, pages
 
 #: Tokens that are seen of a document with a label, and of others.
 FULL, SHORT = 8192, 2048
@@ -24,7 +24,7 @@ def embed_cache_growth(spark, d) -> DataFrame:
     """Three runs over one store: documents with a label, all documents, all again; what each found, embedded, in how many batches, and the vectors then there."""
     labelled = table(spark, d, "labels").select("doc_id", F.lit(FULL).alias("full")).distinct()
     docs = table(spark, d, "documents").join(labelled, "doc_id", "left").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("full", F.lit(SHORT)).alias("ceiling"))
-    path, out = cache.shared_folder(spark), None
+    path, out = folders.shared_folder(spark, "vectors"), None
     for run, rows in enumerate((docs.filter(F.col("ceiling") == FULL), docs, docs), 1):
         vectors, report = cache.embedded(rows, path, MODEL, _letters)
         there = vectors.agg(F.count("vector").alias("vectors"), F.countDistinct("key").alias("keys"))

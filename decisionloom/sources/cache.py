@@ -7,7 +7,6 @@ there, and a second run over the same texts finds them all.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -22,14 +21,6 @@ STORED = "key string, vector array<double>"
 BUDGET, HEADS, PAD = 1_500_000_000, 16, 64
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share; a temporary one in local mode where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        base = tempfile.mkdtemp(prefix="decisionloom-") if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster") else spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base}/vectors-{uuid.uuid4().hex}"
-
-
 def key(model: str, ceiling: Column, text: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(model), ceiling.cast("string"), F.coalesce(text, F.lit(""))), 256)
 
