@@ -15,7 +15,7 @@ from decisionloom.operators import patterns, sets
 from decisionloom.operators import records as R
 from decisionloom.plans.chunking import PARAS, paras
 from decisionloom.plans.evaluation import _WANTED, _capsules, _named, _wanted
-from decisionloom.plans.lexical import _LISTS, _PLAIN, STOP, TOPIC, bm25_sql, tok
+from decisionloom.plans.lexical import _LISTS, _PLAIN, STOP, TOPIC, bm25_sql
 from decisionloom.plans.tables import table
 
 
