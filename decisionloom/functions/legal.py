@@ -106,7 +106,12 @@ def laws_named(c: Column) -> Column:
     return F.array_sort(F.array_distinct(_all(F.coalesce(c, F.lit("")), LAW_NAMED, 1)))
 
 
-def english_share(c: Column, word: str = "[a-z]+", lower=F.lower) -> Column:
+def _lower(c: Column) -> Column:
+    """Lower case, letter by letter: a dotted capital I is one letter, not an i and a combining dot that would cut its word."""
+    return F.lower(F.translate(c, "İ", "i"))
+
+
+def english_share(c: Column, word: str = "[a-z]+", lower=_lower) -> Column:
     own = F.regexp_extract_all(lower(c), F.lit(word), F.lit(0))
     return F.when(F.size(own) > 0, F.size(F.filter(own, lambda x: x.isin(*ENGLISH_WORDS))) / F.size(own)).otherwise(F.lit(0.0))
 

@@ -254,3 +254,9 @@ def test_queries_in_blocks_meet_all_points(spark, monkeypatch):
     whole = sorted(map(tuple, V.similarities(points, queries).select("query_id", "id", "score").collect()))
     monkeypatch.setattr(V, "BLOCK", 2)
     assert sorted(map(tuple, V.similarities(points, queries).select("query_id", "id", "score").collect())) == whole and len(whole) == 81
+
+
+def test_a_dotted_capital_is_one_letter_of_an_english_share(spark):
+    assert one(spark, legal.english_share(F.col("t")), t="the REDDİNE") == 0.5
+    said = "the and of was were " + " ".join(["xx"] * 56) + " REDDİNE"  # 5 of 62 words; cut in two there are 63, under 8 per cent
+    assert one(spark, legal.language_of(F.col("t")), t=said) == "en"
