@@ -26,7 +26,7 @@ _RANK = "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)"
 
 
 def vector_topk(spark, d):
-    return V.top_k(V.similarities(points(spark, d), asked(spark, d)), 10).select("query_id", "id", "score", "rank")
+    return V.top_k(V.nearest(points(spark, d), asked(spark, d), 10), 10).select("query_id", "id", "score", "rank")
 
 
 VECTOR_TOPK = f"WITH {_SIMS} SELECT query_id, id, score, {_RANK} AS rank FROM s QUALIFY rank <= 10"
@@ -34,7 +34,7 @@ VECTOR_TOPK = f"WITH {_SIMS} SELECT query_id, id, score, {_RANK} AS rank FROM s
 
 def vector_filtered_topk(spark, d):
     keep = V.build_filter({"role": [1, 3, 5], "year_from": 2015, "year_to": 2024, "chamber": "none"})
-    return V.top_k(V.similarities(points(spark, d).filter(keep), asked(spark, d)), 10).select("query_id", "id", "role", "score", "rank")
+    return V.top_k(V.nearest(points(spark, d).filter(keep), asked(spark, d), 10), 10).select("query_id", "id", "role", "score", "rank")
 
 
 FILTERED = f"WITH {_SIMS} SELECT query_id, id, role, score, {_RANK} AS rank FROM s WHERE role IN (1, 3, 5) AND year > 2015 AND year < 2024 QUALIFY rank <= 10"
@@ -42,7 +42,8 @@ FILTERED = f"WITH {_SIMS} SELECT query_id, id, role, score, {_RANK} AS rank FROM
 
 def two_bucket_search(spark, d):
     recent, older = V.bucket_limits(1)
-    return V.two_buckets(V.similarities(points(spark, d), asked(spark, d)), "year", 2023, recent, older).select("query_id", "bucket", "id", "score", "rank")
+    p = points(spark, d).filter("year IS NOT NULL").withColumn("bucket", V.bucket("year", 2023))
+    return V.two_buckets(V.nearest(p, asked(spark, d), max(recent, older), ["bucket"]), "year", 2023, recent, older).select("query_id", "bucket", "id", "score", "rank")
 
 
 BUCKETS = f"""WITH {_SIMS}, b AS (SELECT *, CASE WHEN year >= 2023 THEN 'recent' ELSE 'older' END AS bucket FROM s)
@@ -61,7 +62,7 @@ SELECT o_orderkey, year, CAST(round(f, 9) AS DOUBLE) AS multiplier, CAST(round(o
 
 
 def collapse_best_per_key(spark, d):
-    sims = V.similarities(points(spark, d), asked(spark, d))
+    sims = V.nearest(points(spark, d), asked(spark, d), 3, ["role"])
     one, three = (V.collapsed(sims, F.col("role"), n).withColumn("per_key", F.lit(n)) for n in (1, 3))
     return one.unionByName(three).select("query_id", "role", "per_key", "id", "score")
 
@@ -97,12 +98,12 @@ OPTIONS = V.SearchOptions(group_by_parent=True, hydrate_parents=True, min_score=
 
 
 def agent_search(spark, d):
-    hits, _ = V.staged_search(points(spark, d), asked(spark, d), V.text_store(units(spark, d)), OPTIONS, F.col("role"))
+    hits, _ = V.staged_search(points(spark, d), asked(spark, d), lambda wanted: V.text_store(units(spark, d), wanted), OPTIONS, F.col("role"))
     return hits.select("query_id", "id", "raw_score", "score", F.length("text").cast("long").alias("chars"), "rank")
 
 
 def agent_trace(spark, d):
-    _, trace = V.staged_search(points(spark, d), asked(spark, d), V.text_store(units(spark, d)), OPTIONS, F.col("role"))
+    _, trace = V.staged_search(points(spark, d), asked(spark, d), lambda wanted: V.text_store(units(spark, d), wanted), OPTIONS, F.col("role"))
     return trace
 
 
@@ -121,7 +122,7 @@ UNION ALL SELECT query_id, 'hydrated', count(*) FROM h WHERE text IS NOT NULL GR
 
 def role_filter_delta(spark, d):
     """Queries whose own role's filter wins or loses a same-role hit at the top."""
-    sims = V.similarities(points(spark, d), asked(spark, d)).filter("id <> query_id")
+    sims = V.nearest(points(spark, d), asked(spark, d), 1, ["role"], apart=True)  # the best of each role
     own = points(spark, d).select(F.col("id").alias("query_id"), F.col("role").alias("want"))
     rows = sims.join(own, "query_id")
     best = lambda df, name: V.top_k(df, 1).select("query_id", F.col("id").alias(name), (F.col("role") == F.col("want")).alias(f"{name}_ok"))
@@ -141,8 +142,9 @@ def two_level_search(spark, d):
     centre = p.select("role", F.posexplode("vector").alias("i", "x")).groupBy("role", "i").agg(F.round(F.avg(F.col("x").cast("double")), 9).alias("x"))
     centre = centre.groupBy("role").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("vector")).withColumnRenamed("role", "id")  # as long as a vector
     roles = V.top_k(V.similarities(centre, q), 2).select("query_id", F.col("id").alias("role"))
-    hits = V.top_k(V.similarities(p, q).join(roles, ["query_id", "role"], "left_semi"), 5)
-    plain = V.top_k(V.similarities(p, q), 5).select("query_id", "id")
+    best = V.nearest(p, q, 5, ["role"])
+    hits = V.top_k(best.join(roles, ["query_id", "role"], "left_semi"), 5)
+    plain = V.top_k(best, 5).select("query_id", "id")
     both = hits.join(plain, ["query_id", "id"], "left_semi").groupBy("query_id").agg(F.count("*").alias("agree"))
     return hits.groupBy("query_id").agg(F.count("*").alias("found"), F.min("id").alias("least"), F.max("score").alias("best")).join(both, "query_id", "left").select("query_id", "found", "least", "best", F.coalesce("agree", F.lit(0)).alias("agree"))
 
@@ -197,7 +199,7 @@ WHERE NOT EXISTS (SELECT 1 FROM documents WHERE trim(text) = '' OR doc_id IS NUL
 def permutation_expectation(spark, d):
     """Expected top-1 and top-3 hits when wanted roles are dealt at random, with and without a query's own."""
     p = points(spark, d)
-    ranks = V.top_k(V.similarities(p, asked(spark, d)).filter("id <> query_id"), 3).select("query_id", "role", "rank")
+    ranks = V.top_k(V.nearest(p, asked(spark, d), 3, apart=True), 3).select("query_id", "role", "rank")
     want = p.join(asked(spark, d).select(F.col("query_id").alias("id")), "id", "left_semi").select(F.col("id").alias("w"), F.col("role").alias("want"))
     n = want.agg(F.count("*").alias("n"))
     wanted = want.groupBy("want").agg(F.count("*").alias("c"))  # a row per role
@@ -221,7 +223,7 @@ def ab_report(spark, d):
     own = p.select(F.col("id").alias("query_id"), F.col("role").alias("want"))
 
     def arm(name, df):
-        ranks = V.top_k(V.similarities(df, q).filter("id <> query_id"), 10).join(own, "query_id")
+        ranks = V.top_k(V.nearest(df, q, 10, apart=True), 10).join(own, "query_id")
         first = ranks.filter("role = want").groupBy("query_id").agg(F.min("rank").alias("first"))
         rows = q.select("query_id").join(first, "query_id", "left")
         return rows.agg(F.count("*").alias("queries"), F.count_if(F.col("first") == 1).alias("top1"), F.count_if(F.col("first") <= 5).alias("top5"), F.round(F.sum(F.coalesce(1 / F.col("first"), F.lit(0.0))) / F.count("*"), 6).alias("mrr"), F.count_if(F.col("first").isNull()).alias("never")).withColumn("arm", F.lit(name))

@@ -260,3 +260,28 @@ def test_a_dotted_capital_is_one_letter_of_an_english_share(spark):
     assert one(spark, legal.english_share(F.col("t")), t="the REDDİNE") == 0.5
     said = "the and of was were " + " ".join(["xx"] * 56) + " REDDİNE"  # 5 of 62 words; cut in two there are 63, under 8 per cent
     assert one(spark, legal.language_of(F.col("t")), t=said) == "en"
+
+
+def test_nearest_equals_all_similarities_ranked(spark, monkeypatch):
+    from decisionloom.operators import vector as V
+
+    rows = [(i, i % 3 if i % 7 else None, [float(i % 5), 1.0, float(i % 2)] if i % 11 else None) for i in range(60)] + [(5, 1, [9.0, 1.0, 1.0]), (60, 1, [1.0, None, 1.0]), (61, 2, [1.0]), (62, 0, [float("nan"), 1.0, 1.0])]
+    points = spark.createDataFrame(rows, "id long, role int, vector array<double>")
+    queries = points.filter("id % 10 = 5").select(F.col("id").alias("query_id"), "vector")
+    got = lambda df: sorted((r["query_id"], r["id"], r["role"] is None, r["role"] or 0, repr(r["score"])) for r in df.select("query_id", "id", "role", "score").collect())
+    for asked, size, at_once in ((V.ASKED, V.POINTS, V.SCORES), (2, 16, 32)):  # broadcast; dealt out in blocks
+        monkeypatch.setattr(V, "ASKED", asked)
+        monkeypatch.setattr(V, "POINTS", size)
+        monkeypatch.setattr(V, "SCORES", at_once)
+        for by in ([], ["role"]):
+            for apart in (False, True):
+                every = V.similarities(points, queries).filter("id <> query_id" if apart else "true")
+                assert got(V.nearest(points, queries, 4, by, apart=apart)) == got(V.top_k(every, 4, more=by))
+
+
+def test_only_wanted_texts_are_put_in_order(spark):
+    from decisionloom.operators import vector as V
+
+    units = spark.createDataFrame([(1, None, "chunk", "own"), (2, 9, "document", "whole"), (3, 9, "document", "a"), (4, None, "chunk", "other")], "id long, parent long, unit string, text string")
+    wanted = spark.createDataFrame([(1,), (9,)], "id long")
+    assert sorted(map(tuple, V.text_store(units, wanted).collect())) == [(1, "own"), (9, "a")]
