@@ -8,6 +8,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from decisionloom.operators import lexical as L
 from decisionloom.functions.numbers import round_exact
 from decisionloom.functions.token_lengths import with_token_lengths
 from decisionloom.operators import evaluation as E
@@ -114,3 +115,14 @@ def test_token_lengths_equal_the_tokenizer(spark, monkeypatch, file, apart):
     rows = with_token_lengths(df, path, apart=apart)
     assert rows.columns == ["id", "a b", "n_tokens"]
     assert {r["id"]: r["n_tokens"] for r in rows.collect()} == {i: len(own.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_levels_are_merged_in_one_pass(spark):
+    rows = [(1, [10, 10], [0.5, 0.25]), (1, [11, 10], [0.1, 0.7]), (1, [12, 12], [-0.3333335, 1.0]), (2, [20, 20], [0.0, 0.0])]
+    members = spark.createDataFrame(rows, "doc long, ids array<long>, vector array<double>")
+    got = sorted((r["level"], r["id"], [round(x, 9) for x in r["vector"]]) for r in E.merged_levels(members, ["doc"], "id", 2).collect())
+    want = []
+    for level in (0, 1):
+        one = E.merged_vectors(members.select(F.col("ids")[level].alias("id"), "vector"), ["id"])
+        want += [(level, r["id"], [round(x, 9) for x in r["vector"]]) for r in one.collect()]
+    assert got == sorted(want)
