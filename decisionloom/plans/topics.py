@@ -17,6 +17,7 @@ from decisionloom.plans.chunking import PARAS, paras
 from decisionloom.plans.evaluation import _WANTED, _capsules, _named, _wanted
 from decisionloom.plans.lexical import _LISTS, _PLAIN, STOP, TOPIC, bm25_sql
 from decisionloom.plans.tables import table
+from decisionloom.sources.folders import kept
 
 
 def _topics(spark, d) -> DataFrame:
@@ -24,13 +25,11 @@ def _topics(spark, d) -> DataFrame:
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
     chosen = L.ranked(items.select("item_id", F.explode(F.array_distinct(text.tokens(F.col("text"), **STOP))).alias("term")).withColumn("n", F.length("term")), "item_id", "term", 3, "n")
     truth = patterns.holding(docs.select("doc_id", F.lower("text").alias("body")), chosen.select("item_id", "term"), "doc_id", "body", "term").select("item_id", "doc_id").distinct()
-    counts = L.term_counts(docs, L.asked_terms(items), ["doc_id"], STOP)
+    counts = kept(L.term_counts(docs, L.asked_terms(items), ["doc_id"], STOP))  # texts are read once for all scorings
     written = L.bm25(docs, items, "doc_id", "item_id", counts=counts, length="all_dl")
     topic = L.bm25(docs, items, "doc_id", "item_id", options=STOP, counts=counts)
-    guard = L.distinctive(docs, items, "doc_id", "item_id", STOP, counts).filter("distinctive").select("item_id", F.col("term").alias("hit"))
-    held = counts.select("doc_id", "hit").join(L.few(guard), "hit").select("item_id", "doc_id").distinct()
     out = None
-    for name, scores in (("as_written", written), ("topic_only", topic), ("guarded", topic.join(held, ["item_id", "doc_id"], "left_semi"))):
+    for name, scores in (("as_written", written), ("topic_only", topic), ("guarded", topic.filter("guarded"))):
         one = E.topic_scoring(items, scores, truth, name, "item_id", "doc_id")
         out = one if out is None else out.unionByName(one)
     return out
@@ -62,8 +61,9 @@ def arm_pinpoint(spark, d) -> DataFrame:
     asked, own, units = _wanted(spark, d)
     queries = asked.select("item_id", "doc_id").join(own.groupBy("item_id").agg(F.min(F.col("unit") % 1_000_000).alias("para")), "item_id", "left")
     docs, items = table(spark, d, "documents"), asked.select("item_id", "text")
-    whole = L.ranked(L.bm25(docs, items, "doc_id", "item_id", options=STOP), "item_id", "doc_id", 10).join(docs.select("doc_id", F.length("text").alias("chars")), "doc_id").withColumn("paras", F.array().cast("array<long>"))
-    parts = L.ranked(L.bm25(units, items, "unit", "item_id", options=STOP), "item_id", "unit", 10).join(units.select("unit", "doc_id", F.length("text").alias("chars"), F.array(F.col("para").cast("long")).alias("paras")), "unit")
+    first = lambda rows, unit: L.few(kept(L.ranked(L.bm25(rows, items, unit, "item_id", options=STOP), "item_id", unit, 10)))  # noqa: E731  ten rows an item
+    whole = first(docs, "doc_id").join(docs.select("doc_id", F.length("text").alias("chars")), "doc_id").withColumn("paras", F.array().cast("array<long>"))
+    parts = first(units, "unit").join(units.select("unit", "doc_id", F.length("text").alias("chars"), F.array(F.col("para").cast("long")).alias("paras")), "unit")
     arm = lambda name, hits: E.arm_summary(E.arm_rows(queries, hits.select("item_id", "doc_id", "rank", "paras", "chars"), "item_id", "doc_id")).withColumn("arm", F.lit(name))
     return arm("documents", whole).unionByName(arm("paragraphs", parts))
 
@@ -83,10 +83,17 @@ def capsule_against_text(spark, d) -> DataFrame:
     """The right document's rank by its capsule (first and last paragraph) against that by all its paragraphs: what the capsules lose and gain among the first five."""
     asked, _, units = _wanted(spark, d)
     items = asked.select("item_id", "text")
-    by_capsule = L.ranked(L.bm25(_capsules(units), items, "doc_id", "item_id", options=STOP), "item_id", "doc_id")
-    by_unit = L.ranked(L.bm25(units, items, "unit", "item_id", options=STOP), "item_id", "unit").withColumn("doc_id", F.expr("unit div 1000000"))
-    right = lambda ranks: ranks.join(asked.select("item_id", "doc_id"), ["item_id", "doc_id"]).select("item_id", "rank")
-    return E.compared_ranks(asked, {"capsule": right(by_capsule), "text": right(L.unit_to_document(by_unit, "item_id", "doc_id"))}, "item_id")
+    right = asked.select("item_id", "doc_id")
+
+    def rank(scores):
+        own = kept(scores.join(L.few(right), ["item_id", "doc_id"]).select("item_id", F.col("at_unit").alias("at"), F.col("score").alias("own")))
+        return L.better(scores, own, "item_id", "at_unit").select("item_id", "rank")
+
+    by_capsule = L.bm25(_capsules(units), items, "doc_id", "item_id", options=STOP).withColumn("at_unit", F.col("doc_id"))
+    by_unit = L.bm25(units, items, "unit", "item_id", options=STOP, within=["doc_id"])
+    best = by_unit.groupBy("item_id", "doc_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "unit")).alias("x"))  # a document's first unit
+    best = best.select("item_id", "doc_id", F.col("x.unit").alias("at_unit"), (-F.col("x.s")).alias("score"))
+    return E.compared_ranks(asked, {"capsule": rank(by_capsule), "text": rank(best)}, "item_id")
 
 
 CAPSULE = f"""WITH {_WANTED}, {bm25_sql("caps", "doc_id", "a", "item_id")}, {_named(bm25_sql("paru", "unit", "a", "item_id"), "2")},

@@ -126,3 +126,20 @@ def test_levels_are_merged_in_one_pass(spark):
         one = E.merged_vectors(members.select(F.col("ids")[level].alias("id"), "vector"), ["id"])
         want += [(level, r["id"], [round(x, 9) for x in r["vector"]]) for r in one.collect()]
     assert got == sorted(want)
+
+
+def test_ranks_are_counted_as_they_would_be_sorted(spark):
+    scores = spark.createDataFrame([(q, u, float((u * 7 + q) % 5)) for q in range(3) for u in range(20)], "item long, unit long, score double")
+    own = scores.filter("unit % 4 = 1").select("item", F.col("unit").alias("at"), F.col("score").alias("own"))
+    counted = sorted((r["item"], r["at"], r["rank"]) for r in L.better(scores, own, "item", "unit").collect())
+    assert counted == sorted((r["item"], r["unit"], r["rank"]) for r in L.ranked(scores, "item", "unit").filter("unit % 4 = 1").collect())
+
+
+def test_terms_of_a_unit_are_dealt_out_once_for_its_scores(spark):
+    units = spark.createDataFrame([(i, f"alpha beta gamma{i % 3}") for i in range(30)], "doc long, text string")
+    items = spark.createDataFrame([(1, "alpha gamma1"), (2, "beta gamma2 alpha")], "item long, text string")
+    counts = L.term_counts(units, L.asked_terms(items), ["doc"])
+    scores = L.bm25(units, items, "doc", "item", counts=counts)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(item" not in plan and scores.count() == 60
+    assert {(r["doc"], r["guarded"]) for r in scores.filter("item = 1").collect()} == {(i, i % 3 == 1) for i in range(30)}
