@@ -262,6 +262,22 @@ def test_a_dotted_capital_is_one_letter_of_an_english_share(spark):
     assert one(spark, legal.language_of(F.col("t")), t=said) == "en"
 
 
+def test_score_cards_count_a_decision_on_the_line_of_a_language(spark, tmp_path):
+    import re
+
+    import duckdb
+
+    from decisionloom.plans import stored as S
+
+    added = "ESAS NO: 2001/1 dosyada 1001 sayılı Örnek Kanunu'nun 2. maddesi uyarınca inceleme yapıldı. " + S.RULING
+    more = 75 - len(re.findall("[a-z]+", added.replace("İ", "i").lower()))
+    spark.createDataFrame([(1, "the " * 6 + "xx " * (more - 6))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")  # 6 of 75 words
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = sorted(map(tuple, S.score_compared(spark, str(tmp_path)).collect()))
+    assert got == sorted(con.execute(S.COMPARED).fetchall()) and ("capsule_language", 2, 2, "") in got
+
+
 def test_nearest_equals_all_similarities_ranked(spark, monkeypatch):
     from decisionloom.operators import vector as V
 
