@@ -514,6 +514,21 @@ def test_toxicity_on_held_out(spark):
     assert {r["predicted"] for r in toxicity.classify(docs, labels.filter("false")).collect()} == {0}
 
 
+def test_toxicity_is_learnt_from_every_labelled_document(spark, monkeypatch):
+    """Whatever the number of shards: each fitted document once, the rest for the thresholds, the same again."""
+    docs, labels, y = labelled(spark, lambda w, rng: [*w[:20], str(rng.choice(["nastyone", "nastytwo"])), *w[20:]])
+    docs = docs.withColumn("text", F.concat("text", F.lit(" everywhere")))
+    seen, held = [], toxicity._held
+    monkeypatch.setattr(toxicity, "SHARD_CHARS", 8_000)
+    monkeypatch.setattr(toxicity, "_held", lambda shards: seen.append((shards.select("shard").distinct().count(), held(shards))) or seen[-1][1])
+    rows = toxicity.classify(docs, labels).collect()
+    fitted = toxicity._labelled(docs, labels, 3, 1).filter("pmod(h, 5) > 0").count()
+    assert seen[0][0] > 3 and seen[0][1][list(toxicity.buckets_of("everywhere"))].tolist() == [fitted] * 2 and 180 < fitted < 260
+    of_held = [r for r in rows if r["held_out"] and r["doc_id"] in y]
+    assert np.mean([r["predicted"] == y[r["doc_id"]] for r in of_held]) >= 0.9
+    assert sorted(map(repr, toxicity.classify(docs, labels).collect())) == sorted(map(repr, rows))
+
+
 def test_scorer_equals_convolution():
     model = toxicity.train([(i % 2, prose(i, 30) + (" nasty" if i % 2 else ""), "en") for i in range(60)], epochs=2)
     score, text = toxicity.Scorer(model), prose(77, 50) + " nasty, Nasty!"
