@@ -301,3 +301,10 @@ def test_only_wanted_texts_are_put_in_order(spark):
     units = spark.createDataFrame([(1, None, "chunk", "own"), (2, 9, "document", "whole"), (3, 9, "document", "a"), (4, None, "chunk", "other")], "id long, parent long, unit string, text string")
     wanted = spark.createDataFrame([(1,), (9,)], "id long")
     assert sorted(map(tuple, V.text_store(units, wanted).collect())) == [(1, "own"), (9, "a")]
+
+
+def test_findings_read_each_text_once(spark):
+    from decisionloom.plans import profiling
+
+    plan = profiling.preflight_findings(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("upper(") == 1
