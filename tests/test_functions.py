@@ -159,3 +159,10 @@ def test_text_scalars_see_the_end(spark, tmp_path):
     spark.createDataFrame([(1, "s", head + "Ğ the"), (2, "s", head + "x")], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     one, two = sorted(catalogue.QUERIES["text_scalars"](spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])
     assert all(one[c] != two[c] for c in ("upper", "lower", "ws", "plain", "slug", "part", "english"))
+
+
+def test_pages_are_read_a_few_at_a_time(spark):
+    """Whatever the size of the batches, as many rows as came in, each with its own reading."""
+    pages = spark.range(0, 300, 1, 1).select("id", F.concat(F.lit("<p>page "), "id", F.lit("</p><p>two</p>")).alias("html"))
+    rows = html.extracted(pages, "id", F.lit(None).cast("string"), F.col("html")).collect()
+    assert [(r["id"], r["x"]["paragraphs"]) for r in rows] == [(i, [f"page {i}", "two"]) for i in range(300)]
