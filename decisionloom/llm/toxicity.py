@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionloom.llm.common import by_value, few, held_out, keyed, release, row_key, stash, table, without
+from decisionloom.llm.common import by_value, fetched, few, held_out, keyed, release, row_key, stash, table, without
 
 by_value(__name__)
 
@@ -253,7 +253,7 @@ def _slices(at: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(k, np.arange(lo, hi)) for k, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]  # noqa: B905
 
 
-def _merged(parts: DataFrame) -> list:
+def _merged(parts: DataFrame) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """parts(k, shard, at, weight, vector) -> rows (k, at, weight, vector): a slice's vectors, averaged by weight where they stand."""
 
     def merge(table: pa.Table) -> pa.Table:
@@ -271,10 +271,9 @@ def _merged(parts: DataFrame) -> list:
         mean = (total / weight[:, None]).astype(np.float32)
         return pa.table({"k": pa.array([rows[0]["k"]], pa.int32()), "at": [every.astype(np.int32).tobytes()], "weight": [weight.tobytes()], "vector": [mean.tobytes()]})
 
-    found = stash(parts.groupBy("k").applyInArrow(merge, "k int, at binary, weight binary, vector binary"))  # its shuffle goes with it
-    rows = found.collect()  # one model at most
-    release(found)
-    return rows
+    found = fetched(parts.groupBy("k").applyInArrow(merge, "k int, at binary, weight binary, vector binary"))  # one model at most
+    columns = [[np.frombuffer(x.as_buffer(), kind) for x in found[c]] for c, kind in (("at", np.int32), ("weight", np.float64), ("vector", np.float32))]
+    return list(zip(found["k"].to_pylist(), *columns, strict=True))
 
 
 PART = "k int, shard long, at binary, weight binary, vector binary"
@@ -294,19 +293,34 @@ def _held(shards: DataFrame) -> np.ndarray:
         return _part([(k, at[own], often[at[own]], np.zeros((len(own), 1))) for k, own in _slices(at)], table["shard"][0].as_py())
 
     often = np.zeros(2 * BUCKETS, np.int64)
-    for r in _merged(shards.groupBy("shard").applyInArrow(count, PART)):
-        often[np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["weight"], np.float64)
+    for _, at, weight, _ in _merged(shards.groupBy("shard").applyInArrow(count, PART)):
+        often[at] = weight
     return often
 
 
+def _learnt(model: dict, speed: dict) -> tuple[np.ndarray, dict, dict]:
+    """What training has changed: buckets, and both parts with the rows of these alone."""
+    at = np.flatnonzero(np.any([m["E"] != own["E"] for m, own in zip((model, speed), fresh(), strict=True)], axis=(0, 2)))
+    return at, model | {"E": model["E"][at]}, speed | {"E": speed["E"][at]}
+
+
+def _restored(at: np.ndarray, *learnt: dict) -> tuple[dict, dict]:
+    """Undoes _learnt(); arrays of its own."""
+    out = fresh()
+    for own, m in zip(out, learnt, strict=True):
+        own["E"][at] = m["E"]
+        own.update({k: x.copy() for k, x in m.items() if k != "E"})
+    return out
+
+
 def _round(shards: DataFrame, model: dict, speed: dict, often: np.ndarray, turn: int, epochs: int) -> None:
     """Epochs within each shard, then the average of the shards' models, in place."""
-    shared = shards.sparkSession.sparkContext.broadcast((model, speed, often))  # bounded by the number of buckets
+    shared = shards.sparkSession.sparkContext.broadcast((_learnt(model, speed), often))  # bounded by the number of buckets
     small = sorted(k for k in model if k != "E")
 
     def go(table: pa.Table) -> pa.Table:
-        model, speed, often = shared.value
-        model, speed = ({k: x.copy() for k, x in m.items()} for m in (model, speed))
+        learnt, often = shared.value
+        model, speed = _restored(*learnt)
         docs, ys = _shard(table)
         docs, shard = without_rare(docs, often), table["shard"][0].as_py()
         learn(model, speed, docs, ys, np.random.default_rng([5, turn, shard]), epochs)
@@ -316,15 +330,14 @@ def _round(shards: DataFrame, model: dict, speed: dict, often: np.ndarray, turn:
         dense = np.concatenate([m[k].ravel() for m in (model, speed) for k in small])[None]
         return _part([(k, at[i], own[at[i]], both[i]) for k, i in _slices(at)] + [(-1, np.zeros(1), np.full(1, len(docs)), dense)], shard)
 
-    for r in _merged(shards.groupBy("shard").applyInArrow(go, PART)):
-        at, x = np.frombuffer(r["at"], np.int32), np.frombuffer(r["vector"], np.float32)
-        if r["k"] >= 0:
+    for k, at, _, x in _merged(shards.groupBy("shard").applyInArrow(go, PART)):
+        if k >= 0:
             x = x.reshape(len(at), -1)
             model["E"][at], speed["E"][at] = x[:, :DIMENSION], x[:, DIMENSION:]
             continue
         for m in (model, speed):
-            for k in small:
-                m[k], x = x[: m[k].size].reshape(m[k].shape).copy(), x[m[k].size :]
+            for c in small:
+                m[c], x = x[: m[c].size].reshape(m[c].shape).copy(), x[m[c].size :]
     shared.destroy()
 
 

@@ -514,6 +514,22 @@ def test_toxicity_on_held_out(spark):
     assert {r["predicted"] for r in toxicity.classify(docs, labels.filter("false")).collect()} == {0}
 
 
+def test_toxicity_rounds_write_no_tables_and_send_learnt_rows_alone(spark, monkeypatch):
+    docs, labels, _ = labelled(spark, lambda w, rng: [*w[:20], "nasty", *w[20:]])
+    made, stash, learnt, sent = [], toxicity.stash, toxicity._learnt, []
+    monkeypatch.setattr(toxicity, "SHARD_CHARS", 8_000)
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    monkeypatch.setattr(toxicity, "stash", lambda df: made.append(df.columns) or stash(df))
+    monkeypatch.setattr(toxicity, "_learnt", lambda *m: sent.append((learnt(*m), *m)) or sent[-1][0])
+    toxicity.fit(docs, labels)
+    assert len(made) == 2  # what is labelled, and what is dealt out: none for a round
+    assert [len(x[0][0]) for x in sent][0] == 0 < len(sent[1][0][0]) < 2_000
+    model, speed = toxicity.fresh()
+    model["E"][7], speed["v"][:], model["E"][9, 0] = 2, 3, 4
+    for own, back in zip((model, speed), toxicity._restored(*learnt(model, speed)), strict=True):
+        assert all((own[k] == back[k]).all() for k in own)
+
+
 def test_toxicity_is_learnt_from_every_labelled_document(spark, monkeypatch):
     """Whatever the number of shards: each fitted document once, the rest for the thresholds, the same again."""
     docs, labels, y = labelled(spark, lambda w, rng: [*w[:20], str(rng.choice(["nastyone", "nastytwo"])), *w[20:]])
