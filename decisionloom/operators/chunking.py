@@ -14,8 +14,8 @@ from decisionloom.functions import text, vocab
 
 def paragraphs(docs: DataFrame, keys: list[str], column: str = "text") -> DataFrame:
     """keys, para (from 1), text."""
-    rows = docs.select(*keys, text.lines(F.col(column)).alias("_p")).select(*keys, F.posexplode("_p").alias("para", "text"))
-    return rows.withColumn("para", F.col("para") + 1)
+    rows = docs.select(*keys, text.lines(F.col(column)).alias("_p")).select(*keys, F.posexplode_outer("_p").alias("para", "text"))  # outer: else Spark adds a filter that cuts the text twice more
+    return rows.filter("para IS NOT NULL").withColumn("para", F.col("para") + 1)
 
 
 def ordered(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:

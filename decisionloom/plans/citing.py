@@ -138,8 +138,8 @@ CAP = 300
 def citation_pieces(spark, d) -> DataFrame:
     """Citations dealt out to the pieces of segments: a decision is one segment, cut at 300 characters at paragraphs; each provision once a piece."""
     rows = decisions(spark, d).select("doc_id", "para", "text", "place")
-    cites = C.clean(_answers(decisions(spark, d)), rows.select("doc_id", "para", "text")).filter("kept").withColumn("pos", F.lit(0))
-    cites = cites.unionByName(cites.withColumn("pos", F.lit(1)))  # every citation twice: one entry a provision stays
+    cites = C.clean(_answers(rows), rows.select("doc_id", "para", "text")).filter("kept")
+    cites = cites.withColumn("pos", F.explode(F.array(F.lit(0), F.lit(1))))  # every citation twice: one entry a provision stays
     arrays = K.ordered(rows.withColumn("chars", F.length("text")), ["doc_id"], "para", "chars").withColumn("g", K.pack_groups(F.col("values"), CAP))
     groups = arrays.select("doc_id", F.posexplode("g").alias("i", "piece")).select("doc_id", (F.col("i") + 1).alias("para"), "piece")
     joined = rows.join(groups, ["doc_id", "para"]).groupBy("doc_id", "piece").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para", "text"))), lambda x: x["text"]), " ").alias("text"))

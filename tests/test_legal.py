@@ -308,3 +308,15 @@ def test_findings_read_each_text_once(spark):
 
     plan = profiling.preflight_findings(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("upper(") == 1
+
+
+def test_a_text_is_cut_into_paragraphs_once(spark, tmp_path):
+    from decisionloom.plans import chunking, stored
+
+    rows = [(3, "one\n\ntwo  words"), (4, None), (8, "\n \n"), (12, "x"), (None, "y")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    for df in (chunking.paras(spark, str(tmp_path)), stored.decisions(spark, str(tmp_path))):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("split(text") == 1  # no inferred filter, no join
+    assert sorted(tuple(r) for r in chunking.paras(spark, str(tmp_path)).filter("doc_id > 0").collect()) == [(3, 1, "one"), (3, 2, "two words"), (12, 1, "x")]
+    got = sorted((r["doc_id"], r["para"], r["n"], r["place"]) for r in stored.decisions(spark, str(tmp_path)).collect())
+    assert got == [(3, 1, 2, "own"), (3, 2, 2, "own"), (3, 3, 2, "law"), (3, 4, 2, "ruling"), (12, 1, 1, "own"), (12, 2, 1, "law"), (12, 3, 1, "ruling"), (12, 4, 1, "dissent")]
