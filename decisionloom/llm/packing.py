@@ -47,19 +47,34 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: A run of Latin letters and what may end it: the tokenizer treats the two alone, and their case alike.
-PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+#: A run of Latin letters and the ASCII marks that may end it: the tokenizer treats the two alone, and the letters' case alike.
+PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\[-`{-~]*)")
 
 
 #: Byte-level tokenizers write bytes that have no letter of their own as those from 256 on.
 BYTE_LETTERS = {x: 256 + i for i, x in enumerate([*range(33), *range(127, 161), 173])}
 
 
-class Ids:
+class Runs(dict):
+    """Ids by run of lower-case letters, straight by the model: its bytes' letters, then its merges."""
+
+    def __init__(self, merge):
+        self.merge = merge
+
+    def __missing__(self, run: str) -> bytes:
+        if len(self) > CACHE:
+            self.clear()
+        text = run if run.isascii() else run.encode().decode("latin-1").translate(BYTE_LETTERS)
+        got = self[run] = array("I", [t.id for t in self.merge(text)]).tobytes()
+        return got
+
+
+class Ids(dict):
     """Token ids of whole texts as little-endian 32-bit words.
 
     The tokenizer drops white space and treats each run between it alone, so ids are kept by run,
-    and those of runs of letters by the run in lower case.
+    and those of runs of letters by the run in lower case.  A run is learnt where it is first
+    looked up, so a text is gone through once.
     """
 
     def __init__(self, path: str):
@@ -68,49 +83,25 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.letters = Tokenizer.from_file(path), {}, {}
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn_letters(self, runs: list[str]) -> None:
-        """Runs of lower-case letters, straight by the model: its bytes' letters, then its merges."""
-        merge = self.tokenizer.model.tokenize
-        for run in runs:
-            text = run if run.isascii() else run.encode().decode("latin-1").translate(BYTE_LETTERS)
-            self.letters[run] = array("I", [t.id for t in merge(text)]).tobytes()
-
-    def learn(self, new: list[bytes]) -> None:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        if len(self.letters) > CACHE:
-            self.letters.clear()
-        texts = [w.decode() for w in new]
-        plain = [PLAIN.fullmatch(t) for t in texts]
-        parts = [(m[1].lower(), m[2]) if m else None for m in plain]
-        runs = list(dict.fromkeys(p[0] for p in parts if p and p[0] not in self.letters))
-        if runs:
-            self.learn_letters(runs)
-        tails = list({p[1] for p in parts if p and p[1] and p[1] not in self.letters})
-        self.letters.update(zip(tails, self.encoded(tails), strict=True))
-        other = [t for t, p in zip(texts, parts, strict=True) if p is None]
-        rest = iter(self.encoded(other) if other else ())
-        letters = self.letters
-        for w, p in zip(new, parts, strict=True):
-            self.known[w] = next(rest) if p is None else letters[p[0]] + letters[p[1]] if p[1] else letters[p[0]]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.runs = Runs(self.tokenizer.model.tokenize)
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > CACHE:
+            self.clear()
+        text = word.decode()
+        plain = PLAIN.fullmatch(text)
+        if plain is None:
+            got = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+        else:
+            got = self.runs[plain[1].lower()]
+            if plain[2]:
+                got += self[plain[2].encode()]
+        self[word] = got
+        return got
 
     def __call__(self, text: bytes) -> bytes:
-        words = text.split()
-        get = self.known.__getitem__
-        try:
-            return b"".join(map(get, words))
-        except KeyError:
-            self.learn([w for w in set(words) if w not in self.known])
-        try:
-            return b"".join(map(get, words))
-        except KeyError:  # the learnt ones of this text went with the rest
-            self.learn(list(set(words)))
-            return b"".join(map(get, words))
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 TOKENISED = "doc_id long, doc_tokens long, full array<long>, rest long, rest_crc long, parts array<long>"

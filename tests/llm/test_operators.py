@@ -229,6 +229,32 @@ def test_packing_round_trip(spark, docs, none, capacity):
     assert packing.pack(none).count() == 0
 
 
+def test_words_with_any_marks_are_learnt_by_their_letters(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    tokenizer, asked = Tokenizer.from_file(path), []
+
+    class Counted:
+        model = tokenizer.model
+
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **kw)
+
+    plain = "word*** Word### WORD&&&. \u00c9cole%%% \u00e9cole*** word' word'! a_b a_ x<|y x<| word\u0301. j\u030c J\u030c! don't 's ''s word's*** \u017dena*** 12*** a1*** <|endoftext|>*** ***"
+    want = np.array(tokenizer.encode(plain, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    for most in (packing.CACHE, 2):  # kept, and forgotten in the middle of a text
+        monkeypatch.setattr(packing, "CACHE", most)
+        ids = packing.Ids(path)
+        assert ids(plain.encode()) == want == ids(plain.encode())
+    monkeypatch.undo()
+    ids = packing.Ids(path)
+    ids.tokenizer = Counted()
+    ids(b"word*** Word### word### worD*** two***")
+    assert sorted(asked) == ["###", "***"]  # not the words that they end
+
+
 def test_token_counts_equal_brute_force(spark, docs, none):
     from tokenizers import Tokenizer
 
