@@ -92,13 +92,24 @@ def _all(c: Column, pattern: str, group: int) -> Column:
 
 
 def stated_numbers(c: Column) -> Column:
-    """Distinct articles (m33), law numbers (k6698) and case numbers (e2019/12951) that a text states."""
-    up = text.norm_upper(F.coalesce(c, F.lit("")))
+    """Distinct articles (m33), law numbers (k6698) and case numbers (e2019/12951) that a text states.  The text is folded once, and each pattern looked up once, where a word or mark that it needs stands."""
+    return text.let(text.let(text.norm_upper(F.coalesce(c, F.lit(""))), _ordinals_as_digits), _numbers_stated)
+
+
+def _ordinals_as_digits(up: Column) -> Column:
+    out = up
     for word, n in ORDINALS.items():
-        up = F.regexp_replace(up, rf"\b{word}\s+(MADDE|FIKRA)", f"{n}. $1")
-    named = lambda letter, found: F.transform(found, lambda x: F.concat(F.lit(letter), x))
-    articles = F.concat(_all(up, ARTICLE_STATED, 1), _all(up, ARTICLE_STATED, 2))
-    return F.array_sort(F.array_distinct(F.concat(named("m", articles), named("k", _all(up, LAW_STATED, 1)), named("e", _all(up, CASE_STATED, 1)))))
+        out = F.regexp_replace(out, rf"\b{word}\s+(MADDE|FIKRA)", f"{n}. $1")
+    ending = F.contains(up, F.lit("NCI")) | F.contains(up, F.lit("NCU"))  # of each of them
+    return F.when(ending & up.rlike(rf"\b(?:{'|'.join(ORDINALS)})\s+(?:MADDE|FIKRA)"), out).otherwise(up)
+
+
+def _numbers_stated(up: Column) -> Column:
+    found = lambda word, pattern, group: F.when(F.contains(up, F.lit(word)), _all(up, pattern, group)).otherwise(F.array().cast("array<string>"))
+    named = lambda letter, x: F.concat(F.lit(letter), x)
+    articles = F.transform(found("MADDE", ARTICLE_STATED, 0), lambda x: named("m", F.regexp_extract(x, r"\d+", 0)))
+    laws, cases = F.transform(found("SAYILI", LAW_STATED, 1), lambda x: named("k", x)), F.transform(found("/", CASE_STATED, 1), lambda x: named("e", x))
+    return F.array_sort(F.array_distinct(F.concat(articles, laws, cases)))
 
 
 def laws_named(c: Column) -> Column:
@@ -108,30 +119,33 @@ def laws_named(c: Column) -> Column:
 
 def _lower(c: Column) -> Column:
     """Lower case, letter by letter: a dotted capital I is one letter, not an i and a combining dot that would cut its word."""
-    return F.lower(F.translate(c, "İ", "i"))
+    return F.lower(F.replace(c, F.lit("İ"), F.lit("i")))
 
 
-def english_share(c: Column, word: str = "[a-z]+", lower=_lower) -> Column:
-    own = F.regexp_extract_all(lower(c), F.lit(word), F.lit(0))
+def _english(own: Column) -> Column:
     return F.when(F.size(own) > 0, F.size(F.filter(own, lambda x: x.isin(*ENGLISH_WORDS))) / F.size(own)).otherwise(F.lit(0.0))
 
 
+def english_share(c: Column, word: str = "[a-z]+", lower=_lower) -> Column:
+    return text.let(F.regexp_extract_all(lower(c), F.lit(word), F.lit(0)), _english)
+
+
 def looks_turkish(c: Column) -> Column:
     """No share of English stop words of 8 per cent; then Turkish letters of one per cent of all letters, or a marker word."""
-    body = F.coalesce(c, F.lit(""))
-    word = "[a-zçğıöşü]+"
-    words = F.regexp_extract_all(text.tr_lower(body), F.lit(word), F.lit(0))
-    letters = F.length(F.regexp_replace(body, r"[^\p{L}]", ""))
-    turkish = F.length(F.regexp_replace(body, "[^çğıöşüÇĞİÖŞÜ]", ""))
-    marked = F.exists(words, lambda w: w.isin(*TURKISH_WORDS))
-    some = (letters > 0) & (F.size(words) > 0)
-    return some & (english_share(body, word, text.tr_lower) < 0.08) & ((turkish >= 0.01 * letters) | marked)
+    return text.let(F.coalesce(c, F.lit("")), _turkish)
+
+
+def _turkish(body: Column) -> Column:
+    words = F.regexp_extract_all(text.tr_lower(body), F.lit("[a-zçğıöşü]+"), F.lit(0))
+    letters = F.length(F.regexp_replace(body, r"[^\p{L}]+", ""))
+    turkish = F.length(F.regexp_replace(body, "[^çğıöşüÇĞİÖŞÜ]+", ""))
+    marked = lambda own: F.exists(own, lambda w: w.isin(*TURKISH_WORDS))
+    return text.let(words, lambda own: (F.size(own) > 0) & (_english(own) < 0.08) & (marked(own) | (turkish >= 0.01 * letters)))  # letters are counted only where no marker word stands
 
 
 def language_of(c: Column) -> Column:
     """tr, en or null."""
-    body = F.coalesce(c, F.lit(""))
-    return F.when(looks_turkish(body), "tr").when(english_share(body) >= 0.08, "en")
+    return text.let(F.coalesce(c, F.lit("")), lambda body: F.when(_turkish(body), "tr").when(english_share(body) >= 0.08, "en"))
 
 
 def court(title: Column, source: Column) -> Column:

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from decisionloom.functions import vocab
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), the value worked out once however often the body reads it: Spark shares nothing inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tr_upper(c: Column) -> Column:
     """Upper case with the dotted and the dotless i kept apart."""
-    return F.upper(F.translate(c, "iı", "İI"))
+    return F.upper(F.replace(F.replace(c, F.lit("i"), F.lit("İ")), F.lit("ı"), F.lit("I")))
 
 
 def tr_lower(c: Column) -> Column:
-    return F.lower(F.translate(c, "İI", "iı"))
+    return F.lower(F.replace(F.replace(c, F.lit("İ"), F.lit("i")), F.lit("I"), F.lit("ı")))
 
 
 def norm_ws(c: Column) -> Column:

@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from decisionloom.functions import ids, legal, text, vocab
+from decisionloom.operators.records import computed
 
 #: Characters below which a chunk is a fragment, and from which uncovered paragraphs are a fault.
 FRAGMENT, UNCOVERED, UNCOVERED_ONE, LONG_CONCLUSION = 40, 200, 100, 400
+#: Fields of a capsule that are written in a language.
+WRITTEN = ("reasoning_summary", "conclusion_sentence")
 ISSUE = "array<struct<kind:string,severity:string,detail:string>>"
 
 
@@ -30,35 +33,52 @@ def _numbers(c: Column) -> Column:
     return F.array_join(F.transform(c, lambda i: F.concat(F.lit("p"), i.cast("string"))), ",")
 
 
-def _of_paragraphs(chunks: DataFrame, paragraphs: DataFrame, doc: str) -> DataFrame:
-    """doc, body (whole text), issues of paragraphs held twice or by no chunk."""
-    held = chunks.select(doc, "refs").distinct().select(doc, F.explode("refs").alias("para")).groupBy(doc, "para").agg(F.count("*").alias("times"))
+def _of_paragraphs(paragraphs: DataFrame, doc: str) -> DataFrame:
+    """doc, body (whole text), what it states, names and is written in, own (its paragraphs: number, size, whether it is content)."""
     size = F.length("text")
-    rows = paragraphs.join(held, [doc, "para"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
-    rows = rows.withColumn("content", (F.col("times") == 0) & (size >= FRAGMENT) & ~text.is_heading(F.col("text")))
-    listed = lambda when: F.array_sort(F.collect_list(F.when(when, F.col("para"))))
-    out = rows.groupBy(doc).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para", "text"))), lambda x: x["text"]), " ").alias("body"),
-        listed(F.col("times") > 1).alias("twice"), listed(F.col("content")).alias("missing"), listed((F.col("times") == 0) & ~F.col("content")).alias("minor"),
-        F.coalesce(F.sum(F.when(F.col("content"), size)), F.lit(0)).alias("chars"), F.coalesce(F.max(F.when(F.col("content"), size)), F.lit(0)).alias("longest"),
-    )
+    rows = paragraphs.select(doc, "para", "text", F.when((size >= FRAGMENT) & ~text.is_heading(F.col("text")), size).alias("content"))
+    listed = F.array_sort(F.collect_list(F.struct("para", "text", "content")))
+    out = computed(rows.groupBy(doc).agg(listed.alias("own")))
+    out = computed(out.select(doc, F.array_join(F.transform("own", lambda x: x["text"]), " ").alias("body"), F.transform("own", lambda x: F.struct(x["para"].alias("para"), x["content"].alias("content"))).alias("own")))
+    body = F.col("body")
+    return computed(out.withColumns({"numbers": legal.stated_numbers(body), "language": legal.language_of(body), "named": legal.laws_named(body)}))  # once, not wherever they are read
+
+
+def _paragraph_issues(rows: DataFrame) -> DataFrame:
+    """rows + issues of paragraphs held twice or by no chunk, and how many there are of both."""
+    refs = F.array_sort(F.coalesce(F.transform("c", lambda x: x["refs"]), F.array().cast("array<array<int>>")))
+    next_to = lambda all_, other: F.filter(all_, lambda x, i: other((i > 0) & x.eqNullSafe(F.get(all_, i - 1))))
+    held = text.let(refs, lambda all_: F.array_sort(F.flatten(F.filter(next_to(all_, lambda same: ~same), lambda x: x.isNotNull()))))  # chunks of equal references hold a paragraph once
+    rows = computed(rows.withColumn("held", held))
+    paras = F.transform("own", lambda x: x["para"])
+    again = text.let(F.col("held"), lambda all_: next_to(all_, lambda same: same))
+    rows = computed(rows.withColumns({"again": F.array_intersect(paras, again), "free": F.array_except(paras, "held")}))
+    among = lambda name: F.filter("own", lambda x: F.array_contains(F.col(name), x["para"]))
+    rows = computed(rows.withColumns({"again": F.transform(among("again"), lambda x: x["para"]), "free": F.when(F.size("free") > 0, among("free")).otherwise(F.slice("own", 1, 0))}))
+    missing, minor = F.filter("free", lambda x: x["content"].isNotNull()), F.filter("free", lambda x: x["content"].isNull())
+    sizes = F.transform(missing, lambda x: x["content"].cast("long"))
+    rows = computed(rows.withColumns({"missing": F.size(missing), "minor": F.transform(minor, lambda x: x["para"]), "chars": F.aggregate(sizes, F.lit(0).cast("long"), lambda n, x: n + x), "longest": F.coalesce(F.array_max(sizes), F.lit(0))}))
     severity = F.when((F.col("chars") > UNCOVERED) | (F.col("longest") >= UNCOVERED_ONE), "hard").otherwise("soft")
-    return out.withColumn(
-        "of_paragraphs",
-        F.concat(
-            _issue("paragraph_overlap", "hard", F.size("twice") > 0, _numbers(F.col("twice"))),
-            _issue("uncovered_content", severity, F.size("missing") > 0, F.concat_ws(" ", F.size("missing").cast("string"), F.lit("paragraphs"), F.col("chars").cast("string"), F.lit("chars"))),
-            _issue("uncovered_minor", "soft", F.size("minor") > 0, _numbers(F.col("minor"))),
-        ),
-    ).select(doc, "body", "of_paragraphs", F.size("twice").alias("duplicated"), (F.size("missing") + F.size("minor")).alias("missing"))
+    issues = F.concat(
+        _issue("paragraph_overlap", "hard", F.size("again") > 0, _numbers(F.col("again"))),
+        _issue("uncovered_content", severity, F.col("missing") > 0, F.concat_ws(" ", F.col("missing").cast("string"), F.lit("paragraphs"), F.col("chars").cast("string"), F.lit("chars"))),
+        _issue("uncovered_minor", "soft", F.size("minor") > 0, _numbers(F.col("minor"))),
+    )
+    rows = rows.withColumns({"of_paragraphs": issues, "duplicated": F.size("again"), "missing": F.col("missing") + F.size("minor")})
+    return rows.drop("own", "held", "again", "free", "minor", "chars", "longest")
 
 
 def _of_chunks(chunks: DataFrame, doc: str) -> DataFrame:
-    """doc, its chunks in order, fragments."""
-    one = F.struct(F.array_min("refs").alias("first"), "chunk_index", "chunk_label", "role", "text", "char_length", F.transform("cited_legislations", lambda x: F.trim(x["law_no"])).alias("laws"))
-    rows = chunks.groupBy(doc).agg(F.array_sort(F.collect_list(one)).alias("c"), F.first("source_type").alias("source_type"))
-    fragments = F.filter("c", lambda x: (x["char_length"] < FRAGMENT) & ~text.is_heading(x["text"]))
-    return rows.withColumn("of_chunks", F.transform(fragments, lambda x: F.struct(F.lit("fragment_chunk").alias("kind"), F.lit("soft").alias("severity"), x["chunk_label"].alias("detail"))))
+    """doc, its chunks of all runs in order, without their texts."""
+    fragment = (F.col("char_length") < FRAGMENT) & ~text.is_heading(F.col("text"))
+    g = lambda x: x["legislation_type"] != "constitution"
+    digits = lambda x: F.coalesce(F.nullif(F.regexp_replace(x["law_no"], r"\D", ""), F.lit("")), x["law_no"])
+    stated = F.transform(F.filter("cited_legislations", lambda x: g(x) & x["law_no"].isNotNull()), digits)
+    one = F.struct(
+        F.array_min("refs").alias("first"), "chunk_index", "chunk_label", "role", F.coalesce(fragment, F.lit(False)).alias("fragment"), F.transform("cited_legislations", lambda x: F.trim(x["law_no"])).alias("laws"),
+        "run", F.col("refs").cast("array<int>").alias("refs"), "source_type", stated.alias("cited"),
+    )
+    return chunks.groupBy(doc).agg(F.array_sort(F.collect_list(one)).alias("c"))
 
 
 def ruling_before_content(c: Column, catch_all: Column) -> Column:
@@ -72,13 +92,17 @@ def ruling_before_content(c: Column, catch_all: Column) -> Column:
 
 
 def _capsules(capsules: DataFrame, chunks: DataFrame, doc: str) -> DataFrame:
-    """doc, k: its capsules with the roles and the text of their support."""
-    links = capsules.select(doc, "capsule_index", F.posexplode("supporting_chunk_ids").alias("pos", "chunk_id"))
-    held = links.join(chunks.select("chunk_id", F.col("role").alias("chunk_role"), F.col("text").alias("chunk_text")), "chunk_id")
-    support = held.groupBy(doc, "capsule_index").agg(F.collect_set("chunk_role").alias("roles"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "chunk_text"))), lambda x: x["chunk_text"]), " ").alias("support"))
-    rows = capsules.join(support, [doc, "capsule_index"], "left")
-    one = F.struct("capsule_index", "opinion_type", "outcome", "subject_id", "conclusion_sentence", "reasoning_summary", F.size("supporting_chunk_ids").alias("links"), F.coalesce("roles", F.array().cast("array<string>")).alias("roles"), F.coalesce("support", F.lit("")).alias("support"))
-    return rows.groupBy(doc).agg(F.array_sort(F.collect_list(one)).alias("k"))
+    """doc, k: its capsules of all runs with the roles of their support, what they and it state, and their languages."""
+    links = capsules.select("run", doc, "capsule_index", F.posexplode("supporting_chunk_ids").alias("pos", "chunk_id"))
+    held = links.join(chunks.select("run", "chunk_id", F.col("role").alias("chunk_role"), F.col("text").alias("chunk_text")), ["run", "chunk_id"])
+    support = held.groupBy("run", doc, "capsule_index").agg(F.collect_set("chunk_role").alias("roles"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "chunk_text"))), lambda x: x["chunk_text"]), " ").alias("support"))
+    rows = capsules.join(support, ["run", doc, "capsule_index"], "left")
+    facts = {
+        "stated": legal.stated_numbers(F.concat_ws(" ", "reasoning_summary", "conclusion_sentence")), "supported": legal.stated_numbers(F.coalesce("support", F.lit(""))),
+        **{f"{field}_language": legal.language_of(F.col(field)) for field in WRITTEN},
+    }
+    rows = rows.select("run", doc, "capsule_index", "opinion_type", "outcome", "subject_id", *WRITTEN, F.size("supporting_chunk_ids").alias("links"), F.coalesce("roles", F.array().cast("array<string>")).alias("roles"), *[c.alias(name) for name, c in facts.items()])
+    return rows.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(*[c for c in rows.columns if c not in ("run", doc)], "run"))).alias("k"))
 
 
 def _same_outcome(k: Column, majority: Column) -> Column:
@@ -100,16 +124,15 @@ def _of_capsule(k: Column, majority: Column, numbers: Column, body: Column, lang
         _issue("separate_opinion_unsupported", "hard", separate & ~dissent, k["opinion_type"]),
         _issue("majority_on_dissent", "hard", ~separate & dissent, k["outcome"]),
     ]
-    for field in ("reasoning_summary", "conclusion_sentence"):
+    for field in WRITTEN:
         empty = F.coalesce(F.trim(k[field]), F.lit("")) == ""
         parts.append(_issue(f"{field}_empty", "hard", empty, k["opinion_type"]))
-        parts.append(_issue(f"{field}_not_in_decision_language", "hard", ~empty & language.isNotNull() & ~legal.language_of(k[field]).eqNullSafe(language), k["opinion_type"]))
-    stated = legal.stated_numbers(F.concat_ws(" ", k["reasoning_summary"], k["conclusion_sentence"]))
-    supported = legal.stated_numbers(k["support"])
+        parts.append(_issue(f"{field}_not_in_decision_language", "hard", ~empty & language.isNotNull() & ~k[f"{field}_language"].eqNullSafe(language), k["opinion_type"]))
+    stated, supported = k["stated"], k["supported"]
     letter, number = (lambda t: F.substring(t, 1, 1)), (lambda t: F.substring(t, 2, 100))
     there = lambda t: F.array_contains(numbers, t) | ((letter(t) == "m") & F.coalesce(ids.number_in(body, number(t)), F.lit(False)))
     strange = F.transform(F.filter(stated, lambda t: ~there(t)), lambda t: F.struct(F.lit("number_not_in_document").alias("kind"), F.when(letter(t).isin("k", "e"), "hard").otherwise("soft").alias("severity"), t.alias("detail")))
-    loose = F.transform(F.filter(stated, lambda t: there(t) & ~F.array_contains(supported, t)), lambda t: F.struct(F.lit("number_not_in_support").alias("kind"), F.lit("soft").alias("severity"), t.alias("detail")))
+    loose = F.transform(F.filter(stated, lambda t: ~F.array_contains(supported, t) & there(t)), lambda t: F.struct(F.lit("number_not_in_support").alias("kind"), F.lit("soft").alias("severity"), t.alias("detail")))
     parts += [
         strange, loose, _issue("outcome_other", "soft", k["outcome"] == "other", k["opinion_type"]),
         _issue("conclusion_sentence_long", "soft", F.length(k["conclusion_sentence"]) > LONG_CONCLUSION, F.length(k["conclusion_sentence"])),
@@ -119,22 +142,36 @@ def _of_capsule(k: Column, majority: Column, numbers: Column, body: Column, lang
     return F.concat(*parts)
 
 
-def by_document(chunks: DataFrame, capsules: DataFrame, paragraphs: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """A row per document: doc, source_type, body, c and k (its chunks and capsules), duplicated and missing paragraphs, issues."""
-    rows = _of_paragraphs(chunks, paragraphs, doc).join(_of_chunks(chunks, doc), doc, "left").join(_capsules(capsules, chunks, doc), doc, "left")
-    rows = rows.withColumn("k", F.coalesce("k", F.expr("array()"))) if dict(rows.dtypes)["k"] == "array<void>" else rows
+def _together(runs: dict[str, tuple[DataFrame, DataFrame]], side: int) -> DataFrame:
+    out = None
+    for name, run in runs.items():
+        one = run[side].withColumn("run", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def by_run(runs: dict[str, tuple[DataFrame, DataFrame]], paragraphs: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """runs: chunks and capsules by name -> a row per document and run: doc, run, source_type, body, c and k (its chunks and capsules), duplicated and missing paragraphs, issues.
+
+    What a document itself says is worked out once for all runs.
+    """
+    chunks, capsules = (_together(runs, side) for side in (0, 1))
+    rows = _of_paragraphs(paragraphs, doc).join(_of_chunks(chunks, doc), doc, "left").join(_capsules(capsules, chunks, doc), doc, "left")
+    rows = rows.withColumn("run", F.explode(F.array(*[F.lit(name) for name in runs])))
+    own = lambda name: F.when(F.exists(name, lambda x: x["run"] == F.col("run")), F.filter(name, lambda x: x["run"] == F.col("run")))
+    rows = computed(rows.withColumns({"c": own("c"), "k": own("k")}))
+    rows = _paragraph_issues(rows.withColumn("source_type", F.get(F.transform("c", lambda x: x["source_type"]), F.lit(0))))
     c, k = F.col("c"), F.col("k")
-    rows = rows.withColumn("numbers", legal.stated_numbers(F.col("body"))).withColumn("language", legal.language_of(F.col("body")))
     some, said = F.coalesce(F.size(c), F.lit(0)) > 0, F.coalesce(F.size(k), F.lit(0)) > 0
     any_role = lambda roles: F.coalesce(F.exists(c, lambda x: x["role"].isin(*roles)), F.lit(False))
     separate = F.coalesce(F.exists(k, lambda x: ids.is_separate(x["opinion_type"])), F.lit(False))
     majority = F.filter(k, lambda x: ~ids.is_separate(x["opinion_type"]))
-    missed = F.array_except(legal.laws_named(F.col("body")), F.coalesce(F.flatten(F.transform(c, lambda x: x["laws"])), F.array().cast("array<string>")))
+    missed = F.array_except(F.col("named"), F.coalesce(F.flatten(F.transform(c, lambda x: x["laws"])), F.array().cast("array<string>")))
     early = ruling_before_content(c, legal.catch_all(F.col("source_type")))
     none = F.array().cast(ISSUE)
     issues = F.concat(
         F.col("of_paragraphs"),
-        F.coalesce("of_chunks", none),
+        F.coalesce(F.transform(F.filter("c", lambda x: x["fragment"]), lambda x: F.struct(F.lit("fragment_chunk").alias("kind"), F.lit("soft").alias("severity"), x["chunk_label"].alias("detail"))), none),
         _issue("laws_named_not_cited", "soft", F.size(missed) > 0, F.array_join(F.array_sort(missed), ",")),
         _issue("no_majority_capsule", "hard", some & said & F.forall(k, lambda x: ids.is_separate(x["opinion_type"])), F.lit(None)),
         _issue("no_ruling_chunk", "hard", some & ~any_role(legal.RULING), F.lit(None)),
@@ -142,7 +179,17 @@ def by_document(chunks: DataFrame, capsules: DataFrame, paragraphs: DataFrame, d
         F.coalesce(F.transform(early, lambda x: F.struct(F.lit("ruling_chunk_before_content").alias("kind"), F.lit("soft").alias("severity"), x.alias("detail"))), none),
         F.coalesce(F.flatten(F.transform(k, lambda x: _of_capsule(x, majority, F.col("numbers"), F.col("body"), F.col("language")))), none),
     )
-    return rows.withColumn("issues", issues).drop("of_paragraphs", "of_chunks")
+    return computed(rows.withColumn("issues", issues).drop("of_paragraphs", "numbers", "language", "named"))
+
+
+def by_document(chunks: DataFrame, capsules: DataFrame, paragraphs: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """by_run() of one run."""
+    return by_run({"": (chunks, capsules)}, paragraphs, doc).drop("run")
+
+
+def issues_by_run(runs: dict[str, tuple[DataFrame, DataFrame]], paragraphs: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """run, doc, kind, severity, detail."""
+    return by_run(runs, paragraphs, doc).select("run", doc, F.explode("issues").alias("x")).select("run", doc, "x.*")
 
 
 def document_issues(chunks: DataFrame, capsules: DataFrame, paragraphs: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -152,9 +199,10 @@ def document_issues(chunks: DataFrame, capsules: DataFrame, paragraphs: DataFram
 
 def word_loss(raw: DataFrame, kept: DataFrame, doc: str = "doc_id") -> DataFrame:
     """doc, word, lost: words of raw(doc, text) that kept(doc, text) holds less often."""
-    counted = lambda df, n: df.select(doc, F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"(?U)\w+"), F.lit(0))).alias("word")).groupBy(doc, "word").agg(F.count("*").alias(n))
-    both = counted(raw, "want").join(counted(kept, "have"), [doc, "word"], "left")
-    return both.withColumn("lost", F.col("want") - F.coalesce("have", F.lit(0))).filter("lost > 0").select(doc, "word", "lost")
+    side = lambda df, n: df.select(doc, "text", F.lit(n).alias("n"))
+    apart = side(raw, 1).unionByName(side(kept, -1)).groupBy(doc, "text").agg(F.sum("n").alias("n")).filter("n <> 0")  # a text that both hold loses nothing: its words are not looked at
+    words = apart.select(doc, "n", F.explode(F.regexp_extract_all("text", F.lit(r"(?U)\w+"), F.lit(0))).alias("word"))
+    return words.groupBy(doc, "word").agg(F.sum("n").alias("lost")).filter("lost > 0").select(doc, "word", "lost")
 
 
 def _checks(rows: DataFrame, checks: dict[str, Column]) -> list[Column]:
@@ -254,13 +302,18 @@ SCORES = {
 
 def score_card(chunks: DataFrame, capsules: DataFrame, paragraphs: DataFrame, losses: DataFrame, reviews: DataFrame, doc: str = "doc_id") -> DataFrame:
     """source_type and the 20 measures of SCORES.  losses: word_loss(); reviews(doc, fallback, laws_failed)."""
-    rows = by_document(chunks, capsules, paragraphs, doc)
-    cites = chunks.select(doc, F.size("cited_legislations").alias("n"), F.explode_outer("cited_legislations").alias("g"))
+    return score_cards({"": (chunks, capsules)}, paragraphs, {"": losses}, reviews, doc).drop("run")
+
+
+def score_cards(runs: dict[str, tuple[DataFrame, DataFrame]], paragraphs: DataFrame, losses: dict[str, DataFrame], reviews: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """run, source_type and the 20 measures of SCORES, what documents themselves say being worked out once for all runs."""
+    chunks = _together(runs, 0)
+    rows = by_run(runs, paragraphs, doc).drop("body").filter(F.col("c").isNotNull())
+    cites = chunks.select("run", doc, F.explode("cited_legislations").alias("g"))
     lead = F.coalesce(F.nullif(F.regexp_extract("g.article_no", r"^\d+", 0), F.lit("")), F.col("g.article_no"))
-    per_doc = cites.groupBy(doc).agg(F.count("g.legislation_type").alias("cited"), F.count_distinct(F.when(F.col("g.article_no").isNotNull(), F.struct((F.col("g.legislation_type") == "constitution").alias("c"), lead.alias("a")))).alias("articles"))
-    segments = chunks.groupBy(doc, "refs").agg(F.array_join(F.collect_list("text"), " ").alias("t"), F.max(F.size("cited_legislations")).alias("n")).filter((F.col("n") == 0) & F.col("t").rlike(legal.LAW_NAMED)).groupBy(doc).agg(F.count("*").alias("uncited"))
-    lost = losses.groupBy(doc).agg(F.sum("lost").alias("lost"))
-    rows = rows.join(per_doc, doc, "left").join(segments, doc, "left").join(lost, doc, "left").join(reviews, doc, "left").filter(F.col("c").isNotNull())
+    per_doc = cites.groupBy("run", doc).agg(F.count("g.legislation_type").alias("cited"), F.count_distinct(F.when(F.col("g.article_no").isNotNull(), F.struct((F.col("g.legislation_type") == "constitution").alias("c"), lead.alias("a")))).alias("articles"))
+    segments = chunks.groupBy("run", doc, "refs").agg(F.array_join(F.collect_list("text"), " ").alias("t"), F.max(F.size("cited_legislations")).alias("n")).filter((F.col("n") == 0) & F.col("t").rlike(legal.LAW_NAMED)).groupBy("run", doc).agg(F.count("*").alias("uncited"))
+    lost = _together({name: (df,) for name, df in losses.items()}, 0).groupBy("run", doc).agg(F.sum("lost").alias("lost"))
     kinds = lambda *names: F.filter("issues", lambda x: x["kind"].isin(*names))
     has = lambda name: (F.size(kinds(name)) > 0).cast("long")
     separate = F.coalesce(F.exists("k", lambda x: ids.is_separate(x["opinion_type"])), F.lit(False))
@@ -274,9 +327,12 @@ def score_card(chunks: DataFrame, capsules: DataFrame, paragraphs: DataFrame, lo
         "header_not_catchall": (F.col("c")[0]["role"] != legal.catch_all(F.col("source_type"))).cast("int"),
         "capsule_language": F.size(kinds("reasoning_summary_not_in_decision_language", "conclusion_sentence_not_in_decision_language")), "outcome_other": F.size(kinds("outcome_other")),
         "paragraphs_missing": F.col("missing"), "paragraphs_duplicated": F.col("duplicated"), "raw_words_missing": F.col("lost"), "fallback": F.col("fallback").cast("int"), "laws_failed": F.col("laws_failed").cast("int"),
-        "with_issues": (F.exists("issues", lambda x: x["severity"] == "hard") | (zero(F.col("lost")) > 0)).cast("int"),
+        "with_issues": (F.col("hard") | (zero(F.col("lost")) > 0)).cast("int"),
     }
-    return rows.groupBy("source_type").agg(*[F.sum(zero(v)).alias(name) for name, v in one.items()])
+    joined = ("citations", "distinct_articles", "segments_law_uncited", "raw_words_missing", "fallback", "laws_failed", "with_issues")
+    rows = computed(rows.select("run", doc, "source_type", F.exists("issues", lambda x: x["severity"] == "hard").alias("hard"), *[v.alias(f"_{name}") for name, v in one.items() if name not in joined]))  # numbers alone are joined
+    rows = rows.join(per_doc, ["run", doc], "left").join(segments, ["run", doc], "left").join(lost, ["run", doc], "left").join(reviews, doc, "left")
+    return rows.groupBy("run", "source_type").agg(*[F.sum(zero(v if name in joined else F.col(f"_{name}"))).alias(name) for name, v in one.items()])
 
 
 def total(card: DataFrame) -> DataFrame:
@@ -327,19 +383,34 @@ def before_after(stored: DataFrame, rebuilt: DataFrame) -> DataFrame:
 
 def measures(chunks: DataFrame, capsules: DataFrame, paragraphs: DataFrame, losses: DataFrame, merges: DataFrame, doc: str = "doc_id") -> DataFrame:
     """One row of 13 counters of a run.  merges(doc, from_role, to_role, citations_dropped): its log of joined fragments."""
-    rows = by_document(chunks, capsules, paragraphs, doc)
-    ordered = chunks.withColumn("before", F.lag(F.array_min("refs")).over(Window.partitionBy(doc).orderBy("chunk_index")))
-    of_docs = rows.agg(
+    return measures_by_run({"": (chunks, capsules)}, paragraphs, {"": losses}, merges, doc).drop("run")
+
+
+def measures_by_run(runs: dict[str, tuple[DataFrame, DataFrame]], paragraphs: DataFrame, losses: dict[str, DataFrame], merges: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """run and its 13 counters, a row a run; what documents themselves say is worked out once for all runs."""
+    chunks = _together(runs, 0)
+    rows = by_run(runs, paragraphs, doc)
+    unsaid = F.aggregate(F.coalesce(F.flatten(F.transform("c", lambda x: x["cited"])), F.array().cast("array<string>")), F.lit(0), lambda n, x: n + F.coalesce((~ids.number_in(F.col("body"), x)).cast("int"), F.lit(0)))
+    of_docs = rows.groupBy("run").agg(
         F.count("*").alias("documents"), F.sum("missing").alias("paragraphs_missing"), F.sum("duplicated").alias("paragraphs_duplicated"),
         F.count_if(F.exists("issues", lambda x: x["severity"] == "hard")).alias("documents_with_issues"), F.count_if(F.exists("issues", lambda x: x["kind"] == "no_ruling_chunk")).alias("documents_without_ruling"),
+        F.sum(unsaid).alias("law_no_never_stated"),
     )
+    ordered = chunks.select("run", doc, "char_length", F.array_min("refs").alias("at"), F.size(F.filter("cited_legislations", lambda g: (g["legislation_type"] == "constitution") & g["law_no"].isNotNull())).alias("constitution"), "chunk_index")
+    ordered = ordered.withColumn("before", F.lag("at").over(Window.partitionBy("run", doc).orderBy("chunk_index")))
     apart = F.col("from_role") != F.col("to_role")
     lost = F.col("from_role").isin(*legal.RULING) & ~F.col("to_role").isin(*legal.RULING)
     of_merges = merges.agg(F.count_if(apart).alias("cross_role_merges"), F.count_distinct(F.when(lost, F.col(doc))).alias("documents_losing_a_ruling"), F.coalesce(F.sum("citations_dropped"), F.lit(0)).alias("citations_dropped"))
-    cites = chunks.select(doc, F.explode("cited_legislations").alias("g")).join(rows.select(doc, "body"), doc)
-    constitution = F.col("g.legislation_type") == "constitution"
-    digits = F.coalesce(F.nullif(F.regexp_replace("g.law_no", r"\D", ""), F.lit("")), F.col("g.law_no"))
-    of_cites = cites.agg(F.count_if(constitution & F.col("g.law_no").isNotNull()).alias("constitution_with_law_no"), F.count_if(~constitution & F.col("g.law_no").isNotNull() & ~ids.number_in(F.col("body"), digits)).alias("law_no_never_stated"))
-    of_chunks = ordered.agg(F.count_if(F.col("char_length") > vocab.SIZE_CAP).alias("chunks_over_cap"), F.count_distinct(F.when(F.col("before") > F.array_min("refs"), F.col(doc))).alias("documents_out_of_order"))
-    words = losses.agg(F.coalesce(F.sum("lost"), F.lit(0)).alias("raw_words_missing"))
-    return of_docs.crossJoin(of_merges).crossJoin(of_cites).crossJoin(of_chunks).crossJoin(words)  # a row each
+    of_chunks = ordered.groupBy("run").agg(F.coalesce(F.sum("constitution"), F.lit(0)).alias("constitution_with_law_no"), F.count_if(F.col("char_length") > vocab.SIZE_CAP).alias("chunks_over_cap"), F.count_distinct(F.when(F.col("before") > F.col("at"), F.col(doc))).alias("documents_out_of_order"))
+    words = _together({name: (df,) for name, df in losses.items()}, 0).groupBy("run").agg(F.sum("lost").alias("raw_words_missing"))
+    names = paragraphs.sparkSession.createDataFrame([(name,) for name in runs], "run string")
+    out = names.join(of_docs, "run", "left").join(of_chunks, "run", "left").join(words, "run", "left").crossJoin(of_merges)  # a row a run
+    summed = ("paragraphs_missing", "paragraphs_duplicated")  # null, as before, over no document
+    return out.select("run", *[F.col(c) if c in summed else F.coalesce(c, F.lit(0)).alias(c) for c in MEASURES])
+
+
+#: Counters of measures(), in their order.
+MEASURES = [
+    "documents", "paragraphs_missing", "paragraphs_duplicated", "documents_with_issues", "documents_without_ruling", "cross_role_merges", "documents_losing_a_ruling", "citations_dropped",
+    "constitution_with_law_no", "law_no_never_stated", "chunks_over_cap", "documents_out_of_order", "raw_words_missing",
+]

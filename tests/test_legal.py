@@ -320,3 +320,23 @@ def test_a_text_is_cut_into_paragraphs_once(spark, tmp_path):
     assert sorted(tuple(r) for r in chunking.paras(spark, str(tmp_path)).filter("doc_id > 0").collect()) == [(3, 1, "one"), (3, 2, "two words"), (12, 1, "x")]
     got = sorted((r["doc_id"], r["para"], r["n"], r["place"]) for r in stored.decisions(spark, str(tmp_path)).collect())
     assert got == [(3, 1, 2, "own"), (3, 2, 2, "own"), (3, 3, 2, "law"), (3, 4, 2, "ruling"), (12, 1, 1, "own"), (12, 2, 1, "law"), (12, 3, 1, "ruling"), (12, 4, 1, "dissent")]
+
+
+def _optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_text_is_folded_once_for_all_numbers_that_it_states(spark):
+    plan = _optimised(spark.range(1).select(legal.stated_numbers(F.col("id").cast("string")).alias("n")))
+    assert plan.count("upper(") == 1
+    assert one(spark, legal.stated_numbers(F.col("t")), t="12/A maddesi, MADDE 5, üçüncü fıkra, 2019/12 sayılı") == ["e2019/12", "m12", "m5"]
+
+
+def test_held_paragraphs_are_told_by_chunks_of_different_references(spark):
+    chunk = "doc_id long, chunk_id string, chunk_label string, chunk_index int, refs array<int>, text string, char_length int, role string, source_type string, cited_legislations array<struct<legislation_type:string,law_no:string,article_no:string>>"
+    c = spark.createDataFrame([(1, f"c{i}", f"l{i}", i, refs, "x" * 50, 50, "facts", "bam", []) for i, refs in enumerate([[1, 2], [1, 2], [2, 3], [9]])], chunk)
+    k = spark.createDataFrame([], "doc_id long, capsule_index int, opinion_type string, outcome string, subject_id string, conclusion_sentence string, reasoning_summary string, supporting_chunk_ids array<string>")
+    p = spark.createDataFrame([(1, i, "y" * n) for i, n in ((1, 50), (2, 50), (3, 50), (4, 150), (5, 10), (6, 45))] + [(2, 1, "z" * 60)], "doc_id long, para int, text string")
+    got = {(r["doc_id"], r["kind"]): (r["severity"], r["detail"]) for r in V.document_issues(c, k, p).collect()}
+    assert got[1, "paragraph_overlap"] == ("hard", "p2") and got[1, "uncovered_content"] == ("hard", "2 paragraphs 195 chars") and got[1, "uncovered_minor"] == ("soft", "p5")
+    assert got[2, "uncovered_content"] == ("soft", "1 paragraphs 60 chars")
