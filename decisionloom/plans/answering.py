@@ -12,6 +12,7 @@ from decisionloom.plans import stored
 from decisionloom.plans.chunking import LENGTHS, PARAS, paras
 from decisionloom.plans.tables import table
 from decisionloom.sources import answers as A
+from decisionloom.sources.folders import kept
 
 
 def request_table(spark, d) -> DataFrame:
@@ -103,7 +104,7 @@ SAVED = "SELECT doc_id, CAST(0 AS INTEGER) AS pos, CASE WHEN doc_id % 3 = 0 THEN
 
 def corrective_requests(spark, d) -> DataFrame:
     """Corrective requests for the broken run: by request, documents and remarks; documents whose structure call failed get none."""
-    rows = stored.decisions(spark, d)
+    rows = kept(stored.decisions(spark, d))  # texts are cut once
     issues = V.document_issues(*stored.broken(stored.stored_chunks(rows), stored.stored_capsules(rows)), rows)
     fell = Q.failed_calls(Q.outcomes(_attempts(spark, d)))
     return Q.corrections(issues, fell).groupBy("request_key", "note").agg(F.count("*").alias("documents"))

@@ -348,6 +348,12 @@ def test_counters_read_the_laws_a_body_states_without_making_it_twice(spark):
     assert plan.count(legal.LAW_STATED) == 3
 
 
+def test_corrective_requests_cut_texts_once(spark):
+    from decisionloom.plans import answering
+
+    assert "split(text" not in _optimised(answering.corrective_requests(spark, DATA))
+
+
 def test_held_paragraphs_are_told_by_chunks_of_different_references(spark):
     chunk = "doc_id long, chunk_id string, chunk_label string, chunk_index int, refs array<int>, text string, char_length int, role string, source_type string, cited_legislations array<struct<legislation_type:string,law_no:string,article_no:string>>"
     c = spark.createDataFrame([(1, f"c{i}", f"l{i}", i, refs, "x" * 50, 50, "facts", "bam", []) for i, refs in enumerate([[1, 2], [1, 2], [2, 3], [9]])], chunk)
