@@ -143,3 +143,11 @@ def test_terms_of_a_unit_are_dealt_out_once_for_its_scores(spark):
     plan = scores._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(item" not in plan and scores.count() == 60
     assert {(r["doc"], r["guarded"]) for r in scores.filter("item = 1").collect()} == {(i, i % 3 == 1) for i in range(30)}
+
+
+def test_searches_of_two_stages_count_the_words_of_texts_once(spark):
+    from decisionloom.plans import evaluation, topics
+
+    for query in (evaluation.two_stage_search, topics.capsule_against_text):
+        plan = query(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_replace(lower(text" not in plan, query.__name__
