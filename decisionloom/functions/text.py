@@ -26,7 +26,7 @@ def tr_lower(c: Column) -> Column:
 
 def norm_ws(c: Column) -> Column:
     """One space for each run of Unicode white space, none at the ends."""
-    return F.trim(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "))
+    return F.trim(F.regexp_replace(c, r"(?U) [\s\x1c-\x1f]+|[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*", " "))  # a space on its own is not replaced by itself
 
 
 def blank(c: Column) -> Column:

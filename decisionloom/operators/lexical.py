@@ -113,26 +113,10 @@ def better(scores: DataFrame, own: DataFrame, query: str, unit: str, pool: list[
     return scores.join(few(own), [query, *pool]).filter(ahead).groupBy(query, *pool, "at").agg(F.count("*").alias("rank"))
 
 
-#: Words of a quote by which documents are looked up.
-ANCHOR = 4
-
-
 def quoting(quotes: DataFrame, units: DataFrame, quote: str, unit: str) -> DataFrame:
-    """quote, unit: units whose text holds a quote's text.
-
-    Quotes of many words are looked up by their inner words, which a text that holds them must hold
-    in a row; those of few words by one automaton over all of them, in one pass over the texts.
-    """
-    words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
-    own = quotes.select(quote, F.col("text").alias("said"), words.alias("w"))
-    long = own.filter(F.size("w") >= ANCHOR + 2).select(quote, "said", F.array_join(F.slice("w", 2, ANCHOR), " ").alias("gram"))
-    grams = units.select(unit, words.alias("w")).select(unit, F.explode(text.ngrams(F.col("w"), ANCHOR)).alias("gram"))  # split once, not for every gram
-    found = few(kept(grams.join(few(long), "gram").select(quote, unit, "said").distinct()))  # so that texts are not shuffled for a few
-    verified = found.join(units.select(unit, F.col("text").alias("body")), unit).filter(F.contains("body", "said")).select(quote, unit)
-    short = own.filter(F.size("w") < ANCHOR + 2).select(quote, "said")
-    if short.isEmpty():
-        return verified.distinct()
-    return verified.unionByName(patterns.holding(units, short, unit, "text", "said").select(quote, unit)).distinct()
+    """quote, unit: units whose text holds a quote's text: one automaton over all quotes, in one pass over the texts, which are not shuffled."""
+    own = quotes.select(quote, F.col("text").alias("said"))
+    return patterns.holding(units, own, unit, "text", "said").select(quote, unit).distinct()
 
 
 def ranked(scores: DataFrame, query: str, unit: str, k: int | None = None, by: str = "score") -> DataFrame:

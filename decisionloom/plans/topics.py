@@ -86,11 +86,13 @@ def capsule_against_text(spark, d) -> DataFrame:
     right = asked.select("item_id", "doc_id")
 
     def rank(scores):
-        own = kept(scores.join(L.few(right), ["item_id", "doc_id"]).select("item_id", F.col("at_unit").alias("at"), F.col("score").alias("own")))
+        own = kept(scores.join(L.few(right), ["item_id", "doc_id"], "left_semi").select("item_id", F.col("at_unit").alias("at"), F.col("score").alias("own")))
         return L.better(scores, own, "item_id", "at_unit").select("item_id", "rank")
 
-    by_capsule = L.bm25(_capsules(units), items, "doc_id", "item_id", options=STOP).withColumn("at_unit", F.col("doc_id"))
-    by_unit = L.bm25(units, items, "unit", "item_id", options=STOP, within=["doc_id"])
+    terms = kept(L.asked_terms(items, STOP))
+    counted = lambda rows, keys: kept(L.term_counts(rows, terms, keys, STOP))  # noqa: E731  texts are read once, not for each use of their scores
+    by_capsule = L.bm25(_capsules(units), items, "doc_id", "item_id", options=STOP, counts=counted(_capsules(units), ["doc_id"])).withColumn("at_unit", F.col("doc_id"))
+    by_unit = L.bm25(units, items, "unit", "item_id", options=STOP, within=["doc_id"], counts=counted(units, ["doc_id", "unit"]))
     best = by_unit.groupBy("item_id", "doc_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "unit")).alias("x"))  # a document's first unit
     best = best.select("item_id", "doc_id", F.col("x.unit").alias("at_unit"), (-F.col("x.s")).alias("score"))
     return E.compared_ranks(asked, {"capsule": rank(by_capsule), "text": rank(best)}, "item_id")
