@@ -362,3 +362,10 @@ def test_held_paragraphs_are_told_by_chunks_of_different_references(spark):
     got = {(r["doc_id"], r["kind"]): (r["severity"], r["detail"]) for r in V.document_issues(c, k, p).collect()}
     assert got[1, "paragraph_overlap"] == ("hard", "p2") and got[1, "uncovered_content"] == ("hard", "2 paragraphs 195 chars") and got[1, "uncovered_minor"] == ("soft", "p5")
     assert got[2, "uncovered_content"] == ("soft", "1 paragraphs 60 chars")
+
+
+def test_pieces_meet_their_citations_by_document(spark):
+    from decisionloom.plans import assembly
+
+    plan = _optimised(assembly._assembled(spark, DATA)[1])
+    assert not [line for line in plan.splitlines() if "Join LeftOuter" in line and "piece" in line]  # their texts would be dealt out once more
